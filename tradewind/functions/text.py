@@ -44,15 +44,10 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
-def join_codes(c: Column, sep: str = ",") -> Column:
-    """Sorted distinct codes as one text (aggregate; for bounded code lists)."""
-    return F.array_join(F.sort_array(F.collect_set(c)), sep)
-
-
 def parse_latitude(position: Column) -> Column:
     """Decimal degrees from ``DDMMN DDDMMW``; south is negative."""
     degrees = F.substring(position, 1, 2).try_cast("double") + F.substring(position, 3, 2).try_cast("double") / 60
-    return F.when(position.contains("N"), degrees).otherwise(-degrees)
+    return F.when(position.contains("N"), degrees).otherwise(F.lit(0.0) - degrees)
 
 
 def parse_longitude(position: Column, lon_layout: str = "DDDMM") -> Column:
@@ -69,7 +64,7 @@ def parse_longitude(position: Column, lon_layout: str = "DDDMM") -> Column:
         degrees = part(1, 3) + part(4, 2) / 60
     else:
         degrees = part(1, 2) + part(3, 2) / 60 + part(5, 1) / 3600
-    return F.when(position.contains("E"), degrees).otherwise(-degrees)
+    return F.when(position.contains("E"), degrees).otherwise(F.lit(0.0) - degrees)
 
 
 # Prefix and suffix of each unit's legend.

@@ -9,6 +9,7 @@ from tradewind.operators.cube import pair_rollups
 from tradewind.operators.dims import node_label
 from tradewind.operators.filters import select_unit
 from tradewind.operators.ordering import dense_index
+from tradewind.sources.stage import stage
 
 # Links in drawing order; the first name is the source.
 FULL_INBOUND = (("country", "comcode"), ("comcode", "port"))
@@ -59,7 +60,10 @@ def graph_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def flow_graph(cube: DataFrame, steps, lookup: DataFrame, unit: str = "price") -> tuple[DataFrame, DataFrame]:
-    """Nodes (``id, name, label``) and links (``source_id, target_id, value``)."""
-    links = stack_links(cube, steps, unit)
+    """Nodes (``id, name, label``) and links (``source_id, target_id, value``).
+
+    Nodes and links both start from the stacked links, which are written once.
+    """
+    links = stage(stack_links(cube, steps, unit), "links")
     nodes = graph_nodes(links)
     return node_label(nodes, lookup), graph_links(links, nodes)

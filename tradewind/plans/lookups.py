@@ -9,6 +9,7 @@ from tradewind.functions.text import parse_latitude, parse_longitude
 from tradewind.operators import dims, filters, hierarchy, ordering
 from tradewind.plans.registry import query
 from tradewind.sources import tables
+from tradewind.sources.stage import stage
 
 # --- nomenclature and hierarchy
 
@@ -27,16 +28,19 @@ def all_codes(v):
 
 
 def parented(v):
-    """The derived code table with nearest parents."""
-    return dims.merge_parent(v.codes().withColumn("parent", F.lit(None).cast("string")),
-                             hierarchy.derive_parent(v.codes().select("commoditycode")))
+    """The derived code table with nearest parents, stored like any lookup."""
+    codes = stage(v.codes(), "codes")
+    return stage(codes.join(hierarchy.derive_parent(codes.select("commoditycode")), "commoditycode"), "parents")
 
 
 def comcode(v):
     """The code lookup as built from nomenclature, control files and sections."""
-    merged = dims.merge_parent(code_rows(v), hierarchy.derive_parent(all_codes(v)))
-    described = dims.merge_description(merged, v.control())
-    return hierarchy.attach_sections(described, hierarchy.section_starts(nomen(v)))
+    lines, control = stage(nomen(v), "nomenclature"), stage(v.control(), "control")
+    rows = hierarchy.split_sections(lines)[1].select("commoditycode", "parent", "description")
+    everything = dims.union_keys(rows.select("commoditycode"), control.select("commoditycode"))
+    merged = dims.merge_parent(rows, hierarchy.derive_parent(everything))
+    described = dims.merge_description(merged, control)
+    return hierarchy.attach_sections(described, hierarchy.section_starts(lines))
 
 
 _DIGITS = "NOT regexp_matches(commoditycode, 'I|V|X')"
@@ -183,9 +187,9 @@ def locode_gb(v):
 
 @query("dms_to_decimal", """
 SELECT x11, round((cast(x11[1:2] AS double) + cast(x11[3:4] AS double) / 60) * CASE WHEN contains(x11, 'N') THEN 1 ELSE -1 END, 6) AS lat,
-  round((cast(x11[7:9] AS double) + cast(x11[10:11] AS double) / 60) * CASE WHEN contains(x11, 'E') THEN 1 ELSE -1 END, 6) AS long,
+  round((cast(x11[7:9] AS double) + cast(x11[10:11] AS double) / 60) * CASE WHEN contains(x11, 'E') THEN 1 ELSE -1 END + 0.0::double, 6) AS long,
   round((cast(x11[7:8] AS double) + cast(x11[9:10] AS double) / 60 + cast(x11[11:11] AS double) / 3600)
-    * CASE WHEN contains(x11, 'E') THEN 1 ELSE -1 END, 6) AS long_dms
+    * CASE WHEN contains(x11, 'E') THEN 1 ELSE -1 END + 0.0::double, 6) AS long_dms
 FROM locode_raw WHERE x11 IS NOT NULL""")
 def dms_to_decimal(v):
     x = F.col("x11")

@@ -71,7 +71,7 @@ locode_raw AS (SELECT CASE WHEN s_suppkey % 4 = 3 THEN 'FR' ELSE 'GB' END AS x2,
   FROM supplier),
 locode AS (SELECT x3 AS portcode, x5 AS portname,
     (50 + s_suppkey % 10 + (s_suppkey * 7 % 60) / 60.0::double) * CASE WHEN s_suppkey % 11 = 0 THEN -1 ELSE 1 END AS lat,
-    (s_suppkey % 6 + (s_suppkey * 13 % 60) / 60.0::double) * CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END AS long
+    (s_suppkey % 6 + (s_suppkey * 13 % 60) / 60.0::double) * CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END + 0.0::double AS long
   FROM locode_raw WHERE x2 = 'GB' AND x11 IS NOT NULL),
 extra_ports AS (
   SELECT 'Port ' || s_name AS portname_x, 'P' || lpad(cast(s_suppkey % 40 AS varchar),2,'0') AS portcode,

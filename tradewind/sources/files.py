@@ -7,15 +7,15 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.codes import LEAF_LENGTH
 from tradewind.functions.text import clean_text, strip_control, unite
 from tradewind.schema import CONTROL_COLUMNS, FactShape
 
-_MAX_BROADCAST_FILES = 50_000
-_DIGEST = 256
+_MAX_BROADCAST_FILES = 50_000     # two hashes per file
+_COPIES = 50_000                  # copies of a line put back per task row
 
 
 # Words that cannot stand alone as a column name and get a trailing "_".
@@ -61,27 +61,31 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str =
 def drop_file_ends(lines: DataFrame, n_files: int | None = None) -> DataFrame:
     """Lines without each file's first (header) and last (trailer) record.
 
-    The two records are found by position but taken out by content: a line equal to its file's header or
-    trailer is set aside, and as many copies as the file holds beyond those two are put back. Row numbers
-    may come out differently if a lost task is run again; the text of a file's ends cannot. ``n_files``,
-    where known, lets the small table of file ends be sent to every task.
+    The scan of a file may be split differently when it is run again, so row numbers are compared within
+    one pass only: a hash of each file's two end records picks the few lines that may be them, those are
+    counted by text, and every copy beyond the one header and one trailer is put back. ``n_files``, where
+    known, lets the table of hashes (a few bytes per file) be sent to every task.
     """
-    lines = lines.withColumn("_digest", F.sha2("line", _DIGEST))
-    ends = lines.groupBy("file").agg(F.min_by("_digest", "pos").alias("_head"), F.max_by("_digest", "pos").alias("_tail"))
+    hashed = lines.withColumn("_hash", F.xxhash64("line"))
+    ends = hashed.groupBy("file").agg(F.min_by("_hash", "pos").alias("_head"), F.max_by("_hash", "pos").alias("_tail"))
     if n_files is not None and n_files <= _MAX_BROADCAST_FILES:
         ends = F.broadcast(ends)
-    marked = lines.join(ends, "file")
-    at_head, at_tail = F.col("_digest") == F.col("_head"), F.col("_digest") == F.col("_tail")
-    body = marked.where(~at_head & ~at_tail).select("file", "pos", "line")
-    # At most two distinct texts per file get here.
-    surplus = (marked.where(at_head | at_tail).groupBy("file", "line")
-                     .agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("_n"),
-                          F.max(at_head.cast("int") + at_tail.cast("int")).alias("_ends"))
-                     .where(F.col("_n") > F.col("_ends"))
-                     .select("file", "pos", "line",
-                             F.explode(F.sequence(F.lit(1), F.col("_n") - F.col("_ends"))).alias("_copy"))
-                     .drop("_copy"))
-    return body.unionByName(surplus)
+    marked = hashed.join(ends, "file")
+    at_end = F.col("_hash").isin(F.col("_head"), F.col("_tail"))
+    body = marked.where(~at_end).select("file", "pos", "line")
+    per_file = Window.partitionBy("file")
+    texts = (marked.where(at_end).groupBy("file", "line")
+                   .agg(F.min("pos").alias("pos"), F.max("pos").alias("_last"), F.count(F.lit(1)).alias("_n"))
+                   .withColumn("_ends", (F.col("pos") == F.min("pos").over(per_file)).cast("int")
+                               + (F.col("_last") == F.max("_last").over(per_file)).cast("int")))
+    spare = F.col("_n") - F.col("_ends")
+    chunks = (texts.where(spare > 0)
+                   .select("file", "pos", "line", spare.alias("_n"),
+                           F.explode(F.sequence(F.lit(0), F.floor((spare - 1) / _COPIES))).alias("_chunk"))
+                   .repartition("file", "line", "_chunk"))
+    in_chunk = F.least(F.lit(_COPIES), F.col("_n") - F.col("_chunk") * _COPIES)
+    copies = chunks.select("file", "pos", "line", F.explode(F.sequence(F.lit(1), in_chunk))).drop("col")
+    return body.unionByName(copies)
 
 
 def _fields(line: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tradewind.schema import FactShape
 from tradewind.sources.files import cast_measures, drop_file_ends, parse_control_lines, parse_fact_lines
 from tradewind.sources.sinks import GUARD_ROWS, append_period, guarded_append, upsert_table
+from tradewind.sources.stage import stage
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,10 +43,12 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, s
 
     The checkpoint makes each file count once; the guard skips months that are already loaded. Every batch
     writes its own folder, replaced as a whole if the batch is run again, and rejected records go beside it.
+    The parsed records are kept in between, so the files are read once for both.
     """
     def each_batch(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
-        good, rejects = cast_measures(parse_fact_lines(_positioned(lines), shape), shape.integers)
+        records = stage(parse_fact_lines(_positioned(lines), shape), "records")
+        good, rejects = cast_measures(records, shape.integers)
         stored = _read_or_none(session, f"{dst}/facts")
         if stored is not None:
             good = guarded_append(good, stored.where(F.col("load_id") < batch_id), shape.period, threshold)
