@@ -24,7 +24,11 @@ def flow_cube(fact: DataFrame, shape: FactShape, spec: QuerySpec, country: DataF
               port: DataFrame | None = None) -> DataFrame:
     """Base cube of a query: ``country, comcode[, port], month`` and the summed measures."""
     rows = fact.where(code_matches(F.col(shape.code), spec.patterns))
-    rows = filters.filter_months(rows, shape.period, spec.start, spec.end, shape.style)
+    stored = "month" in fact.columns     # a stored table is partitioned by month: skip the other folders
+    if stored:
+        rows = rows.where(F.col("month").between(spec.start, spec.end))
+    else:
+        rows = filters.filter_months(rows, shape.period, spec.start, spec.end, shape.style)
     by_port = shape.port is not None
     # Picked names narrow the rows before the sum. "All" only drops codes the lookup lacks; a filter on
     # group keys may follow the sum, where a country with very many rows is already a few.
@@ -35,7 +39,8 @@ def flow_cube(fact: DataFrame, shape: FactShape, spec: QuerySpec, country: DataF
     keys = [F.col(shape.country).alias("country"), F.col(shape.code).alias("comcode")]
     if by_port:
         keys.append(F.col(shape.port).alias("port"))
-    keys.append(periods.to_month(F.col(shape.period), shape.style).alias("month"))
+    month = F.col("month") if stored else periods.to_month(F.col(shape.period), shape.style)
+    keys.append(month.alias("month"))
     cube = rows.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in shape.measures])
     if spec.countries is None:
         cube = filters.filter_country(cube, "country", country, keep_unknown=spec.keep_unknown)

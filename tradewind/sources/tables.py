@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions.text import parse_latitude, parse_longitude, strip_spaces
 from tradewind.operators.filters import drop_blank
-from tradewind.schema import LOCODE_SCHEMA, MISSING_PORTS_SCHEMA
+from tradewind.schema import LOCODE_SCHEMA, MISSING_PORTS_SCHEMA, FactShape
+from tradewind.sources.files import safe_names
 
 _DESCRIPTION_PLACE = 7      # the eighth column holds the description
 
@@ -64,3 +66,15 @@ def read_code_list(spark: SparkSession, path: str, names: Sequence[str] = ("port
     """A sheet exported as CSV, one title row on top."""
     schema = ", ".join(f"{n} string" for n in names)
     return type_code_list(spark.read.schema(schema).csv(path, header=True, enforceSchema=True), names, type_)
+
+
+def fact_schema(shape: FactShape) -> T.StructType:
+    """Stored layout of a fact table; ``month`` is the partition column and stays text."""
+    cols = [T.StructField(n, T.LongType() if n in shape.integers else T.StringType()) for n in safe_names(shape.columns)]
+    return T.StructType(cols + [T.StructField("month", T.StringType())])
+
+
+def read_facts(spark: SparkSession, path: str, shape: FactShape) -> DataFrame:
+    """A stored fact table. Given its layout, so that months are not read as dates and no file is opened
+    to plan a query; columns a file lacks are NULL."""
+    return spark.read.schema(fact_schema(shape)).parquet(path)

@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.schema import FactShape
 from tradewind.sources.files import cast_measures, drop_file_ends, parse_control_lines, parse_fact_lines
 from tradewind.sources.sinks import GUARD_ROWS, append_period, guarded_append, upsert_table
 from tradewind.sources.stage import stage
+from tradewind.sources.tables import fact_schema
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -49,7 +54,8 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, s
         session = lines.sparkSession
         records = stage(parse_fact_lines(_positioned(lines), shape), "records")
         good, rejects = cast_measures(records, shape.integers)
-        stored = _read_or_none(session, f"{dst}/facts")
+        layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.LongType())])
+        stored = _read_or_none(session, f"{dst}/facts", layout)
         if stored is not None:
             good = guarded_append(good, stored.where(F.col("load_id") < batch_id), shape.period, threshold)
         append_period(good, f"{dst}/facts/load_id={batch_id}", shape, mode="overwrite")
