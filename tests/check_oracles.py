@@ -65,7 +65,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     only = set(sys.argv[2:])
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), e.oracle_sql(), 0

@@ -1,8 +1,7 @@
 """Flow cubes and what is summed from them.
 
-A cube holds one row per country, code, port (non-EU) and month. The fact table is read once, with the
-code and month filters in the scan, and is summed before anything else touches it, so later steps work on
-cube rows.
+A cube holds one row per country, code, port (non-EU) and month, or per fewer of these. The fact table is
+read once, with the code and month filters in the scan, and is summed before it is shuffled.
 """
 
 from __future__ import annotations
@@ -21,30 +20,37 @@ from tradewind.spec import QuerySpec
 
 
 def flow_cube(fact: DataFrame, shape: FactShape, spec: QuerySpec, country: DataFrame,
-              port: DataFrame | None = None) -> DataFrame:
-    """Base cube of a query: ``country, comcode[, port], month`` and the summed measures."""
+              port: DataFrame | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    """Cube of a query: ``country, comcode[, port], month`` and the summed measures.
+
+    ``keys`` asks for fewer of the four, in which case the facts are summed straight to that grain: a
+    monthly series or a country total moves a few rows per task instead of the whole cube. Which rows
+    count does not depend on it.
+    """
+    by_port = shape.port is not None
+    if keys is None:
+        keys = ("country", "comcode", "port", "month") if by_port else ("country", "comcode", "month")
     rows = fact.where(code_matches(F.col(shape.code), spec.patterns))
     stored = "month" in fact.columns     # a stored table is partitioned by month: skip the other folders
     if stored:
         rows = rows.where(F.col("month").between(spec.start, spec.end))
     else:
         rows = filters.filter_months(rows, shape.period, spec.start, spec.end, shape.style)
-    by_port = shape.port is not None
-    # Picked names narrow the rows before the sum. "All" only drops codes the lookup lacks; a filter on
-    # group keys may follow the sum, where a country with very many rows is already a few.
-    if spec.countries is not None:
-        rows = filters.filter_country(rows, shape.country, country, spec.countries)
-    if by_port and spec.ports is not None:
-        rows = filters.filter_port(rows, shape.port, port, spec.ports)
-    keys = [F.col(shape.country).alias("country"), F.col(shape.code).alias("comcode")]
-    if by_port:
-        keys.append(F.col(shape.port).alias("port"))
-    month = F.col("month") if stored else periods.to_month(F.col(shape.period), shape.style)
-    keys.append(month.alias("month"))
-    cube = rows.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in shape.measures])
-    if spec.countries is None:
+    # Picked names narrow the rows before the sum, and so does a lookup whose key the sum drops. Otherwise
+    # "All" filters a key of the sum and may follow it, where a country with very many rows is already few.
+    late_country = spec.countries is None and "country" in keys
+    late_port = spec.ports is None and "port" in keys
+    if not late_country:
+        rows = filters.filter_country(rows, shape.country, country, spec.countries, spec.keep_unknown and spec.countries is None)
+    if by_port and not late_port:
+        rows = filters.filter_port(rows, shape.port, port, spec.ports, spec.keep_unknown and spec.ports is None)
+    source = {"country": F.col(shape.country), "comcode": F.col(shape.code),
+              "port": F.col(shape.port) if by_port else None,
+              "month": F.col("month") if stored else periods.to_month(F.col(shape.period), shape.style)}
+    cube = rows.groupBy(*[source[k].alias(k) for k in keys]).agg(*[F.sum(c).alias(name) for name, c in shape.measures])
+    if late_country:
         cube = filters.filter_country(cube, "country", country, keep_unknown=spec.keep_unknown)
-    if by_port and spec.ports is None:
+    if by_port and late_port:
         cube = filters.filter_port(cube, "port", port, keep_unknown=spec.keep_unknown)
     return filters.fill_unknown(cube)
 

@@ -20,6 +20,11 @@ EU_INBOUND = (("country", "comcode"),)
 EU_OUTBOUND = (("comcode", "country"),)
 
 
+def ends_of(steps) -> tuple[str, ...]:
+    """The columns a graph needs of its cube; months are not among them."""
+    return tuple(sorted({c for s in steps for c in s}))
+
+
 def stack_links(cube: DataFrame, steps, unit: str = "price", zero_weight: str = "null") -> DataFrame:
     """``step, source, target, value`` over all months in the cube."""
     pairs = select_unit(pair_rollups(cube, steps, with_month=False), unit, zero_weight)

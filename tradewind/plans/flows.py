@@ -19,14 +19,10 @@ CHAPTERS_1998 = QuerySpec(start="1998-01", end="1998-12", codes2=("01", "02", "0
 MONTH = "1998-06"
 
 
-def cube_of(v, name: str, spec: QuerySpec = ALL):
+def cube_of(v, name: str, spec: QuerySpec = ALL, keys=None):
     shape = FACTS[name]
     port = v.port() if shape.port else None
-    return cube.flow_cube(v.fact(name, spec.start, spec.end), shape, spec, v.country(), port)
-
-
-def _codes(shape):
-    return [shape.code, shape.country, shape.period]
+    return cube.flow_cube(v.fact(name, spec.start, spec.end), shape, spec, v.country(), port, keys)
 
 
 # --- filters
@@ -244,17 +240,17 @@ def _pair_sql(a: str, b: str, table: str = "imp_cube") -> str:
 
 @query("pair_country_code", _pair_sql("country", "comcode"))
 def pair_country_code(v):
-    return cube.pair_rollup(cube_of(v, "imports"), "country", "comcode")
+    return cube.pair_rollup(cube_of(v, "imports", keys=("country", "comcode", "month")), "country", "comcode")
 
 
 @query("pair_code_port", _pair_sql("comcode", "port"))
 def pair_code_port(v):
-    return cube.pair_rollup(cube_of(v, "imports"), "comcode", "port")
+    return cube.pair_rollup(cube_of(v, "imports", keys=("comcode", "port", "month")), "comcode", "port")
 
 
 @query("pair_country_port", _pair_sql("country", "port", "exp_cube"))
 def pair_country_port(v):
-    return cube.pair_rollup(cube_of(v, "exports"), "country", "port")
+    return cube.pair_rollup(cube_of(v, "exports", keys=("country", "port", "month")), "country", "port")
 
 
 @query("pair_grouping_sets", " UNION ALL ".join(
@@ -275,34 +271,34 @@ def all_months_pairs(v):
 @query("month_slice", f"SELECT country, comcode, cast(sum(price) AS bigint) AS price, cast(sum(weight) AS bigint) AS weight "
                       f"FROM imp_cube WHERE month = '{MONTH}' GROUP BY ALL")
 def month_slice(v):
-    one = cube_of(v, "imports", QuerySpec(start=MONTH, end=MONTH))
+    one = cube_of(v, "imports", QuerySpec(start=MONTH, end=MONTH), ("country", "comcode", "month"))
     return filters.slice_month(cube.pair_rollup(one, "country", "comcode"), MONTH)
 
 
 @query("unit_price", "SELECT country, comcode, cast(sum(price) AS bigint) AS value FROM imp_cube GROUP BY ALL")
 def unit_price(v):
-    return filters.select_unit(cube.sum_by(cube_of(v, "imports"), "country", "comcode"), "price")
+    return filters.select_unit(cube_of(v, "imports", keys=("country", "comcode")), "price")
 
 
 @query("unit_weight", "SELECT country, comcode, cast(sum(weight) AS bigint) AS value FROM exp_cube GROUP BY ALL")
 def unit_weight(v):
-    return filters.select_unit(cube.sum_by(cube_of(v, "exports"), "country", "comcode"), "weight")
+    return filters.select_unit(cube_of(v, "exports", keys=("country", "comcode")), "weight")
 
 
 @query("unit_consignments", "SELECT country, comcode, cast(sum(consignments) AS bigint) AS value FROM arr_cube GROUP BY ALL")
 def unit_consignments(v):
-    return filters.select_unit(cube.sum_by(cube_of(v, "arrivals"), "country", "comcode"), "consignments")
+    return filters.select_unit(cube_of(v, "arrivals", keys=("country", "comcode")), "consignments")
 
 
 @query("country_totals", "SELECT country, cast(sum(price) AS bigint) AS value FROM imp_cube GROUP BY ALL")
 def country_totals(v):
-    pairs = cube.sum_by(cube_of(v, "imports"), "country", "comcode")
+    pairs = cube_of(v, "imports", keys=("country",))
     return cube.country_totals(filters.select_unit(pairs, "price"))
 
 
 @query("eu_country_totals", "SELECT country, cast(sum(weight) AS bigint) AS value FROM disp_cube GROUP BY ALL")
 def eu_country_totals(v):
-    pairs = cube.sum_by(cube_of(v, "dispatches"), "country", "comcode")
+    pairs = cube_of(v, "dispatches", keys=("country",))
     return cube.country_totals(filters.select_unit(pairs, "weight"))
 
 
@@ -318,18 +314,18 @@ _RATIO = "round(sum(price)::double / nullif(sum(weight), 0)::double, 6) AS value
 
 @query("ppk_pairs", f"SELECT country, comcode, {_RATIO} FROM imp_cube GROUP BY ALL")
 def ppk_pairs(v):
-    return _rounded(cube.price_per_kilo(cube_of(v, "imports"), ["country", "comcode"]))
+    return _rounded(cube.price_per_kilo(cube_of(v, "imports", keys=("country", "comcode")), ["country", "comcode"]))
 
 
 @query("ppk_country", f"SELECT country, {_RATIO} FROM imp_cube GROUP BY ALL")
 def ppk_country(v):
-    return _rounded(cube.price_per_kilo(cube_of(v, "imports"), ["country"]))
+    return _rounded(cube.price_per_kilo(cube_of(v, "imports", keys=("country",)), ["country"]))
 
 
 @query("ppk_ieee", """SELECT country, comcode, CASE WHEN sum(weight) = 0 THEN 'infinite' ELSE 'finite' END AS kind,
   round(sum(price)::double / nullif(sum(weight), 0)::double, 6) AS value FROM imp_cube GROUP BY ALL""")
 def ppk_ieee(v):
-    ratios = cube.price_per_kilo(cube_of(v, "imports"), ["country", "comcode"], "ieee")
+    ratios = cube.price_per_kilo(cube_of(v, "imports", keys=("country", "comcode")), ["country", "comcode"], "ieee")
     infinite = F.col("value") == float("inf")
     return ratios.select("country", "comcode", F.when(infinite, "infinite").otherwise("finite").alias("kind"),
                          F.when(~infinite, F.round("value", 6)).alias("value"))
@@ -359,7 +355,7 @@ def _series(key: str, table: str, fact: str, dim: str, unit: str) -> None:
 
     @query(key, f"SELECT month, {dim}, {value} FROM {table} GROUP BY ALL")
     def build(v):
-        out = cube.series(cube_of(v, fact), dim, unit)
+        out = cube.series(cube_of(v, fact, keys=("month", dim)), dim, unit)
         return _rounded(out) if unit == measures.PRICE_PER_KILO else out
 
 
@@ -375,7 +371,7 @@ _series("eu_series_country", "arr_cube", "arrivals", "country", "consignments")
 
 @query("series_one_month", f"SELECT month, country, cast(sum(price) AS bigint) AS value FROM exp_cube WHERE month = '{MONTH}' GROUP BY ALL")
 def series_one_month(v):
-    return cube.series(cube_of(v, "exports", QuerySpec(start=MONTH, end=MONTH)), "country", "price", MONTH)
+    return cube.series(cube_of(v, "exports", QuerySpec(start=MONTH, end=MONTH), ("month", "country")), "country", "price", MONTH)
 
 
 @query("scalar_bundle", """

@@ -12,12 +12,14 @@ from tradewind.operators import monitor
 from tradewind.plans.registry import query
 from tradewind.schema import FACTS, FILE_FAMILIES, IMPORTS
 from tradewind.sources import files, sinks
+from tradewind.sources.stage import stage
 
 _FILE = "'SMKI19' || account_date[6:7] || account_date[1:2]"
 
 
 def _parsed(v):
-    return files.parse_fact_lines(files.drop_file_ends(v.fact_lines()), IMPORTS)
+    """The month files as they would lie in a folder, parsed."""
+    return files.parse_fact_lines(files.drop_file_ends(stage(v.fact_lines(), "lines")), IMPORTS)
 
 
 @query("parse_fact_records", f"""
@@ -33,11 +35,11 @@ SELECT comcode, account_date, CASE WHEN l_linenumber <> 3 THEN value END AS valu
   CASE WHEN l_linenumber NOT IN (2, 3) THEN quantity_1 END AS quantity_1,
   CASE WHEN l_linenumber = 3 THEN 'value' ELSE '' END AS rejected FROM import_rows""")
 def cast_measures(v):
-    good, rejects = files.cast_measures(_parsed(v), ["value", "quantity_1"])
-    none = F.lit(None).cast("bigint")
-    return good.select("comcode", "account_date", "value", "quantity_1", F.lit("").alias("rejected")).unionByName(
-        rejects.select("comcode", "account_date", none.alias("value"), none.alias("quantity_1"),
-                       F.array_join("rejected_columns", ",").alias("rejected")))
+    marked = files.mark_rejects(_parsed(v).select("comcode", "account_date", "value", "quantity_1"), ["value", "quantity_1"])
+    kept = F.size("rejected_columns") == 0
+    return marked.select("comcode", "account_date", F.when(kept, F.col("value")).alias("value"),
+                         F.when(kept, F.col("quantity_1")).alias("quantity_1"),
+                         F.array_join("rejected_columns", ",").alias("rejected"))
 
 
 @query("parse_control_records", """
@@ -147,7 +149,7 @@ counts AS (SELECT {_FILE} AS file, count(*) FILTER (l_linenumber <> 3) AS loaded
 SELECT e.file, CASE WHEN c.file IS NULL THEN 'missing' WHEN rejected > 0 THEN 'rejects' ELSE 'loaded' END AS status,
   coalesce(loaded, 0) AS rows, coalesce(rejected, 0) AS rejects FROM expected e LEFT JOIN counts c ON e.file = c.file""")
 def load_report(v):
-    good, rejects = files.cast_measures(_parsed(v), ["value", "quantity_1"])
-    marked = good.select("file", F.lit(0).alias("bad")).unionByName(rejects.select("file", F.lit(1).alias("bad")))
-    counts = marked.groupBy("file").agg(F.count_if(F.col("bad") == 0).alias("loaded"), F.count_if(F.col("bad") == 1).alias("rejected"))
+    marked = files.mark_rejects(_parsed(v).select("file", "value", "quantity_1"), ["value", "quantity_1"])
+    kept = F.size("rejected_columns") == 0
+    counts = marked.groupBy("file").agg(F.count_if(kept).alias("loaded"), F.count_if(~kept).alias("rejected"))
     return monitor.load_report(_expected(_fact_months(v)), counts)

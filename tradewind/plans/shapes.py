@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import text
 from tradewind.operators import cube, dims, extract, filters, geo, graph
-from tradewind.plans.flows import CHAPTERS_1998, cube_of
+from tradewind.plans.flows import ALL, CHAPTERS_1998, cube_of
 from tradewind.plans.registry import query
 
 
@@ -32,12 +32,12 @@ _LINK_ROWS = """SELECT s.id AS source_id, t.id AS target_id, value FROM links JO
 _SLICE = "comcode[1:2] BETWEEN '01' AND '05' AND month BETWEEN '1998-01' AND '1998-12'"
 
 
-def _graph(key: str, table: str, fact: str, steps, what: str, spec=None, where: str = "TRUE") -> None:
+def _graph(key: str, table: str, fact: str, steps, what: str, spec=ALL, where: str = "TRUE") -> None:
     rows = _NODE_ROWS if what == "nodes" else _LINK_ROWS
 
     @query(key, f"WITH {_links_sql(table, steps, where)}, {_NODES} {rows}")
     def build(v):
-        facts = cube_of(v, fact) if spec is None else cube_of(v, fact, spec)
+        facts = cube_of(v, fact, spec, graph.ends_of(steps))
         return graph.flow_graph(facts, steps, _lookup(v))[0 if what == "nodes" else 1]
 
 
@@ -57,14 +57,15 @@ _graph("selected_flow_links", "imp_cube", "imports", graph.FULL_INBOUND, "links"
 
 @query("stack_links", f"WITH {_links_sql('imp_cube', graph.FULL_INBOUND)} SELECT * FROM links")
 def stack_links(v):
-    return graph.stack_links(cube_of(v, "imports"), graph.FULL_INBOUND)
+    return graph.stack_links(cube_of(v, "imports", keys=graph.ends_of(graph.FULL_INBOUND)), graph.FULL_INBOUND)
 
 
 @query("ppk_links", """
 SELECT 0 AS step, comcode AS source, country AS target, round(sum(price)::double / nullif(sum(weight), 0)::double, 6) AS value FROM exp_cube GROUP BY ALL
 UNION ALL SELECT 1, port, comcode, round(sum(price)::double / nullif(sum(weight), 0)::double, 6) FROM exp_cube GROUP BY ALL""")
 def ppk_links(v):
-    links = graph.stack_links(cube_of(v, "exports"), graph.FULL_OUTBOUND, "price_per_kilo")
+    cells = cube_of(v, "exports", keys=graph.ends_of(graph.FULL_OUTBOUND))
+    links = graph.stack_links(cells, graph.FULL_OUTBOUND, "price_per_kilo")
     return links.withColumn("value", F.round("value", 6))
 
 
@@ -87,7 +88,7 @@ _MAPPED = f"""{_TOTALS}, mapped AS (SELECT k.countryname AS region, p.grp, p.ord
 
 
 def _totals(v):
-    return cube.country_totals(filters.select_unit(cube.sum_by(cube_of(v, "imports"), "country"), "price"))
+    return cube.country_totals(filters.select_unit(cube_of(v, "imports", keys=("country",)), "price"))
 
 
 def _mapped(v):
@@ -147,32 +148,32 @@ def value_labels(v):
 @query("code_legend", "SELECT c.comcode AS commoditycode, k.description FROM (SELECT DISTINCT comcode FROM imp_cube) c "
                       "LEFT JOIN codes k ON c.comcode = k.commoditycode ORDER BY 1")
 def code_legend(v):
-    return dims.code_legend(cube_of(v, "imports"), v.codes())
+    return dims.code_legend(cube_of(v, "imports", keys=("comcode",)), v.codes())
 
 
 @query("eu_code_legend", "SELECT c.comcode AS commoditycode, k.description FROM (SELECT DISTINCT comcode FROM disp_cube) c "
                          "LEFT JOIN codes k ON c.comcode = k.commoditycode ORDER BY 1")
 def eu_code_legend(v):
-    return dims.code_legend(cube_of(v, "dispatches"), v.codes())
+    return dims.code_legend(cube_of(v, "dispatches", keys=("comcode",)), v.codes())
 
 
 @query("named_series", """
 SELECT month, value, name AS country FROM (SELECT month, country, cast(sum(price) AS bigint) AS value FROM imp_cube GROUP BY ALL) s
 LEFT JOIN (SELECT key_name, value AS name FROM lookup) l ON s.country = l.key_name""")
 def named_series(v):
-    return dims.name_series(cube.series(cube_of(v, "imports"), "country", "price"), "country", _lookup(v))
+    return dims.name_series(cube.series(cube_of(v, "imports", keys=("month", "country")), "country", "price"), "country", _lookup(v))
 
 
 @query("named_port_series", """
 SELECT month, value, name AS port FROM (SELECT month, port, cast(sum(weight) AS bigint) AS value FROM exp_cube GROUP BY ALL) s
 LEFT JOIN (SELECT key_name, value AS name FROM lookup) l ON s.port = l.key_name""")
 def named_port_series(v):
-    return dims.name_series(cube.series(cube_of(v, "exports"), "port", "weight"), "port", _lookup(v))
+    return dims.name_series(cube.series(cube_of(v, "exports", keys=("month", "port")), "port", "weight"), "port", _lookup(v))
 
 
 @query("bar_layout", "SELECT count(DISTINCT month) AS months, CASE WHEN count(DISTINCT month) < 7 THEN 'dodge' ELSE 'stack' END AS layout FROM imp_cube")
 def bar_layout(v):
-    return geo.bar_layout(cube.series(cube_of(v, "imports"), "comcode", "price"))
+    return geo.bar_layout(cube.series(cube_of(v, "imports", keys=("month", "comcode")), "comcode", "price"))
 
 
 # --- extracts

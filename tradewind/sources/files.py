@@ -122,17 +122,26 @@ def parse_control_lines(lines: DataFrame) -> DataFrame:
     return cut.select("file", "pos", code, *[p.alias(n) for p, n in zip(part[1:last], names[1:last])], description)
 
 
-def cast_measures(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Measures as bigint, and apart the records where one of them is not a whole number.
+def mark_rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Measures as bigint, and ``rejected_columns``: those whose text is not a whole number.
 
     Blank text counts as missing, not as wrong.
     """
-    bad = [F.when(F.trim(c) != "", F.col(c).try_cast("bigint").isNull()).otherwise(False) for c in cols]
-    wrong = F.array_compact(F.array(*[F.when(F.coalesce(b, F.lit(False)), F.lit(c)) for b, c in zip(bad, cols)]))
-    marked = df.withColumn("rejected_columns", wrong)
-    good = marked.where(F.size("rejected_columns") == 0).drop("rejected_columns")
-    good = good.select(*[F.col(c).try_cast("bigint").alias(c) if c in cols else F.col(c) for c in df.columns])
-    return good, marked.where(F.size("rejected_columns") > 0)
+    def wrong(c: str) -> Column:
+        return F.when((F.trim(c) != "") & F.col(c).try_cast("bigint").isNull(), F.lit(c))
+
+    return df.select(*[F.col(c).try_cast("bigint").alias(c) if c in cols else F.col(c) for c in df.columns],
+                     F.array_compact(F.array(*[wrong(c) for c in cols])).alias("rejected_columns"))
+
+
+def cast_measures(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Records with their measures as bigint, and apart, as text, the records where one is not a whole number."""
+    kept = F.struct(*[F.col(c) for c in cols])
+    marked = mark_rejects(df.withColumn("_text", kept), cols)
+    good = marked.where(F.size("rejected_columns") == 0).drop("rejected_columns", "_text")
+    rejects = marked.where(F.size("rejected_columns") > 0).select(
+        *[F.col("_text")[c].alias(c) if c in cols else F.col(c) for c in df.columns], "rejected_columns")
+    return good, rejects
 
 
 def read_fact_files(spark: SparkSession, paths: str | Sequence[str], shape: FactShape,
