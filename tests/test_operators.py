@@ -53,6 +53,15 @@ def test_stored_months_give_the_same_cube(spark):
     assert sorted(rows(a)) == sorted(rows(b))
 
 
+def test_narrow_cubes_are_sums_of_the_full_one(spark):
+    for spec in (SPEC, QuerySpec(start="1998-01", end="1998-12", keep_unknown=True),
+                 QuerySpec(start="1998-01", end="1998-12", countries=("United States",), ports=("Felixstowe",))):
+        full = cube.flow_cube(imports(spark, FACTS), IMPORTS, spec, country(spark), port(spark))
+        for keys in (("country",), ("port", "month"), ("comcode",), ("country", "comcode", "port")):
+            narrow = cube.flow_cube(imports(spark, FACTS), IMPORTS, spec, country(spark), port(spark), keys)
+            assert sorted(rows(narrow)) == sorted(rows(cube.sum_by(full, *keys)))
+
+
 def test_empty_selection(spark):
     none = cube.flow_cube(imports(spark, FACTS), IMPORTS, QuerySpec(start="2010-01", end="2010-02"), country(spark), port(spark))
     assert none.count() == 0

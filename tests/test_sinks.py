@@ -73,7 +73,7 @@ def test_extract_file(spark, tmp_path):
 
 def test_staged_tables(spark):
     df = stage.stage(spark.range(5).withColumn("x", F.col("id") * 2), "demo")
-    assert "tradewind/demo-" in df.inputFiles()[0] and sorted(rows(df)) == [(i, 2 * i) for i in range(5)]
+    assert "/tradewind/" in df.inputFiles()[0] and sorted(rows(df)) == [(i, 2 * i) for i in range(5)]
 
 
 def import_line(date, value):

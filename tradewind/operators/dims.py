@@ -47,8 +47,13 @@ def attach_coords(port: DataFrame, coords: DataFrame) -> DataFrame:
         "portname", "portcode", "type", "portname_y", "lat", "long")
 
 
+def name_start(name: Column) -> Column:
+    """The characters by which two names of a port are compared."""
+    return F.substring(name, 1, 3)
+
+
 def _starts_upper(name: Column) -> Column:
-    return F.upper(F.substring(name, 1, 3)) == F.substring(name, 1, 3)
+    return F.upper(name_start(name)) == name_start(name)
 
 
 def keep_main_ports(df: DataFrame) -> DataFrame:
@@ -70,9 +75,11 @@ def resolve_ports(port: DataFrame, coords: DataFrame) -> DataFrame:
 
     Same rows as ``attach_coords`` followed by that filter, without building every pair of a code: pairs
     that agree come from a join on code and name start, codes that give a single pair from the counts.
+    Where several positions share a code and a name start, each of them gives a row; pass the positions
+    through ``first_per_key`` on both to get one.
     """
-    left = port.select("portcode", F.substring("portname", 1, 3).alias("_start"), "portname", "type")
-    right = coords.select("portcode", F.substring("portname", 1, 3).alias("_start"), "lat", "long")
+    left = port.select("portcode", name_start(F.col("portname")).alias("_start"), "portname", "type")
+    right = coords.select("portcode", name_start(F.col("portname")).alias("_start"), "lat", "long")
     cols = ["portname", "portcode", "type", "lat", "long"]
     agree = left.join(right, ["portcode", "_start"]).select(*cols)
 

@@ -240,27 +240,38 @@ def attach_coords(v):
     return _positions(dims.attach_coords(v.port_raw(), one_each))
 
 
-@query("resolve_ports", """
-WITH pairs AS (SELECT p.portname, p.portcode, p.type, c.portname AS portname_y, c.lat, c.long
-  FROM port_raw p LEFT JOIN (SELECT portname, portcode, lat, long FROM locode) c ON p.portcode = c.portcode),
+def one_per_start(positions):
+    """One position per code and name start, so that a port meets at most one."""
+    marked = positions.withColumn("start", dims.name_start(F.col("portname")))
+    return ordering.first_per_key(marked, ["portcode", "start"], ["portname", "lat", "long"]).drop("start")
+
+
+def _one_per_start_sql(table: str) -> str:
+    return (f"one AS (SELECT portname, portcode, lat, long FROM (SELECT *, row_number() OVER (PARTITION BY portcode, portname[1:3] "
+            f"ORDER BY portname, lat, long) AS rn FROM {table}) r WHERE rn = 1)")
+
+
+@query("resolve_ports", f"""
+WITH {_one_per_start_sql('locode')}, pairs AS (SELECT p.portname, p.portcode, p.type, c.portname AS portname_y, c.lat, c.long
+  FROM port_raw p LEFT JOIN one c ON p.portcode = c.portcode),
 counted AS (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM pairs)
 SELECT portname, portcode, type, round(coalesce(lat, 56), 6) AS lat, round(coalesce(long, 0), 6) AS long FROM counted
 WHERE (portname[1:3] = portname_y[1:3] AND n > 1) OR n = 1""")
 def resolve_ports(v):
-    located = tables.shape_locode(v.locode_raw())
+    located = one_per_start(tables.shape_locode(v.locode_raw()))
     return _positions(filters.fill_unknown(dims.resolve_ports(v.port_raw(), located)))
 
 
-@query("port_table", """
-WITH main AS (SELECT portname, portcode, type FROM (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM port_raw) p
+@query("port_table", f"""
+WITH {_one_per_start_sql('coords')}, main AS (SELECT portname, portcode, type FROM (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM port_raw) p
   WHERE (upper(portname[1:3]) = portname[1:3] AND n > 1) OR n = 1),
 pairs AS (SELECT p.portname, p.portcode, p.type, c.portname AS portname_y, c.lat, c.long
-  FROM main p LEFT JOIN coords c ON p.portcode = c.portcode),
+  FROM main p LEFT JOIN one c ON p.portcode = c.portcode),
 counted AS (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM pairs)
 SELECT portname, portcode, type, round(coalesce(lat, 56), 6) AS lat, round(coalesce(long, 0), 6) AS long FROM counted
 WHERE (portname[1:3] = portname_y[1:3] AND n > 1) OR n = 1""")
 def port_table(v):
-    resolved = dims.resolve_ports(dims.keep_main_ports(v.port_raw()), coords(v))
+    resolved = dims.resolve_ports(dims.keep_main_ports(v.port_raw()), one_per_start(coords(v)))
     return _positions(filters.fill_unknown(resolved))
 
 

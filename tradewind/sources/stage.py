@@ -2,7 +2,8 @@
 
 A result that several later steps read (a cube, the links of a graph, a lookup) is written once, so the
 fact table behind it is scanned once and a lost executor costs no recomputation of it. The folder is the
-one named by ``spark.checkpoint.dir``.
+one named by ``spark.checkpoint.dir``; tables lie under ``tradewind/<application id>`` and may be removed
+once the application has ended.
 """
 
 from __future__ import annotations
@@ -12,21 +13,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folder: str | None = None
+
 
 def shared_folder(spark: SparkSession) -> str:
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tradewind-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="tradewind-")
+    return _local_folder
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` now and return it as a table with known size."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tradewind/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tradewind/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
