@@ -25,13 +25,12 @@ def with_month(df: DataFrame, shape: FactShape) -> DataFrame:
 
 
 def lay_out(df: DataFrame, code: str) -> DataFrame:
-    """Rows placed by month and code for writing.
+    """Rows gathered by month for writing, sorted by code.
 
-    Ranges over (month, code, row hash) keep tasks even when one month, or one code of it, holds a large
-    share of the rows, and each month ends up in few files sorted by code.
+    Rebalancing lets adaptive execution split a large month over many tasks, and put small ones together,
+    by the size the shuffle turns out to have; inside a file the sort lets readers skip by code.
     """
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartitionByRange(F.col("month"), F.col(code), spread).sortWithinPartitions("month", code)
+    return df.hint("rebalance", "month").sortWithinPartitions("month", code)
 
 
 def append_period(df: DataFrame, path: str, shape: FactShape, mode: str = "append") -> None:
