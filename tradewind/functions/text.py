@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def strip_control(c: Column) -> Column:
     """Drop the SUB control character that some early files carry."""
-    return F.regexp_replace(c, r"\x1A", "")
+    return F.replace(c, F.lit("\x1a"), F.lit(""))
 
 
 def to_latin1(c: Column, sub: str = "/") -> Column:

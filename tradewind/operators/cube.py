@@ -44,10 +44,13 @@ def flow_cube(fact: DataFrame, shape: FactShape, spec: QuerySpec, country: DataF
         rows = filters.filter_country(rows, shape.country, country, spec.countries, spec.keep_unknown and spec.countries is None)
     if by_port and not late_port:
         rows = filters.filter_port(rows, shape.port, port, spec.ports, spec.keep_unknown and spec.ports is None)
-    source = {"country": F.col(shape.country), "comcode": F.col(shape.code),
-              "port": F.col(shape.port) if by_port else None,
-              "month": F.col("month") if stored else periods.to_month(F.col(shape.period), shape.style)}
-    cube = rows.groupBy(*[source[k].alias(k) for k in keys]).agg(*[F.sum(c).alias(name) for name, c in shape.measures])
+    source = {"country": shape.country, "comcode": shape.code, "port": shape.port,
+              "month": "month" if stored else shape.period}
+    cube = (rows.groupBy(*[F.col(source[k]).alias(k) for k in keys])
+                .agg(*[F.sum(c).alias(name) for name, c in shape.measures]))
+    if "month" in keys and not stored:
+        # Respelled after the sum: the filter left one spelling per month.
+        cube = cube.withColumn("month", periods.to_month(F.col("month"), shape.style))
     if late_country:
         cube = filters.filter_country(cube, "country", country, keep_unknown=spec.keep_unknown)
     if by_port and late_port:

@@ -36,10 +36,10 @@ SELECT comcode, account_date, CASE WHEN l_linenumber <> 3 THEN value END AS valu
   CASE WHEN l_linenumber = 3 THEN 'value' ELSE '' END AS rejected FROM import_rows""")
 def cast_measures(v):
     marked = files.mark_rejects(_parsed(v).select("comcode", "account_date", "value", "quantity_1"), ["value", "quantity_1"])
-    kept = F.size("rejected_columns") == 0
+    kept = F.col("rejected_columns") == ""
     return marked.select("comcode", "account_date", F.when(kept, F.col("value")).alias("value"),
                          F.when(kept, F.col("quantity_1")).alias("quantity_1"),
-                         F.array_join("rejected_columns", ",").alias("rejected"))
+                         F.col("rejected_columns").alias("rejected"))
 
 
 @query("parse_control_records", """
@@ -150,6 +150,6 @@ SELECT e.file, CASE WHEN c.file IS NULL THEN 'missing' WHEN rejected > 0 THEN 'r
   coalesce(loaded, 0) AS rows, coalesce(rejected, 0) AS rejects FROM expected e LEFT JOIN counts c ON e.file = c.file""")
 def load_report(v):
     marked = files.mark_rejects(_parsed(v).select("file", "value", "quantity_1"), ["value", "quantity_1"])
-    kept = F.size("rejected_columns") == 0
+    kept = F.col("rejected_columns") == ""
     counts = marked.groupBy("file").agg(F.count_if(kept).alias("loaded"), F.count_if(~kept).alias("rejected"))
     return monitor.load_report(_expected(_fact_months(v)), counts)

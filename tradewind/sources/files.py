@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from tradewind.functions.codes import LEAF_LENGTH
 from tradewind.functions.text import clean_text, strip_control, unite
 from tradewind.schema import CONTROL_COLUMNS, FactShape
+from tradewind.sources.stage import stage
 
-_MAX_BROADCAST_FILES = 50_000     # two hashes per file
-_COPIES = 50_000                  # copies of a line put back per task row
+_COPIES = 50_000      # copies of a line put back per task row
 
 
 # Words that cannot stand alone as a column name and get a trailing "_".
@@ -58,18 +58,17 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str =
         line.alias("line"))
 
 
-def drop_file_ends(lines: DataFrame, n_files: int | None = None) -> DataFrame:
+def drop_file_ends(lines: DataFrame) -> DataFrame:
     """Lines without each file's first (header) and last (trailer) record.
 
     The scan of a file may be split differently when it is run again, so row numbers are compared within
     one pass only: a hash of each file's two end records picks the few lines that may be them, those are
-    counted by text, and every copy beyond the one header and one trailer is put back. ``n_files``, where
-    known, lets the table of hashes (a few bytes per file) be sent to every task.
+    counted by text, and every copy beyond the one header and one trailer is put back. The hashes, one row
+    per file, are staged: small, they go to every task by their known size, and lines stay where they are.
     """
     hashed = lines.withColumn("_hash", F.xxhash64("line"))
-    ends = hashed.groupBy("file").agg(F.min_by("_hash", "pos").alias("_head"), F.max_by("_hash", "pos").alias("_tail"))
-    if n_files is not None and n_files <= _MAX_BROADCAST_FILES:
-        ends = F.broadcast(ends)
+    ends = stage(hashed.groupBy("file").agg(F.min_by("_hash", "pos").alias("_head"),
+                                            F.max_by("_hash", "pos").alias("_tail")), "file-ends")
     marked = hashed.join(ends, "file")
     at_end = F.col("_hash").isin(F.col("_head"), F.col("_tail"))
     body = marked.where(~at_end).select("file", "pos", "line")
@@ -123,7 +122,7 @@ def parse_control_lines(lines: DataFrame) -> DataFrame:
 
 
 def mark_rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Measures as bigint, and ``rejected_columns``: those whose text is not a whole number.
+    """Measures as bigint, and ``rejected_columns``: names, comma-separated, of those that are not whole numbers.
 
     Blank text counts as missing, not as wrong.
     """
@@ -131,15 +130,15 @@ def mark_rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         return F.when((F.trim(c) != "") & F.col(c).try_cast("bigint").isNull(), F.lit(c))
 
     return df.select(*[F.col(c).try_cast("bigint").alias(c) if c in cols else F.col(c) for c in df.columns],
-                     F.array_compact(F.array(*[wrong(c) for c in cols])).alias("rejected_columns"))
+                     F.concat_ws(",", *[wrong(c) for c in cols]).alias("rejected_columns"))
 
 
 def cast_measures(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Records with their measures as bigint, and apart, as text, the records where one is not a whole number."""
     kept = F.struct(*[F.col(c) for c in cols])
     marked = mark_rejects(df.withColumn("_text", kept), cols)
-    good = marked.where(F.size("rejected_columns") == 0).drop("rejected_columns", "_text")
-    rejects = marked.where(F.size("rejected_columns") > 0).select(
+    good = marked.where(F.col("rejected_columns") == "").drop("rejected_columns", "_text")
+    rejects = marked.where(F.col("rejected_columns") != "").select(
         *[F.col("_text")[c].alias(c) if c in cols else F.col(c) for c in df.columns], "rejected_columns")
     return good, rejects
 
@@ -147,18 +146,12 @@ def cast_measures(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFr
 def read_fact_files(spark: SparkSession, paths: str | Sequence[str], shape: FactShape,
                     na_strings: Sequence[str] = (), encoding: str = "UTF-8") -> DataFrame:
     """Monthly fact files as text columns plus ``file``."""
-    lines = read_lines(spark, paths, encoding)
-    return parse_fact_lines(drop_file_ends(lines, _count_files(lines)), shape, na_strings)
+    return parse_fact_lines(drop_file_ends(read_lines(spark, paths, encoding)), shape, na_strings)
 
 
 def read_control_files(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Control files as text columns plus ``file`` and ``pos``."""
-    lines = read_lines(spark, paths, encoding)
-    return parse_control_lines(drop_file_ends(lines, _count_files(lines)))
-
-
-def _count_files(df: DataFrame) -> int:
-    return len(df.inputFiles())
+    return parse_control_lines(drop_file_ends(read_lines(spark, paths, encoding)))
 
 
 def normalise_file_name(name: Column) -> Column:
