@@ -3,7 +3,7 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tradewind.operators import cube, extract
+from tradewind.operators import cube, extract, monitor
 from tradewind.schema import COMCODE_SCHEMA, CONTROL_COLUMNS, IMPORTS
 from tradewind.sources import sinks, stage, tables
 from tradewind.spec import QuerySpec
@@ -40,6 +40,17 @@ def test_months_are_pruned(spark, tmp_path):
     assert rows(out.select("month", "price"), "month") == [("1998-02", 30), ("1998-03", 10)]
 
 
+def test_stored_counts_read_no_columns(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    raw = facts(spark, "01/1998", 60).unionByName(facts(spark, "02/1998", 30))
+    sinks.append_period(raw, path, IMPORTS)
+    stored = tables.read_facts(spark, path, IMPORTS)
+    counts = monitor.records_per_period(stored, IMPORTS)
+    assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
+    assert rows(counts, "period") == rows(monitor.records_per_period(raw, IMPORTS), "period") == [("199801", 60), ("199802", 30)]
+    assert rows(monitor.chapter_balance(stored, IMPORTS), "period") == rows(monitor.chapter_balance(raw, IMPORTS), "period")
+
+
 def test_guard(spark):
     old = facts(spark, "01/1998", 50).unionByName(facts(spark, "02/1998", 51))
     new = facts(spark, "01/1998", 3).unionByName(facts(spark, "02/1998", 3)).unionByName(facts(spark, "03/1998", 3)) \

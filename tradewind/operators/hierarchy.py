@@ -27,13 +27,13 @@ def derive_parent(codes: DataFrame, mode: str = "nearest") -> DataFrame:
         again = F.substring(F.col("_up"), F.lit(1), F.greatest(F.length("_up") - 2, F.lit(0)))
         return (up.join(listed, F.col("_up") == F.col("_listed"), "left")
                   .select("commoditycode", F.coalesce("_listed", again).alias("parent")))
-    # Every shorter prefix is tried; of the listed ones the longest sorts last.
+    # Every shorter prefix is tried; the length of the longest listed one says which it is.
     lengths = F.when(F.length(code) > 2, F.sequence(F.length(code) - 2, F.lit(1), F.lit(-2)))
     tries = (codes.select("commoditycode", F.explode_outer(lengths).alias("_n"))
                   .select("commoditycode", F.expr("substring(commoditycode, 1, _n)").alias("_try")))
     return (tries.join(listed, F.col("_try") == F.col("_listed"), "left")
-                 .groupBy("commoditycode")
-                 .agg(F.coalesce(F.max("_listed"), F.lit("")).alias("parent")))
+                 .groupBy("commoditycode").agg(F.coalesce(F.max(F.length("_listed")), F.lit(0)).alias("_n"))
+                 .select("commoditycode", F.expr("substring(commoditycode, 1, _n)").alias("parent")))
 
 
 def descendants(dim: DataFrame, codes: Sequence[str]) -> DataFrame:

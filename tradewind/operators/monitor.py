@@ -20,24 +20,30 @@ FOOD_MEASURES = {"imports": "quantity_1", "exports": "quantity_1",
 
 
 def _per_period(rows: DataFrame, shape: FactShape, measure) -> DataFrame:
-    """Measure per ``YYYYMM`` period; EU periods that do not start 020 are left out."""
+    """Measure per ``YYYYMM`` period; EU periods that do not start 020 are left out.
+
+    ``measure`` is built from the grouping column. A stored table is grouped by its partition column, so a
+    plain count opens no column at all.
+    """
     if shape.port is None:
         rows = valid_eu_period(rows, shape.period)
-    by = rows.groupBy(shape.period).agg(measure.alias("records"))
-    month = periods.to_month(F.col(shape.period), shape.style)
+    stored = "month" in rows.columns
+    col = "month" if stored else shape.period
+    by = rows.groupBy(F.col(col).alias("period")).agg(measure(col).alias("records"))
+    month = F.col("period") if stored else periods.to_month(F.col("period"), shape.style)
     return by.select(periods.from_month(month, "YYYYMM").alias("period"), "records")
 
 
 def records_per_period(fact: DataFrame, shape: FactShape) -> DataFrame:
     """Rows per period (the row for a missing period counts 0, as the count is of the period)."""
-    return _per_period(fact, shape, F.count(shape.period))
+    return _per_period(fact, shape, F.count)
 
 
 def chapter_balance(fact: DataFrame, shape: FactShape, measure: str | None = None,
                     first: int = 1, last: int = 23) -> DataFrame:
     """Sum of a measure per period over a range of chapters (food by default)."""
     food = fact.where(in_chapters(F.col(shape.code), first, last))
-    return _per_period(food, shape, F.sum(measure or FOOD_MEASURES[shape.name]))
+    return _per_period(food, shape, lambda _: F.sum(measure or FOOD_MEASURES[shape.name]))
 
 
 def align_by_period(imports: DataFrame, exports: DataFrame, arrivals: DataFrame, dispatches: DataFrame) -> DataFrame:

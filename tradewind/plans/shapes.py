@@ -8,6 +8,7 @@ from tradewind.functions import text
 from tradewind.operators import cube, dims, extract, filters, geo, graph
 from tradewind.plans.flows import ALL, CHAPTERS_1998, cube_of
 from tradewind.plans.registry import query
+from tradewind.sources.stage import stage
 
 
 def _lookup(v):
@@ -185,7 +186,7 @@ SELECT c.comcode[1:2] AS comcode2, h.description AS description2, c.comcode, c.p
 FROM imp_cube c LEFT JOIN codes d ON c.comcode = d.commoditycode LEFT JOIN port p ON c.port = p.portcode
   LEFT JOIN country k ON c.country = k.countrycode LEFT JOIN codes h ON c.comcode[1:2] = h.commoditycode""")
 def extract_non_eu(v):
-    return extract.enrich_extract(cube_of(v, "imports"), v.codes(), v.country(), v.port())
+    return extract.enrich_extract(cube_of(v, "imports"), stage(v.codes(), "codes"), v.country(), v.port())
 
 
 @query("extract_eu", """
@@ -194,7 +195,7 @@ SELECT c.comcode[1:2] AS comcode2, h.description AS description2, c.comcode, c.c
 FROM arr_cube c LEFT JOIN codes d ON c.comcode = d.commoditycode
   LEFT JOIN country k ON c.country = k.countrycode LEFT JOIN codes h ON c.comcode[1:2] = h.commoditycode""")
 def extract_eu(v):
-    return extract.enrich_extract(cube_of(v, "arrivals"), v.codes(), v.country())
+    return extract.enrich_extract(cube_of(v, "arrivals"), stage(v.codes(), "codes"), v.country())
 
 
 @query("extract_headers", """
@@ -204,4 +205,4 @@ SELECT c.comcode[1:2] AS "2-Digit Comcode", h.description AS "2-Digit Descriptio
 FROM disp_cube c LEFT JOIN codes d ON c.comcode = d.commoditycode
   LEFT JOIN country k ON c.country = k.countrycode LEFT JOIN codes h ON c.comcode[1:2] = h.commoditycode""")
 def extract_headers(v):
-    return extract.with_headers(extract.enrich_extract(cube_of(v, "dispatches"), v.codes(), v.country()))
+    return extract.with_headers(extract.enrich_extract(cube_of(v, "dispatches"), stage(v.codes(), "codes"), v.country()))

@@ -35,7 +35,7 @@ def lay_out(df: DataFrame, code: str) -> DataFrame:
 
 def append_period(df: DataFrame, path: str, shape: FactShape, mode: str = "append") -> None:
     """Add fact rows to a table partitioned by month."""
-    dated = with_month(df, shape)
+    dated = df if "month" in df.columns else with_month(df, shape)
     lay_out(dated, shape.code).write.mode(mode).partitionBy("month").parquet(path)
 
 

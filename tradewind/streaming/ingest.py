@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tradewind.schema import FactShape
 from tradewind.sources.files import cast_measures, drop_file_ends, parse_control_lines, parse_fact_lines
-from tradewind.sources.sinks import GUARD_ROWS, append_period, guarded_append, upsert_table
+from tradewind.sources.sinks import GUARD_ROWS, append_period, guarded_append, upsert_table, with_month
 from tradewind.sources.stage import stage
 from tradewind.sources.tables import fact_schema
 
@@ -53,11 +53,12 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, s
     def each_batch(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
         records = stage(parse_fact_lines(_positioned(lines), shape), "records")
-        good, rejects = cast_measures(records, shape.integers)
+        good, rejects = cast_measures(with_month(records, shape), shape.integers)
         layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.LongType())])
         stored = _read_or_none(session, f"{dst}/facts", layout)
         if stored is not None:
-            good = guarded_append(good, stored.where(F.col("load_id") < batch_id), shape.period, threshold)
+            # By the partition column: counting a stored month opens no column of it.
+            good = guarded_append(good, stored.where(F.col("load_id") < batch_id), "month", threshold)
         append_period(good, f"{dst}/facts/load_id={batch_id}", shape, mode="overwrite")
         rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={batch_id}")
 
