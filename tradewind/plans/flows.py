@@ -337,6 +337,14 @@ def eu_sum_of_ratios(v):
     return summed.withColumn("value", F.round("value", 4))
 
 
+@query("eu_map_ratios", """
+SELECT country, round(sum(price::double / nullif(weight, 0)::double), 4) AS value FROM (
+  SELECT country, comcode, sum(price) AS price, sum(weight) AS weight FROM disp_cube GROUP BY ALL) p GROUP BY country""")
+def eu_map_ratios(v):
+    pairs = cube_of(v, "dispatches", keys=("country", "comcode"))
+    return cube.sum_of_ratios(pairs, ["country"]).withColumn("value", F.round("value", 4))
+
+
 @query("eu_series_sum_of_ratios", "SELECT month, comcode, round(sum(price::double / nullif(weight, 0)::double), 4) AS value "
                                   "FROM arr_cube GROUP BY ALL")
 def eu_series_sum_of_ratios(v):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradewind.functions.codes import code_from_label, code_label, is_section
-from tradewind.functions.text import parse_latitude, parse_longitude
+from tradewind.functions.text import pad2, parse_latitude, parse_longitude
 from tradewind.operators import dims, filters, hierarchy, ordering
 from tradewind.plans.registry import query
 from tradewind.sources import tables
@@ -285,9 +285,21 @@ def drop_blank(v):
 
 
 @query("country_dim", """
+SELECT countryname, countrycode FROM (SELECT *, row_number() OVER (PARTITION BY countrycode ORDER BY countryname) AS rn FROM (
+  SELECT countryname, countrycode FROM country
+  UNION ALL SELECT r_name || ': ' || n_name, lpad(cast(n_nationkey AS varchar), 2, '0') FROM nation JOIN region ON n_regionkey = r_regionkey) c) r
+WHERE rn = 1 ORDER BY countryname""")
+def country_dim(v):
+    region = v.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    other = v.table("nation").join(region, "n_regionkey").select(
+        F.concat("r_name", F.lit(": "), "n_name").alias("countryname"), pad2(F.col("n_nationkey")).alias("countrycode"))
+    return dims.load_dim(v.country().unionByName(other), "countrycode", "countryname")
+
+
+@query("port_dim", """
 SELECT portcode, portname, type FROM (SELECT *, row_number() OVER (PARTITION BY portcode ORDER BY portname) AS rn FROM port_raw) r
 WHERE rn = 1 ORDER BY portname""")
-def country_dim(v):
+def port_dim(v):
     return dims.load_dim(v.port_raw(), "portcode", "portname").select("portcode", "portname", "type")
 
 

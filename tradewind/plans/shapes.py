@@ -18,8 +18,8 @@ def _lookup(v):
 # --- graphs
 
 
-def _links_sql(table: str, steps, where: str = "TRUE") -> str:
-    parts = [f"SELECT {i} AS step, {a} AS source, {b} AS target, cast(sum(price) AS bigint) AS value FROM {table} "
+def _links_sql(table: str, steps, where: str = "TRUE", unit: str = "price") -> str:
+    parts = [f"SELECT {i} AS step, {a} AS source, {b} AS target, cast(sum({unit}) AS bigint) AS value FROM {table} "
              f"WHERE {where} GROUP BY ALL" for i, (a, b) in enumerate(steps)]
     return "links AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -33,13 +33,13 @@ _LINK_ROWS = """SELECT s.id AS source_id, t.id AS target_id, value FROM links JO
 _SLICE = "comcode[1:2] BETWEEN '01' AND '05' AND month BETWEEN '1998-01' AND '1998-12'"
 
 
-def _graph(key: str, table: str, fact: str, steps, what: str, spec=ALL, where: str = "TRUE") -> None:
+def _graph(key: str, table: str, fact: str, steps, what: str, spec=ALL, where: str = "TRUE", unit: str = "price") -> None:
     rows = _NODE_ROWS if what == "nodes" else _LINK_ROWS
 
-    @query(key, f"WITH {_links_sql(table, steps, where)}, {_NODES} {rows}")
+    @query(key, f"WITH {_links_sql(table, steps, where, unit)}, {_NODES} {rows}")
     def build(v):
         facts = cube_of(v, fact, spec, graph.ends_of(steps))
-        return graph.flow_graph(facts, steps, _lookup(v))[0 if what == "nodes" else 1]
+        return graph.flow_graph(facts, steps, _lookup(v), unit)[0 if what == "nodes" else 1]
 
 
 _graph("flow_nodes", "imp_cube", "imports", graph.FULL_INBOUND, "nodes")
@@ -52,6 +52,8 @@ _graph("port_country_links", "exp_cube", "exports", graph.COUNTRY_PORT_OUTBOUND,
 _graph("eu_flow_nodes", "arr_cube", "arrivals", graph.EU_INBOUND, "nodes")
 _graph("eu_flow_links", "arr_cube", "arrivals", graph.EU_INBOUND, "links")
 _graph("eu_dispatch_links", "disp_cube", "dispatches", graph.EU_OUTBOUND, "links")
+_graph("eu_consignment_links", "arr_cube", "arrivals", graph.EU_INBOUND, "links", unit="consignments")
+_graph("weight_flow_links", "exp_cube", "exports", graph.FULL_OUTBOUND, "links", unit="weight")
 _graph("selected_flow_nodes", "imp_cube", "imports", graph.FULL_INBOUND, "nodes", CHAPTERS_1998, _SLICE)
 _graph("selected_flow_links", "imp_cube", "imports", graph.FULL_INBOUND, "links", CHAPTERS_1998, _SLICE)
 
@@ -101,6 +103,24 @@ def choropleth(v):
     return _mapped(v)
 
 
+@query("eu_choropleth", """
+WITH totals AS (SELECT country, cast(sum(consignments) AS bigint) AS value FROM arr_cube GROUP BY 1)
+SELECT k.countryname AS region, p.grp, p.ord, p.lng, p.lat, t.value FROM map_points p
+LEFT JOIN totals t ON p.region = t.country LEFT JOIN country k ON p.region = k.countrycode WHERE t.value IS NOT NULL""")
+def eu_choropleth(v):
+    totals = cube.country_totals(filters.select_unit(cube_of(v, "arrivals", keys=("country",)), "consignments"))
+    return geo.choropleth(v.map_points(), totals, v.country(), {})
+
+
+@query("ppk_choropleth", """
+WITH totals AS (SELECT country, round(sum(price)::double / nullif(sum(weight), 0)::double, 6) AS value FROM exp_cube GROUP BY 1)
+SELECT k.countryname AS region, p.grp, p.ord, p.lng, p.lat, t.value FROM map_points p
+LEFT JOIN totals t ON p.region = t.country LEFT JOIN country k ON p.region = k.countrycode WHERE t.value IS NOT NULL""")
+def ppk_choropleth(v):
+    ratios = cube.price_per_kilo(cube_of(v, "exports", keys=("country",)), ["country"])
+    return geo.choropleth(v.map_points(), ratios.withColumn("value", F.round("value", 6)), v.country(), {})
+
+
 @query("ring_attributes", f"WITH {_MAPPED} SELECT DISTINCT region, grp, value FROM mapped")
 def ring_attributes(v):
     return geo.ring_attributes(_mapped(v))
@@ -126,7 +146,7 @@ def scaled_totals(v):
 
 
 @query("value_labels", f"""WITH {_SCALED}
-SELECT country, '£' || cast(cast(value AS decimal(38,2)) AS varchar) || suffix AS price_label,
+SELECT country, 'Price' AS title, '£' || cast(cast(value AS decimal(38,2)) AS varchar) || suffix AS price_label,
   cast(cast(value AS decimal(38,2)) AS varchar) || suffix || ' kg' AS weight_label,
   '£' || cast(cast(value AS decimal(38,2)) AS varchar) || suffix || '/kg' AS ratio_label,
   cast(cast(value AS decimal(38,2)) AS varchar) || suffix || ' Con.' AS count_label,
@@ -136,7 +156,8 @@ def value_labels(v):
     scaled = geo.scale_values(_totals(v)).join(v.country(), F.col("country") == F.col("countrycode"))
     value, suffix = F.col("value"), F.col("suffix")
     return scaled.select(
-        "country", text.value_label(value, "price", suffix).alias("price_label"),
+        "country", F.lit(text.UNIT_TITLES["price"]).alias("title"),
+        text.value_label(value, "price", suffix).alias("price_label"),
         text.value_label(value, "weight", suffix).alias("weight_label"),
         text.value_label(value, "price_per_kilo", suffix).alias("ratio_label"),
         text.value_label(value, "consignments", suffix).alias("count_label"),
