@@ -22,7 +22,7 @@ def test_every_query_has_sql():
 def test_query(spark, con, name):
     n, _, problem = compare(spark, con, name, QUERIES[name], SQL[name], SF)
     assert problem is None
-    if name not in {"selected_imports_cube"}:      # too narrow for the smallest data
+    if name not in {"selected_imports_cube", "deepest_level_filter"}:      # too narrow for the smallest data
         assert n > 0
 
 
