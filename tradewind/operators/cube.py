@@ -46,7 +46,14 @@ def flow_cube(fact: DataFrame, shape: FactShape, spec: QuerySpec, country: DataF
         rows = filters.filter_port(rows, shape.port, port, spec.ports, spec.keep_unknown and spec.ports is None)
     source = {"country": shape.country, "comcode": shape.code, "port": shape.port,
               "month": "month" if stored else shape.period}
-    cube = (rows.groupBy(*[F.col(source[k]).alias(k) for k in keys])
+    groups = {k: F.col(source[k]) for k in keys}
+    if spec.keep_unknown:
+        # One group for what is unknown, however it is spelled.
+        if "country" in groups:
+            groups["country"] = F.when(groups["country"] != "", groups["country"])
+        if "port" in groups:
+            groups["port"] = F.coalesce(groups["port"], F.lit(""))
+    cube = (rows.groupBy(*[c.alias(k) for k, c in groups.items()])
                 .agg(*[F.sum(c).alias(name) for name, c in shape.measures]))
     if "month" in keys and not stored:
         # Respelled after the sum: the filter left one spelling per month.

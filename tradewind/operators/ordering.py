@@ -28,7 +28,7 @@ def next_in_order(df: DataFrame, value: str, order: str, bucket_width: int = 100
 
     A bucket spans ``bucket_width`` consecutive order numbers, so it never holds more rows than that.
     """
-    cut = df.withColumn("_bucket", F.floor(F.col(order) / bucket_width))
+    cut = df.withColumn("_bucket", F.expr(f"`{order}` div {bucket_width}"))
     inside = Window.partitionBy("_bucket").orderBy(order)
     heads = (cut.groupBy("_bucket").agg(F.min_by(value, order).alias("_head"))
                 .withColumn("_next_head", F.lead("_head").over(Window.orderBy("_bucket")))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tradewind.functions.codes import code_from_label, code_label, is_section
 from tradewind.functions.text import pad2, parse_latitude, parse_longitude
 from tradewind.operators import dims, filters, hierarchy, ordering
+from tradewind.plans import builds
 from tradewind.plans.registry import query
+from tradewind.schema import FACTS
 from tradewind.sources import tables
 from tradewind.sources.stage import stage
 
@@ -35,12 +37,7 @@ def parented(v):
 
 def comcode(v):
     """The code lookup as built from nomenclature, control files and sections."""
-    lines, control = stage(nomen(v), "nomenclature"), stage(v.control(), "control")
-    rows = hierarchy.split_sections(lines)[1].select("commoditycode", "parent", "description")
-    everything = dims.union_keys(rows.select("commoditycode"), control.select("commoditycode"))
-    merged = dims.merge_parent(rows, hierarchy.derive_parent(everything))
-    described = dims.merge_description(merged, control)
-    return hierarchy.attach_sections(described, hierarchy.section_starts(lines))
+    return builds.build_code_table(nomen(v), v.control())
 
 
 _DIGITS = "NOT regexp_matches(commoditycode, 'I|V|X')"
@@ -240,12 +237,6 @@ def attach_coords(v):
     return _positions(dims.attach_coords(v.port_raw(), one_each))
 
 
-def one_per_start(positions):
-    """One position per code and name start, so that a port meets at most one."""
-    marked = positions.withColumn("start", dims.name_start(F.col("portname")))
-    return ordering.first_per_key(marked, ["portcode", "start"], ["portname", "lat", "long"]).drop("start")
-
-
 def _one_per_start_sql(table: str) -> str:
     return (f"one AS (SELECT portname, portcode, lat, long FROM (SELECT *, row_number() OVER (PARTITION BY portcode, portname[1:3] "
             f"ORDER BY portname, lat, long) AS rn FROM {table}) r WHERE rn = 1)")
@@ -258,7 +249,7 @@ counted AS (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM pairs)
 SELECT portname, portcode, type, round(coalesce(lat, 56), 6) AS lat, round(coalesce(long, 0), 6) AS long FROM counted
 WHERE (portname[1:3] = portname_y[1:3] AND n > 1) OR n = 1""")
 def resolve_ports(v):
-    located = one_per_start(tables.shape_locode(v.locode_raw()))
+    located = builds.one_per_start(tables.shape_locode(v.locode_raw()))
     return _positions(filters.fill_unknown(dims.resolve_ports(v.port_raw(), located)))
 
 
@@ -271,8 +262,7 @@ counted AS (SELECT *, count(*) OVER (PARTITION BY portcode) AS n FROM pairs)
 SELECT portname, portcode, type, round(coalesce(lat, 56), 6) AS lat, round(coalesce(long, 0), 6) AS long FROM counted
 WHERE (portname[1:3] = portname_y[1:3] AND n > 1) OR n = 1""")
 def port_table(v):
-    resolved = dims.resolve_ports(dims.keep_main_ports(v.port_raw()), one_per_start(coords(v)))
-    return _positions(filters.fill_unknown(resolved))
+    return _positions(builds.build_port_table(v.port_raw(), tables.shape_locode(v.locode_raw()), v.extra_ports()))
 
 
 @query("drop_blank", "SELECT portname, portcode, lat, long FROM (SELECT portname, portcode, round(lat, 6) AS lat, round(long, 6) AS long "
@@ -312,11 +302,7 @@ def first_per_key(v):
 
 
 def flagged(v):
-    def seen(name, col):
-        return v.fact(name).select(col)
-    eu = dims.union_keys(seen("arrivals", "smk_cod_alpha"), seen("dispatches", "smk_cod_alpha"))
-    non_eu = dims.union_keys(seen("imports", "coo_alpha"), seen("exports", "cod_alpha"))
-    return dims.flag_membership(v.country(), "countrycode", {"eu": eu, "non_eu": non_eu})
+    return builds.build_country_table(v.country(), {name: v.fact(name) for name in FACTS})
 
 
 _FLAGGED = """flagged AS (SELECT countryname, countrycode,
