@@ -32,5 +32,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` now and return it as a table with known size."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tradewind/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)    # its buffers are freed at once, unlike snappy's direct memory
     return spark.read.schema(df.schema).parquet(path)
