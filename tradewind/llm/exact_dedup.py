@@ -124,8 +124,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col), F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     rest = flagged.where("_maybe").select(id_col, "text_sha256")
-    groups = rest.groupBy(F.col("text_sha256").alias("_sha")).agg(
-        F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # staged, so that the join below has a shuffle on either side and a group with many rows can be split
+    groups = stage(rest.groupBy(F.col("text_sha256").alias("_sha")).agg(
+        F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     back = rest.join(groups, F.col("text_sha256") == F.col("_sha")).select(
         F.col(id_col), "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(back)
@@ -142,7 +143,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hashes = stage(tagged.select("_hash"), "hashes")
     flagged = flag_possible_repeats(tagged, "_hash", hashes.count(), max_filter_bytes, hashes)
     rest = flagged.where("_maybe")
-    smallest = rest.groupBy(F.col("_sha").alias("_key")).agg(F.min(ident).alias("_keep"))
+    smallest = stage(rest.groupBy(F.col("_sha").alias("_key")).agg(F.min(ident).alias("_keep")), "smallest")
     stay = (rest.join(smallest, F.col("_sha") == F.col("_key"))
                 .where(F.col(ident).eqNullSafe(F.col("_keep"))).dropDuplicates(["_sha"]))
     back = [F.col(n).alias(c) for c, n in names.items()]
