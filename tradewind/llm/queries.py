@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, mixing, secrets
+from tradewind.llm import chat, exact_dedup, mixing, near_dedup, secrets
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("secrets", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
     return found.select("doc_id", *[number(r.kind) for r in secrets.BASE_RULES],
                         F.sha2(secrets.joined_spans(base), 256).alias("base_sha256"), secrets.joined_spans(F.col("secrets")).alias("spans"))
+
+
+@query("op10_near_dedup", r"""
+WITH RECURSIVE w AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, h FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                          ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS h FROM w)),
+n AS MATERIALIZED (SELECT w.doc_id, count(h) AS n_shingles FROM w LEFT JOIN g USING (doc_id) GROUP BY w.doc_id),
+p AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL)
+      JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n_shingles + nb.n_shingles - shared)),
+e AS MATERIALIZED (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT a AS doc_id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+SELECT n.doc_id, n.n_shingles, coalesce(c.root, n.doc_id) AS component_id, n.doc_id = coalesce(c.root, n.doc_id) AS kept
+FROM n LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
