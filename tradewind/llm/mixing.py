@@ -44,7 +44,7 @@ def source_targets(sized: DataFrame, cycle: Sequence[float] = (5, 2, 1), share:
     return stage(ranked.withColumn("target", target).select("source", "source_size", "rows", "rank", "target"), "targets")
 
 
-def mix(sized: DataFrame, targets: DataFrame, share: float = 1.5, block_rows: int = 50_000, seed: str = "mix") -> DataFrame:
+def mix(sized: DataFrame, targets: DataFrame, share: float = 1.5, block_rows: int = 5_000, seed: str = "mix") -> DataFrame:
     """The mix: one row for each time a document is taken, in its order of training.
 
     ``sized`` has a distinct ``row``, ``id``, ``source`` and ``size``. Each source's documents are shuffled

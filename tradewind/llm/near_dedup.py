@@ -26,7 +26,7 @@ VALUES = 128            # MinHash values of a signature
 TREES, DEPTH = 16, 16   # orders of the signature, and values of it that an order sorts by
 NEIGHBOURS = 4          # following nodes of a tree that a node is compared with
 LEAST_PREFIX = 3        # values that a candidate shares at least at the start of a tree's order
-LEAST_ALIKE = 8         # of the DEPTH values of that tree (at similarity 0.85, 13.6 are expected)
+LEAST_ALIKE = 10        # of the DEPTH values of that tree (at similarity 0.85, 13.6 are expected)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
