@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, mixing, near_dedup, secrets
+from tradewind.llm import chat, exact_dedup, mixing, near_dedup, pieces, secrets, token_files
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,13 @@ FROM n LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USI
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
