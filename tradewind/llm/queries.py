@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, mixing, near_dedup, pieces, secrets, token_files
+from tradewind.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, pieces, secrets, token_files
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_table(table(spark, sf_dir, "documents"))
