@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import WORD, prefix_sums, text_of
+from tradewind.llm.common import WORD, opaque, prefix_sums, text_of
 from tradewind.operators.ordering import dense_index
 from tradewind.sources.stage import stage
 
@@ -96,3 +96,21 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     out = (sized.join(targets.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s")))
                 .join(taken, F.col("row") == F.col("_row"), "left"))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                  cycle: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The documents of the mix, all columns kept: a document is there as often as the mix takes it.
+
+    A document that the mix cuts short is there whole if at least half of that copy's words are taken, else it
+    is not; documents without words are left out. Null sources, repeated rows and empty tables are as in ``taken_words``.
+    """
+    plain, names = opaque(docs)
+    tagged = stage(plain.withColumn("row", F.monotonically_increasing_id()), "tagged")
+    sized = tagged.select("row", F.col(names[id_col]).alias("id"), F.col(names[source_col]).cast("string").alias("source"),
+                          word_count(names[text_col]).alias("size"))
+    sized = stage(sized, "sizes")
+    picks = mix(sized, source_targets(sized, cycle, share, most), share).where("2 * taken >= size")
+    copies = picks.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    out = tagged.join(copies, F.col("row") == F.col("_row")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -234,6 +234,17 @@ class _Pieces:
         return ids, starts, ends, decoded
 
 
+class _Ids:
+    """Ids, and whether decoding gives the text back."""
+    fields = "ids array<int>, lossless boolean"
+
+    def __init__(self, key: pa.DataType):
+        self.schema = pa.schema([("id", key), ("ids", pa.list_(pa.int32())), ("lossless", pa.bool_())])
+
+    def __call__(self, text, ids, starts, ends, decoded):
+        return ids, decoded == text
+
+
 class _Digest:
     """Lengths and digests of the ids, the spans and the decoded text."""
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long, lossless boolean"
@@ -272,3 +283,8 @@ def digest_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     """As ``encode_pieces``, but digests made where the pieces are: ``n_tokens``, ``ids_sha256`` (decimal ids joined
     by commas), ``decoded_sha256``, ``spans_crc32`` (all starts, then all ends), ``lossless``."""
     return _run(docs, model_path, id_col, text_col, _Digest)
+
+
+def encode_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``encode_pieces``, with ``ids`` and ``lossless`` (whether they decode to the text) only."""
+    return _run(docs, model_path, id_col, text_col, _Ids)

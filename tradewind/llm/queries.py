@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, pieces, secrets, token_files
+from tradewind.llm import chat, exact_dedup, fingerprints, masked_lm, mixing, near_dedup, pieces, quality, secrets, token_files
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score_documents(docs, masked_lm.train(docs))
