@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import worker_memo
-from tradewind.sources.stage import shared_folder
+from tradewind.sources.stage import shared_folder, stage
 
 _KNOWN = 800_000        # pieces of text whose ids a worker remembers
 _PLACE = re.compile(r"(?= \S)")
@@ -55,19 +55,19 @@ def _encode_pieces(tokenizer, lengths: np.ndarray, pieces: list[str]) -> list[by
     apart = [p for p in pieces if _PLACE.match(p) is None]
     made = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(apart, tokenizer.encode_batch_fast(apart, add_special_tokens=False))}
     rest = [p for p in pieces if p not in made]
-    for i in range(0, len(rest), 1 << 14):
-        part = rest[i:i + (1 << 14)]
-        ids = np.array(tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum([len(p.encode()) for p in part])) + 1
-        flat, at = ids.tobytes(), 0
-        for p, end in zip(part, (4 * ends).tolist()):
-            made[p] = flat[at:end]
-            at = end
+    texts = ["".join(rest[i:i + 256]) for i in range(0, len(rest), 256)]
+    ids = np.array([x for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
+    sizes = [len(p) if p.isascii() else len(p.encode()) for p in rest]
+    ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
+    flat, at = ids.tobytes(), 0
+    for p, end in zip(rest, (4 * ends).tolist()):
+        made[p] = flat[at:end]
+        at = end
     return [made[p] for p in pieces]
 
 
-def encode_batch(texts: list[str], path: str) -> list[np.ndarray]:
-    """The ids of each text, as the library gives them for it: each different piece of text is encoded once a worker."""
+def encode_batch(texts: list[str], path: str) -> list[bytes]:
+    """The ids of each text (little-endian unsigned 32-bit), as the library gives them for it: each different piece of text is encoded once a worker."""
     tokenizer, lengths = _tokenizer(path)
     known = worker_memo(f"known {path}", dict)
     if len(known) > _KNOWN:
@@ -77,14 +77,13 @@ def encode_batch(texts: list[str], path: str) -> list[np.ndarray]:
     new = sorted({p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None})
     here = dict(zip(new, _encode_pieces(tokenizer, lengths, new)))
     known.update((p, x) for p, x in here.items() if len(p) < _LONG)
-    return [np.frombuffer(b"".join([here[p] if x is None else x for p, x in zip(pieces, ids)] if None in ids else ids), "<u4")
-            for pieces, ids in zip(cut, found)]
+    return [b"".join([here[p] if x is None else x for p, x in zip(pieces, ids)] if None in ids else ids) for pieces, ids in zip(cut, found)]
 
 
 def _write(path: str, end_id: int):
     """Sorted batches of (id, text) to id, part, ids before this row in its part, ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
+        part, at, last = TaskContext.get().partitionId(), 0, np.uint32(end_id).tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             row = 0
@@ -93,12 +92,11 @@ def _write(path: str, end_id: int):
                 while stop < len(texts) and (stop == row or size + len(texts[stop]) < 1 << 21):
                     size += len(texts[stop])
                     stop += 1
-                each = [np.append(x, np.uint32(end_id)).astype(np.int32) for x in encode_batch(texts[row:stop], path)]
-                sizes = np.array([len(x) for x in each], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(sizes)))
+                each = [x + last for x in encode_batch(texts[row:stop], path)]
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in each])))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, stop - row), pa.array(np.full(stop - row, part, np.int32)),
-                    pa.array(at + offsets[:-1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(each)))],
+                    pa.array(at + offsets[:-1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(each), np.int32)))],
                     ["id", "part", "before", "ids"])
                 at += int(offsets[-1])
                 row = stop
@@ -127,8 +125,8 @@ def read_tokens(spark: SparkSession, folder: str, schema: str = "doc_id long, pa
 
 
 def file_starts(rows: DataFrame) -> DataFrame:
-    """``_part`` and ``_base``, the number of ids in the files before."""
-    sizes = rows.select("part", (F.col("before") + F.size("ids")).alias("end")).groupBy(F.col("part").alias("_part")).agg(F.max("end").alias("_size"))
+    """``_part`` and ``_base``, the number of ids in the files before, from ``part``, ``before`` and ``n_tokens``."""
+    sizes = rows.groupBy(F.col("part").alias("_part")).agg(F.max(F.col("before") + F.col("n_tokens")).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)       # one row a file
     return sizes.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
 
@@ -151,8 +149,7 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str =
     write_tokens(docs, folder, tokenizer_path, end_id, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = read_tokens(spark, folder, f"`{id_col}` {kind}, part int, before long, ids array<int>")
-    summed = rows.select(F.col(id_col).alias("id"), "part", "before", "ids").mapInArrow(
-        _checksum, f"id {kind}, part int, before long, n_tokens long, ids_crc32 long")
-    base = file_starts(rows)
-    out = summed.join(base, F.col("part") == F.col("_part"))
+    summed = stage(rows.select(F.col(id_col).alias("id"), "part", "before", "ids").mapInArrow(
+        _checksum, f"id {kind}, part int, before long, n_tokens long, ids_crc32 long"), "read-back")
+    out = summed.join(file_starts(summed), F.col("part") == F.col("_part"))
     return out.select(F.col("id").alias(id_col), (F.col("_base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
