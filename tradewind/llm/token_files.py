@@ -50,20 +50,18 @@ def _cut(text: str) -> list[str]:
     return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
 
 
-def _encode_pieces(tokenizer, lengths: np.ndarray, pieces: list[str]) -> list[bytes]:
-    """The ids of each piece. Pieces that begin with a space are encoded as one text and told apart by their bytes."""
-    apart = [p for p in pieces if _PLACE.match(p) is None]
-    made = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(apart, tokenizer.encode_batch_fast(apart, add_special_tokens=False))}
-    rest = [p for p in pieces if p not in made]
+def _learn(known: dict[str, bytes], tokenizer, lengths: np.ndarray, pieces: list[str]) -> None:
+    """Adds the ids of each piece. Pieces that begin with a space before a word are encoded 256 to a text and told apart by their bytes."""
+    rest = [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+    if len(rest) < len(pieces):
+        apart = list(set(pieces).difference(rest))
+        known.update(zip(apart, [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(apart, add_special_tokens=False)]))
     texts = ["".join(rest[i:i + 256]) for i in range(0, len(rest), 256)]
     ids = np.array([x for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
     sizes = [len(p) if p.isascii() else len(p.encode()) for p in rest]
     ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
-    flat, at = ids.tobytes(), 0
-    for p, end in zip(rest, (4 * ends).tolist()):
-        made[p] = flat[at:end]
-        at = end
-    return [made[p] for p in pieces]
+    flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+    known.update(zip(rest, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
 
 
 def encode_batch(texts: list[str], path: str) -> list[bytes]:
@@ -73,11 +71,14 @@ def encode_batch(texts: list[str], path: str) -> list[bytes]:
     if len(known) > _KNOWN:
         known.clear()
     cut = [_cut(t) for t in texts]
-    found = [list(map(known.get, pieces)) for pieces in cut]
-    new = sorted({p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None})
-    here = dict(zip(new, _encode_pieces(tokenizer, lengths, new)))
-    known.update((p, x) for p, x in here.items() if len(p) < _LONG)
-    return [b"".join([here[p] if x is None else x for p, x in zip(pieces, ids)] if None in ids else ids) for pieces, ids in zip(cut, found)]
+    new = list(set().union(*cut).difference(known))
+    if new:
+        _learn(known, tokenizer, lengths, new)
+    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+    for p in new:
+        if len(p) >= _LONG:
+            del known[p]
+    return out
 
 
 def _write(path: str, end_id: int):
@@ -114,7 +115,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     ordered = wanted.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     kind = wanted.schema["id"].dataType.simpleString()
     made = ordered.mapInArrow(_write(tokenizer_path, end_id), f"id {kind}, part int, before long, ids array<int>")
-    (made.withColumnRenamed("id", id_col).write.option("compression", "zstd").option("orc.stripe.size", 16 << 20)
+    (made.withColumnRenamed("id", id_col).write.option("compression", "snappy").option("orc.stripe.size", 16 << 20)
          .option("orc.row.index.stride", 10_000).option("orc.bloom.filter.columns", id_col)
          .option("orc.bloom.filter.fpp", 0.01).option("orc.dictionary.key.threshold", 0).orc(folder))
 
