@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import worker_memo
 from tradewind.sources.stage import shared_folder, stage
 
-_KNOWN = 800_000        # pieces of text whose ids a worker remembers
+_KNOWN = 600_000        # pieces of text whose ids a worker remembers
 _PLACE = re.compile(r"(?= \S)")
 _RUN = re.compile(r" (?:\s|$)")
 _LONG = 64              # characters from which a piece is not remembered
@@ -39,45 +39,48 @@ def _tokenizer(path: str):
     return worker_memo(f"tokenizer {path}", make)
 
 
-def _cut(text: str) -> list[str]:
+def _cut(text: str) -> tuple[list[str], list[str]]:
     """The text before each space that something other than white space follows: no token spans such a place.
 
     The byte-level pattern starts a token at every such space, and what follows a piece does not change the tokens in it.
+    Returns pieces as they are, then pieces that follow a space each (without it).
     """
     if _RUN.search(text):
-        return [p for p in _PLACE.split(text) if p]
+        return [p for p in _PLACE.split(text) if p], []
     first, *rest = text.split(" ")
-    return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+    return [first] if first else [], rest
 
 
-def _learn(known: dict[str, bytes], tokenizer, lengths: np.ndarray, pieces: list[str]) -> None:
-    """Adds the ids of each piece. Pieces that begin with a space before a word are encoded 256 to a text and told apart by their bytes."""
-    rest = [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
-    if len(rest) < len(pieces):
-        apart = list(set(pieces).difference(rest))
-        known.update(zip(apart, [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(apart, add_special_tokens=False)]))
-    texts = ["".join(rest[i:i + 256]) for i in range(0, len(rest), 256)]
+def _learn(spaced: dict[str, bytes], tokenizer, lengths: np.ndarray, words: list[str]) -> None:
+    """Adds the ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
+    texts = [" " + " ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
     ids = np.array([x for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
-    sizes = [len(p) if p.isascii() else len(p.encode()) for p in rest]
+    sizes = [1 + (len(p) if p.isascii() else len(p.encode())) for p in words]
     ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
     flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-    known.update(zip(rest, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+    spaced.update(zip(words, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
 
 
 def encode_batch(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text (little-endian unsigned 32-bit), as the library gives them for it: each different piece of text is encoded once a worker."""
     tokenizer, lengths = _tokenizer(path)
-    known = worker_memo(f"known {path}", dict)
-    if len(known) > _KNOWN:
-        known.clear()
+    known = worker_memo(f"known {path}", lambda: ({}, {}))
+    for memo in known:
+        if len(memo) > _KNOWN:
+            memo.clear()
+    plain, spaced = known
     cut = [_cut(t) for t in texts]
-    new = list(set().union(*cut).difference(known))
+    new = list(set().union(*[a for a, _ in cut]).difference(plain))
     if new:
-        _learn(known, tokenizer, lengths, new)
-    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-    for p in new:
-        if len(p) >= _LONG:
-            del known[p]
+        plain.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
+    words = list(set().union(*[b for _, b in cut]).difference(spaced))
+    if words:
+        _learn(spaced, tokenizer, lengths, words)
+    out = [b"".join((*map(plain.__getitem__, a), *map(spaced.__getitem__, b))) for a, b in cut]
+    for memo, added in ((plain, new), (spaced, words)):
+        for p in added:
+            if len(p) >= _LONG:
+                del memo[p]
     return out
 
 
