@@ -55,6 +55,16 @@ def prefix_sums(df: DataFrame, group: Sequence[str], block: str, order: Sequence
     return joined.withColumn(name, total).select(*df.columns, name)
 
 
+def short_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Sends whole texts to Python in batches of fewer rows, so that a batch with long texts stays small.
+
+    Changes the session's setting where it is larger, for every later query of the session.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def worker_memo(name: str, make: Callable[[], object]) -> object:
     """An object made once per Python worker, such as a loaded vocabulary."""
     memo = sys.modules.setdefault("_worker_memo", types.ModuleType("_worker_memo"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import _powers, mixed, text_chunks
+from tradewind.llm.common import _powers, mixed, short_batches, text_chunks
 from tradewind.sources.stage import stage
 
 _WINDOW = 7
@@ -205,6 +205,7 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Texts move once, to be sorted by id over the cluster; the last row of each task meets the first of the next in
     a second pass with one row a task.
     """
+    short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     order = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     kind = f"id {wanted.schema['id'].dataType.simpleString()}"

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import lowered, span_hashes, text_chunks, words_of
+from tradewind.llm.common import lowered, short_batches, span_hashes, text_chunks, words_of
 
 CLASSES, PER_CLASS = 64, 64
 WORDS = CLASSES * PER_CLASS     # ids: the most frequent words, then buckets for all others
@@ -158,6 +158,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the most frequent words of all documents, sorted, and their ranks. As many as the model has ids for."""
+    short_batches(docs.sparkSession)
     counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count_words, "word long, n long")
     top = (counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(WORDS - BUCKETS).collect())
     known = np.array([r["word"] for r in top], np.int64).view(np.uint64)
@@ -249,6 +250,7 @@ def score_documents(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_
     Words are in lower case (A-Z). A null text is empty: no words, sum 0, null mean. Null and repeated ids stay, a
     row each; an empty table gives an empty one; other columns are left out. Nothing is shuffled.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     made = wanted.mapInArrow(_score(shared), f"id {wanted.schema['id'].dataType.simpleString()}, n_words long, log_likelihood double")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import lowered, mixed, opaque, span_hashes, text_chunks, words_of
+from tradewind.llm.common import lowered, mixed, opaque, short_batches, span_hashes, text_chunks, words_of
 from tradewind.llm.components import components
 from tradewind.sources.stage import stage
 
@@ -213,6 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Pairs are confirmed in two rounds: first each node's likest neighbour on either side, then of the other pairs those that
     the links found so far do not connect, so that a group of thousands does not confirm all its pairs.
     """
+    short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     described = stage(wanted.mapInArrow(_describe(words, VALUES), f"id {wanted.schema['id'].dataType.simpleString()}, n_shingles long, node binary, signature binary"), "described")
     nodes = stage(described.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("signature").alias("signature")), "nodes")

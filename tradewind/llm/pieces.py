@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import worker_memo
+from tradewind.llm.common import short_batches, worker_memo
 
 _MARK = "▁".encode()           # stands for a space
 
@@ -262,6 +262,7 @@ class _Digest:
 
 
 def _run(docs: DataFrame, model_path: str, id_col: str, text_col: str, kind) -> DataFrame:
+    short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     from pyspark.sql.pandas.types import to_arrow_type
     key = wanted.schema["id"].dataType

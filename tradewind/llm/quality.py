@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import opaque, text_chunks
+from tradewind.llm.common import opaque, short_batches, text_chunks
 
 GRAMS = 1024            # hashed byte trigrams
 SHAPES = 8
@@ -112,6 +112,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Held-out ids and null labels are left out; an id with several labels counts with the smallest.
     """
+    short_batches(docs.sparkSession)
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(~held_out(id_col))
                    .groupBy(F.col(id_col).alias("_id")).agg(F.min((F.col(label_col) > 0).cast("int")).alias("label"))
                    .withColumn("place", F.xxhash64("_id")))
@@ -145,6 +146,7 @@ def score_quality(docs: DataFrame, space: Space, id_col: str = "doc_id", text_co
     repeated ids stay, a row each; an empty table gives an empty one; other columns are left out. The space is
     broadcast; it holds at most the sample's vectors. Nothing is shuffled.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(space)
     wanted = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     made = wanted.mapInArrow(_score(shared), f"id {wanted.schema['id'].dataType.simpleString()}, held_out boolean, score double")
@@ -154,6 +156,7 @@ def score_quality(docs: DataFrame, space: Space, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, space: Space, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of 0.5 or more, all columns kept; nothing is shuffled."""
     plain, names = opaque(docs)
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(space)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     made = (plain.withColumn("_text", F.col(names[text_col]).cast("string"))

@@ -10,6 +10,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import worker_memo
+from tradewind.llm.common import short_batches, worker_memo
 from tradewind.sources.stage import shared_folder, stage
 
-_KNOWN = 600_000        # pieces of text whose ids a worker remembers
+_KNOWN = 800_000        # pieces of text whose ids a worker remembers
 _PLACE = re.compile(r"(?= \S)")
 _RUN = re.compile(r" (?:\s|$)")
 _LONG = 64              # characters from which a piece is not remembered
@@ -54,7 +55,7 @@ def _cut(text: str) -> tuple[list[str], list[str]]:
 def _learn(spaced: dict[str, bytes], tokenizer, lengths: np.ndarray, words: list[str]) -> None:
     """Adds the ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
     texts = [" " + " ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
-    ids = np.array([x for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
+    ids = np.fromiter(chain.from_iterable(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
     sizes = [1 + (len(p) if p.isascii() else len(p.encode())) for p in words]
     ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
     flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
@@ -114,6 +115,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     file is one range of ids, its number and the place of a row's ids in it are stored with the row. An empty
     table gives files without rows.
     """
+    short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = wanted.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     kind = wanted.schema["id"].dataType.simpleString()
