@@ -30,7 +30,7 @@ def _levels(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Places after which a chunk may end, and the log2 of the largest block size for which it does."""
     rolled = np.zeros(len(data), np.uint32)
     place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    for j in range(_WINDOW):
+    for j in range(min(_WINDOW, len(data))):
         factor = np.uint32((0x9E3779B1 * pow(0x01000193, j + 1, 1 << 32)) & 0xFFFFFFFF | 1)
         part = (data[:len(data) - j].astype(np.uint32) + np.uint32(1)) * factor
         rolled[j:] += np.where(place[j:] >= j, part, np.uint32(0))

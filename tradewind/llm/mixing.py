@@ -103,14 +103,15 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     """The documents of the mix, all columns kept: a document is there as often as the mix takes it.
 
     A document that the mix cuts short is there whole if at least half of that copy's words are taken, else it
-    is not; documents without words are left out. Null sources, repeated rows and empty tables are as in ``taken_words``.
+    is not; documents without words are left out. Rows with equal id, source and text are taken as often as the mix
+    takes all of them, with the other columns of one of them. Null sources, repeated rows and empty tables are as in ``taken_words``.
     """
     plain, names = opaque(docs)
-    tagged = stage(plain.withColumn("row", F.monotonically_increasing_id()), "tagged")
-    sized = tagged.select("row", F.col(names[id_col]).alias("id"), F.col(names[source_col]).cast("string").alias("source"),
-                          word_count(names[text_col]).alias("size"))
-    sized = stage(sized, "sizes")
+    parts = [F.col(names[c]).cast("string") for c in (id_col, source_col, text_col)]
+    keyed = plain.withColumn("key", F.md5(F.to_json(F.array(*parts))))
+    sized = stage(keyed.select(F.col("key").alias("row"), F.col(names[id_col]).alias("id"), F.col(names[source_col]).cast("string").alias("source"),
+                               word_count(names[text_col]).alias("size")), "sizes")
     picks = mix(sized, source_targets(sized, cycle, share, most), share).where("2 * taken >= size")
-    copies = picks.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    out = tagged.join(copies, F.col("row") == F.col("_row")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    copies = picks.groupBy(F.col("row").alias("key")).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    out = keyed.dropDuplicates(["key"]).join(copies, "key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(*[F.col(n).alias(c) for c, n in names.items()])
