@@ -146,3 +146,18 @@ def test_code_lists(spark, tmp_path):
     sheet.write_text("Airport codes,\nAberdeen Airport,ABZ\n,\nBristol Airport,BRS\n")
     assert rows(tables.read_code_list(spark, str(sheet), type_="Airport"), "portcode") == [
         ("Aberdeen Airport", "ABZ", "Airport"), ("Bristol Airport", "BRS", "Airport")]
+
+
+def test_file_ends_after_blank_lines_and_sub(spark):
+    rows = []
+    for name, tail in (("a", [""]), ("b", ["\r"]), ("c", ["\x1a"]), ("d", [])):
+        rows += [(name, i, x) for i, x in enumerate(["HEADER", "a", "b", "TRAILER\x1a" if name == "d" else "TRAILER", *tail])]
+    rows += [("e", 0, "ONLY")]
+    left = files.drop_file_ends(spark.createDataFrame(rows, "file string, pos long, line string")).collect()
+    assert sorted((r.file, r.line) for r in left) == [(f, x) for f in "abcd" for x in "ab"]
+
+
+def test_file_ends_of_archives_with_one_name(spark):
+    rows = [(a, "F", i, x) for a in "xy" for i, x in enumerate([f"H{a}", f"{a}1", f"T{a}"])]
+    left = files.drop_file_ends(spark.createDataFrame(rows, "archive string, file string, pos long, line string"))
+    assert sorted(r.line for r in left.collect()) == ["x1", "y1"]

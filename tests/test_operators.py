@@ -360,3 +360,34 @@ def test_calendar(spark):
     cal = filters.available_months(day, "d")
     assert [r[0] for r in filters.ascending_range(cal, "2017-11", "2018-01").collect()] == ["2017-11", "2017-12", "2018-01"]
     assert filters.end_months(cal, "2017-12").count() == 2
+
+
+def test_open_ended_months(spark):
+    from tradewind.operators import cube
+    from tradewind.schema import IMPORTS
+    from tradewind.spec import QuerySpec
+    facts = spark.createDataFrame([("01011010", "A", "P", m, 1, 2) for m in ("03/1990", "07/2031", "06/1998")],
+                                  "comcode string, coo_alpha string, port_alpha string, account_date string, value long, quantity_1 long")
+    country = spark.createDataFrame([("A", "Aland")], "countrycode string, countryname string")
+    port = spark.createDataFrame([("P", "Porto")], "portcode string, portname string")
+    def months(**bounds):
+        return sorted(r.month for r in cube.flow_cube(facts, IMPORTS, QuerySpec(**bounds), country, port).collect())
+    assert months() == ["1990-03", "1998-06", "2031-07"]
+    assert months(start="1995-01") == ["1998-06", "2031-07"]
+    assert months(end="2001-12") == ["1990-03", "1998-06"]
+    assert months(start="1995-01", end="2001-12") == ["1998-06"]
+
+
+def test_descendants_of_a_deep_chain_and_a_circle(spark):
+    chain = ["I", "01", "0101", "01011", "010110", "0101100", "01011001"]
+    dim = spark.createDataFrame([*zip(chain[1:], chain), ("99", "98"), ("98", "99")], "commoditycode string, parent string")
+    from tradewind.operators import hierarchy
+    assert {r.commoditycode for r in hierarchy.descendants(dim, ["I"]).collect()} == set(chain[1:])
+    assert {r.commoditycode for r in hierarchy.descendants(dim, ["99"]).collect()} == {"98", "99"}
+    assert hierarchy.descendants(dim, []).count() == 0
+
+
+def test_order_keeps_null_keys(spark):
+    df = spark.createDataFrame([("1998-01",), ("1998-02",), (None,)], "n string")
+    got = {r.n: r.id for r in ordering.dense_index(df, ["n"], [F.substring("n", 1, 4)]).collect()}
+    assert got == {None: 0, "1998-01": 1, "1998-02": 2}

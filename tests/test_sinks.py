@@ -97,6 +97,17 @@ def drop_file(folder, name, lines):
     (folder / name).write_text("\n".join(["HEAD", *lines, "TAIL"]) + "\n")
 
 
+def test_new_checkpoint_loads_no_month_twice(spark, tmp_path):
+    src, dst = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    for month in ("01", "02"):
+        drop_file(src, f"SMKI1998{month}", [import_line(f"{month}/1998", i) for i in range(60)])
+    for n in range(2):
+        ingest.ingest_available(spark, str(src), str(dst), str(tmp_path / f"ckpt{n}"), IMPORTS)
+        got = rows(tables.read_facts(spark, str(dst / "facts"), IMPORTS).groupBy("month").count(), "month")
+        assert got == [("1998-01", 60), ("1998-02", 60)]
+
+
 def test_incremental_facts(spark, tmp_path):
     src, dst, ckpt = tmp_path / "in", tmp_path / "out", str(tmp_path / "ckpt")
     src.mkdir()

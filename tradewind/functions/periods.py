@@ -53,8 +53,12 @@ def month_start(month: Column) -> Column:
     return F.to_date(F.concat(month, F.lit("-01")))
 
 
-def in_month_range(period: Column, start: str, end: str, style: str) -> Column:
-    """Period is one of the months from start to end, in the given spelling."""
+def in_month_range(period: Column, start: str | None, end: str | None, style: str) -> Column:
+    """Period is one of the months from start to end, in the given spelling; None is no bound on that side."""
+    if start is None or end is None:
+        month = to_month(period, style)
+        bounds = [month >= start] if start is not None else [month <= end] if end is not None else [F.lit(True)]
+        return bounds[0]
     return period.isin([spell_month(m, style) for m in month_list(start, end)])
 
 

@@ -43,7 +43,10 @@ def filter_port(df, col, dim, names=None, keep_unknown=False) -> DataFrame:
     return filter_listed(df, col, dim, "portcode", "portname", names, keep_unknown)
 
 
-def filter_months(df: DataFrame, col: str, start: str, end: str, style: str) -> DataFrame:
+def filter_months(df: DataFrame, col: str, start: str | None, end: str | None, style: str) -> DataFrame:
+    """Rows of the months from start to end; None is no bound on that side."""
+    if start is None and end is None:
+        return df
     return df.where(periods.in_month_range(F.col(col), start, end, style))
 
 

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.codes import LEAF_LENGTH, code_label, is_section
 from tradewind.operators.ordering import first_per_key, next_in_order
-
-_LEVELS = 4     # section -> 2 -> 4 -> 6 -> 8 digits
-
+from tradewind.sources.stage import stage
 
 def derive_parent(codes: DataFrame, mode: str = "nearest") -> DataFrame:
     """Parent of every code in a table of distinct codes (column ``commoditycode``).
@@ -39,21 +37,22 @@ def derive_parent(codes: DataFrame, mode: str = "nearest") -> DataFrame:
 def descendants(dim: DataFrame, codes: Sequence[str]) -> DataFrame:
     """All codes below the given ones, roots left out.
 
-    Codes of full length have no children and a parent is always shorter than its child (or a section),
-    so the walk ends after at most one step per level.
+    Codes of full length have no children. The walk goes on until a step finds nothing new, however deep
+    published parents lead and even if they form a circle. Each step is staged, so none is computed twice.
     """
     roots = [c for c in codes if len(c) < LEAF_LENGTH]
     edges = dim.select("commoditycode", "parent")
     found = edges.where(F.col("parent").isin(roots)).select("commoditycode") if roots else \
         edges.where(F.lit(False)).select("commoditycode")
-    frontier = found
-    for _ in range(_LEVELS - 1):
+    found = frontier = stage(found.distinct(), "descendants")
+    while not frontier.isEmpty():
         above = (frontier.where(F.length("commoditycode") < LEAF_LENGTH)
                          .select(F.col("commoditycode").alias("_above")))
-        frontier = (edges.join(above, F.col("parent") == F.col("_above"), "left_semi")
-                         .select("commoditycode"))
+        below = (edges.join(above, F.col("parent") == F.col("_above"), "left_semi")
+                      .select("commoditycode").distinct())
+        frontier = stage(below.join(found, "commoditycode", "left_anti"), "descendants")
         found = found.union(frontier)
-    return found.distinct()
+    return found
 
 
 def cascade(dim: DataFrame, level: int, codes: Sequence[str] | None) -> DataFrame:

@@ -7,6 +7,7 @@ summary with one row per bucket supplies each bucket's starting point.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ def next_in_order(df: DataFrame, value: str, order: str, bucket_width: int = 100
                 .drop("_head"))
     return (cut.withColumn("_next_order", F.lead(order).over(inside))
                .withColumn("_next", F.lead(value).over(inside))
-               .join(heads, "_bucket")
+               .join(heads.withColumnRenamed("_bucket", "_of"), F.col("_bucket").eqNullSafe(F.col("_of")))
                .withColumn(name, F.when(F.col("_next_order").isNotNull(), F.col("_next"))
                                   .otherwise(F.col("_next_head")))
                .select(*df.columns, name))
@@ -53,8 +54,10 @@ def dense_index(df: DataFrame, order: Sequence[str], bucket: Sequence[Column], n
                  .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
                  .drop("_n"))
     inside = Window.partitionBy(*tags).orderBy(*order)
+    starts = starts.select(*[F.col(t).alias(f"{t}_of") for t in tags], "_start")
+    met = reduce(lambda a, b: a & b, [F.col(t).eqNullSafe(F.col(f"{t}_of")) for t in tags])
     return (cut.withColumn("_row", F.row_number().over(inside))
-               .join(starts, tags)
+               .join(starts, met)
                .withColumn(name, F.col("_start") + F.col("_row") - 1)
                .select(*df.columns, name))
 

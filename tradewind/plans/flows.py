@@ -12,8 +12,8 @@ from tradewind.schema import ARRIVALS, DISPATCHES, EXPORTS, FACTS, IMPORTS
 from tradewind.spec import QuerySpec
 
 # Every month the data can hold, everything the lookups list.
-ALL = QuerySpec(start="1995-01", end="2001-12")
-ALL_KNOWN_OR_NOT = QuerySpec(start="1995-01", end="2001-12", keep_unknown=True)
+ALL = QuerySpec()
+ALL_KNOWN_OR_NOT = QuerySpec(keep_unknown=True)
 # A typical selection: chapters 01-05 in one year.
 CHAPTERS_1998 = QuerySpec(start="1998-01", end="1998-12", codes2=("01", "02", "03", "04", "05"))
 MONTH = "1998-06"

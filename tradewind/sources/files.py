@@ -61,19 +61,24 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str =
 def drop_file_ends(lines: DataFrame) -> DataFrame:
     """Lines without each file's first (header) and last (trailer) record.
 
+    Empty lines, also those that a SUB character only makes look otherwise, are dropped first, so that what
+    follows the trailer does not take its place. With an ``archive`` column, each archive's member is a file.
+
     The scan of a file may be split differently when it is run again, so row numbers are compared within
     one pass only: a hash of each file's two end records picks the few lines that may be them, those are
     counted by text, and every copy beyond the one header and one trailer is put back. The hashes, one row
     per file, are staged: small, they go to every task by their known size, and lines stay where they are.
     """
-    hashed = lines.withColumn("_hash", F.xxhash64("line"))
-    ends = stage(hashed.groupBy("file").agg(F.min_by("_hash", "pos").alias("_head"),
+    key = [c for c in ("archive", "file") if c in lines.columns]
+    clean = lines.withColumn("line", strip_control(F.col("line"))).where(F.trim(F.replace("line", F.lit("\r"), F.lit(""))) != "")
+    hashed = clean.withColumn("_hash", F.xxhash64("line"))
+    ends = stage(hashed.groupBy(*key).agg(F.min_by("_hash", "pos").alias("_head"),
                                             F.max_by("_hash", "pos").alias("_tail")), "file-ends")
-    marked = hashed.join(ends, "file")
+    marked = hashed.join(ends, key)
     at_end = F.col("_hash").isin(F.col("_head"), F.col("_tail"))
     body = marked.where(~at_end).select("file", "pos", "line")
-    per_file = Window.partitionBy("file")
-    texts = (marked.where(at_end).groupBy("file", "line")
+    per_file = Window.partitionBy(*key)
+    texts = (marked.where(at_end).groupBy(*key, "line")
                    .agg(F.min("pos").alias("pos"), F.max("pos").alias("_last"), F.count(F.lit(1)).alias("_n"))
                    .withColumn("_ends", (F.col("pos") == F.min("pos").over(per_file)).cast("int")
                                + (F.col("_last") == F.max("_last").over(per_file)).cast("int")))
@@ -161,20 +166,6 @@ def normalise_file_name(name: Column) -> Column:
     return F.regexp_replace(feb, "^(.*?)V2", "$1")
 
 
-def _zip_lines(path: str, blob: io.IOBase, member_path: str) -> Iterator[tuple[str, str, int, str]]:
-    with zipfile.ZipFile(blob) as archive:
-        for info in archive.infolist():
-            if info.is_dir():
-                continue
-            with archive.open(info) as member:
-                if info.filename.lower().endswith(".zip"):
-                    yield from _zip_lines(path, io.BytesIO(member.read()), member_path + info.filename + "/")
-                    continue
-                base = info.filename.rsplit("/", 1)[-1]
-                for n, line in enumerate(io.TextIOWrapper(member, encoding="latin-1", newline="\n")):
-                    yield path, base, n, line.rstrip("\r\n")
-
-
 def expand_archives(spark: SparkSession, paths: str | Sequence[str], batch: int = 50_000) -> DataFrame:
     """Lines of every member of (nested) zip archives: ``archive, file, pos, line``.
 
@@ -185,11 +176,25 @@ def expand_archives(spark: SparkSession, paths: str | Sequence[str], batch: int
 
     columns = ["archive", "member", "pos", "line"]
 
+    # inside, so that it is sent along to executors that cannot import this package
+    def zip_lines(path: str, blob: io.IOBase, member_path: str) -> Iterator[tuple[str, str, int, str]]:
+        with zipfile.ZipFile(blob) as archive:
+            for info in archive.infolist():
+                if info.is_dir():
+                    continue
+                with archive.open(info) as member:
+                    if info.filename.lower().endswith(".zip"):
+                        yield from zip_lines(path, io.BytesIO(member.read()), member_path + info.filename + "/")
+                        continue
+                    base = info.filename.rsplit("/", 1)[-1]
+                    for n, line in enumerate(io.TextIOWrapper(member, encoding="latin-1", newline="\n")):
+                        yield path, base, n, line.rstrip("\r\n")
+
     def expand(frames):
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
                 rows = []
-                for row in _zip_lines(path, io.BytesIO(content), ""):
+                for row in zip_lines(path, io.BytesIO(content), ""):
                     rows.append(row)
                     if len(rows) >= batch:
                         yield pd.DataFrame(rows, columns=columns)

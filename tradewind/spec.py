@@ -9,10 +9,10 @@ from tradewind.functions.codes import build_code_patterns
 
 @dataclass(frozen=True)
 class QuerySpec:
-    """Selections for one query; ``None`` means "All" (everything the lookup lists)."""
+    """Selections for one query; ``None`` means "All" (everything the lookup lists, every month there is)."""
 
-    start: str                                  # first month, yyyy-MM
-    end: str                                    # last month, yyyy-MM
+    start: str | None = None                    # first month, yyyy-MM
+    end: str | None = None                      # last month, yyyy-MM
     codes2: tuple[str, ...] | None = None
     codes4: tuple[str, ...] | None = None
     codes6: tuple[str, ...] | None = None

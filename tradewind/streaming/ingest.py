@@ -36,6 +36,12 @@ def _positioned(lines: DataFrame) -> DataFrame:
     return drop_file_ends(lines.select("file", pos.alias("pos"), "line"))
 
 
+def _load_id(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Names a batch for good: the id that Spark gave the checkpoint, and the batch's number."""
+    written = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+    return f"{written}-{batch_id}"
+
+
 def _run(stream: DataFrame, each_batch, checkpoint: str) -> None:
     query = (stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True).start())
@@ -46,21 +52,23 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, s
                      threshold: int = GUARD_ROWS) -> None:
     """Load the fact files that arrived in ``src`` since the last run, then stop.
 
-    The checkpoint makes each file count once; the guard skips months that are already loaded. Every batch
-    writes its own folder, replaced as a whole if the batch is run again, and rejected records go beside it.
+    The checkpoint makes each file count once; the guard skips months that any other batch has loaded, of this
+    checkpoint or another. Every batch writes its own folder, replaced as a whole if the batch is run again,
+    and rejected records go beside it.
     The parsed records are kept in between, so the files are read once for both.
     """
     def each_batch(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
         records = stage(parse_fact_lines(_positioned(lines), shape), "records")
         good, rejects = cast_measures(with_month(records, shape), shape.integers)
-        layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.LongType())])
+        layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.StringType())])
+        load_id = _load_id(session, checkpoint, batch_id)
         stored = _read_or_none(session, f"{dst}/facts", layout)
         if stored is not None:
             # By the partition column: counting a stored month opens no column of it.
-            good = guarded_append(good, stored.where(F.col("load_id") < batch_id), "month", threshold)
-        append_period(good, f"{dst}/facts/load_id={batch_id}", shape, mode="overwrite")
-        rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={batch_id}")
+            good = guarded_append(good, stored.where(F.col("load_id") != load_id), "month", threshold)
+        append_period(good, f"{dst}/facts/load_id={load_id}", shape, mode="overwrite")
+        rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={load_id}")
 
     _run(_arrivals_of(spark, src), each_batch, checkpoint)
 
@@ -73,10 +81,15 @@ def ingest_control(spark: SparkSession, src: str, dst: str, checkpoint: str) ->
     def each_batch(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
         batch = parse_control_lines(_positioned(lines))
-        stored = read_control_table(session, dst, before=batch_id)
+        load_id = _load_id(session, checkpoint, batch_id)
+        versions, own, top = _read_or_none(session, dst), None, None
+        if versions is not None:
+            own, top = versions.agg(F.max(F.when(F.col("load_id") == load_id, F.col("version"))), F.max("version")).first()
+        version = own if own is not None else 0 if top is None else top + 1      # a batch that is run again replaces its own
+        stored = read_control_table(session, dst, before=version)
         current = batch.limit(0).drop("file", "pos") if stored is None else stored
         merged = upsert_table(current, batch, "mk_comcode", ["mk_commodity_alpha_1"], ["file", "pos"])
-        merged.write.mode("overwrite").parquet(f"{dst}/version={batch_id}")
+        merged.write.mode("overwrite").parquet(f"{dst}/version={version}/load_id={load_id}")
 
     _run(_arrivals_of(spark, src), each_batch, checkpoint)
 
@@ -89,4 +102,4 @@ def read_control_table(spark: SparkSession, dst: str, before: int | None = None)
     if before is not None:
         versions = versions.where(F.col("version") < before)
     top = versions.agg(F.max("version")).first()[0]
-    return None if top is None else versions.where(F.col("version") == top).drop("version")
+    return None if top is None else versions.where(F.col("version") == top).drop("version", "load_id")
