@@ -72,10 +72,14 @@ def test_token_query(spark):
 def test_tokens_of_odd_texts():
     tokenizer, made = Tokenizer.from_file(BYTES), random.Random(3)
     tokenizer.encode_special_tokens = True
-    odd = ["a", "b", " ", "  ", "\n", "\t", "'s", "1", ".", "é", " ", "　", "<|endoftext|>", "漢", " \n ", "x" * 70]
+    odd = ["a", "b", " ", "  ", "\n", "\t", "'s", "1", ".", "é", " ", "　", "\x85", "\x0b", "\x1c", "\u2028", "<|endoftext|>", "漢", " \n ", "x" * 70]
     texts = ["".join(made.choice(odd) for _ in range(made.randint(0, 14))) for _ in range(4000)]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in token_files.encode_batch(texts, BYTES)] == want
+    column = pa.array(texts, pa.large_string())
+    assert token_files.encode_batch(column, BYTES).to_pylist() == want
+    assert token_files.encode_batch(column, BYTES, 2).to_pylist() == [[*w, 2] for w in want]
+    assert token_files.encode_batch(column[7:90], BYTES).to_pylist() == want[7:90]
+    assert token_files.encode_batch(column[:0], BYTES, 2).to_pylist() == []
 
 
 def test_token_files(spark, edges, nothing, tmp_path):

@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ from tradewind.sources.stage import shared_folder, stage
 
 _KNOWN = 800_000        # pieces of text whose ids a worker remembers
 _PLACE = re.compile(r"(?= \S)")
-_RUN = re.compile(r" (?:\s|$)")
+_RUN = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"    # a space that white space or the end follows
 _LONG = 64              # characters from which a piece is not remembered
+_CHUNK = 8 << 20        # bytes of text encoded at once
 
 
 def _tokenizer(path: str):
@@ -40,18 +42,6 @@ def _tokenizer(path: str):
     return worker_memo(f"tokenizer {path}", make)
 
 
-def _cut(text: str) -> tuple[list[str], list[str]]:
-    """The text before each space that something other than white space follows: no token spans such a place.
-
-    The byte-level pattern starts a token at every such space, and what follows a piece does not change the tokens in it.
-    Returns pieces as they are, then pieces that follow a space each (without it).
-    """
-    if _RUN.search(text):
-        return [p for p in _PLACE.split(text) if p], []
-    first, *rest = text.split(" ")
-    return [first] if first else [], rest
-
-
 def _learn(spaced: dict[str, bytes], tokenizer, lengths: np.ndarray, words: list[str]) -> None:
     """Adds the ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
     texts = [" " + " ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
@@ -62,47 +52,74 @@ def _learn(spaced: dict[str, bytes], tokenizer, lengths: np.ndarray, words: list
     spaced.update(zip(words, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
 
 
-def encode_batch(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text (little-endian unsigned 32-bit), as the library gives them for it: each different piece of text is encoded once a worker."""
-    tokenizer, lengths = _tokenizer(path)
-    known = worker_memo(f"known {path}", lambda: ({}, {}))
-    for memo in known:
-        if len(memo) > _KNOWN:
-            memo.clear()
-    plain, spaced = known
-    cut = [_cut(t) for t in texts]
-    new = list(set().union(*[a for a, _ in cut]).difference(plain))
+def _recall(memo: dict[str, bytes], pieces: list[str], learn: Callable[[list[str]], None]) -> list[bytes]:
+    """The ids of each piece; ``learn`` adds those that the memo lacks. Long pieces are forgotten again."""
+    if len(memo) > _KNOWN:
+        memo.clear()
+    new = list({p for p in pieces if p not in memo})
     if new:
-        plain.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
-    words = list(set().union(*[b for _, b in cut]).difference(spaced))
-    if words:
-        _learn(spaced, tokenizer, lengths, words)
-    out = [b"".join((*map(plain.__getitem__, a), *map(spaced.__getitem__, b))) for a, b in cut]
-    for memo, added in ((plain, new), (spaced, words)):
-        for p in added:
-            if len(p) >= _LONG:
-                del memo[p]
+        learn(new)
+    out = list(map(memo.__getitem__, pieces))
+    for p in new:
+        if len(p) >= _LONG:
+            del memo[p]
     return out
 
 
+def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.ListArray:
+    """The ids of each text as the library gives them for it, then ``end_id``: each different piece of text is encoded once a worker.
+
+    Texts (no nulls) are cut at the spaces that something other than white space follows. The byte-level pattern starts
+    a token at every such space, and what follows a piece does not change the tokens in it. Where each space of a text is such a
+    place, Arrow cuts it and numbers its different words; other texts are cut by the pattern.
+    """
+    tokenizer, lengths = _tokenizer(path)
+    plain, spaced = worker_memo(f"known {path}", lambda: ({}, {}))
+
+    def learn_plain(new: list[str]) -> None:
+        made = tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        plain.update(zip(new, [np.array(e.ids, "<i4").tobytes() for e in made]))
+
+    odd = pc.match_substring_regex(texts, _RUN)
+    cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+    offsets = cut.offsets.to_numpy()
+    coded = cut.values.dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    ids = _recall(spaced, words, lambda new: _learn(spaced, tokenizer, lengths, new))
+
+    heads = cut.values.take(pa.array(offsets[:-1])).to_pylist()         # what comes before a text's first space
+    pieces = [_PLACE.split(t) if rare else [h] for h, t, rare in zip(
+        heads, pc.if_else(odd, texts, "").to_pylist(), odd.to_pylist())]
+    first = iter(_recall(plain, list(chain.from_iterable(pieces)), learn_plain))
+    ids += [b"".join(islice(first, len(p))) for p in pieces]
+    ids.append(b"" if end_id is None else np.int32(end_id).tobytes())
+
+    codes = coded.indices.to_numpy().copy()
+    codes[offsets[:-1]] = len(words) + np.arange(len(texts))
+    codes = np.insert(codes, offsets[1:], len(ids) - 1)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    table = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+    ends = np.concatenate(([0], np.cumsum(sizes[codes])))[offsets + np.arange(len(offsets))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), table.take(pa.array(codes)).values)
+
+
 def _write(path: str, end_id: int):
     """Sorted batches of (id, text) to id, part, ids before this row in its part, ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, last = TaskContext.get().partitionId(), 0, np.uint32(end_id).tobytes()
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).cast(pa.large_string())
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
             row = 0
             while row < len(texts):
-                stop, size = row, 0
-                while stop < len(texts) and (stop == row or size + len(texts[stop]) < 1 << 21):
-                    size += len(texts[stop])
-                    stop += 1
-                each = [x + last for x in encode_batch(texts[row:stop], path)]
-                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in each])))
+                before = int(ends[row - 1]) if row else 0
+                stop = max(row + 1, int(np.searchsorted(ends, before + _CHUNK, "right")))
+                each = encode_batch(texts.slice(row, stop - row), path, end_id)
+                offsets = each.offsets.to_numpy().astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, stop - row), pa.array(np.full(stop - row, part, np.int32)),
-                    pa.array(at + offsets[:-1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(each), np.int32)))],
-                    ["id", "part", "before", "ids"])
+                    pa.array(at + offsets[:-1]), each], ["id", "part", "before", "ids"])
                 at += int(offsets[-1])
                 row = stop
     return run
