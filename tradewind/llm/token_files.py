@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import short_batches, worker_memo
 from tradewind.sources.stage import shared_folder, stage
 
-_KNOWN = 800_000        # pieces of text whose ids a worker remembers
+_KNOWN = 500_000        # pieces of text whose ids a worker remembers
 _PLACE = re.compile(r"(?= \S)")
 _RUN = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"    # a space that white space or the end follows
 _LONG = 64              # characters from which a piece is not remembered
