@@ -1,13 +1,17 @@
 """Table builds and the views of one query."""
 
+import re
+
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_operators import COUNTRY, FACTS, SPEC, imports, port
 
-from tradewind.operators import cube
+from tradewind.operators import cube, monitor
 from tradewind.plans import builds
 from tradewind.plans.explore import FlowResult
-from tradewind.schema import ARRIVALS, IMPORTS
+from tradewind.plans.registry import load_all
+from tradewind.schema import ARRIVALS, FACTS as SHAPES, IMPORTS
 from tradewind.spec import QuerySpec
 
 
@@ -85,3 +89,29 @@ def test_port_table(spark):
     assert rows(builds.build_port_table(ports, locode, extra), "portname") == [
         ("DOVER", "DVR", "Seaport", 51.0, 1.0), ("Hull", "HUL", "Seaport", 53.0, -0.3), ("Lost", "LST", "Seaport", 56.0, 0.0)]
     assert builds.build_port_table(ports, locode, extra, single=False).where("portcode = 'DVR'").count() == 2
+
+
+def _fact_scans(df):
+    return len(re.findall(r"FileScan parquet \[l_", df._jdf.queryExecution().executedPlan().toString()))
+
+
+@pytest.mark.parametrize("name", ["records_per_period", "food_per_period", "aligned_periods", "period_long", "food_long"])
+def test_monitoring_scans_the_facts_once(spark, name):
+    assert _fact_scans(load_all()[0][name](spark, "/root/testdata/sf0.001")) == 1
+
+
+@pytest.mark.parametrize("name", ["normalise_file_names", "missing_periods", "country_flags", "non_eu_only", "observed_countries", "tick_periods"])
+def test_monitoring_reads_stored_counts(spark, name):
+    assert _fact_scans(load_all()[0][name](spark, "/root/testdata/sf0.001")) == 0
+
+
+def test_all_flows_at_once(spark):
+    data = [("imports", "01010000", "1999-01", 5, 2), ("imports", "30010000", "1999-01", 5, 2), ("imports", "01010000", "2000-02", 1, None),
+            ("exports", "02010000", "2000-02", 7, 3), ("arrivals", "01010000", "1999-01", 8, 1), ("arrivals", "01010000", "2000-02", 9, 1),
+            ("dispatches", "01010000", "2003-01", 4, 1)]
+    flows = spark.createDataFrame(data, "table_name string, comcode string, month string, price long, weight long")
+    assert rows(monitor.pivot_flows(monitor.records_of_flows(flows)).select("period", *monitor.FLOWS), "period") == [
+        ("199901", 2, None, None, None), ("200002", 1, 1, 1, None)]
+    assert rows(monitor.pivot_flows(monitor.balance_of_flows(flows)).select("period", *monitor.FLOWS), "period") == [
+        ("199901", 2, None, None, None), ("200002", None, 3, 9, None)]
+    assert set(flows.select("table_name").distinct().toPandas().table_name) == set(SHAPES)

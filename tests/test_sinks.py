@@ -125,6 +125,22 @@ def test_incremental_facts(spark, tmp_path):
     run()
     assert counts() == [("1998-01", 60), ("1998-02", 25), ("1998-03", 7)]
     assert spark.read.parquet(str(dst / "rejects")).count() == 1
+    report = spark.read.parquet(str(dst / "reports"))
+    assert sorted((r.file.rsplit("/", 1)[-1], r.status, r.lines, r.rows, r.stored, r.rejects) for r in report.collect()) == [
+        ("SMKI199801", "rejects", 63, 60, 60, 1), ("SMKI199801B", "skipped", 7, 5, 0, 0), ("SMKI199802", "loaded", 22, 20, 20, 0),
+        ("SMKI199802B", "loaded", 7, 5, 5, 0), ("SMKI199803", "loaded", 9, 7, 7, 0)]
+
+
+def test_load_with_encoding_and_missing_values(spark, tmp_path):
+    src, dst = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "SMKI199801").write_bytes(("\n".join(["HEAD", import_line("01/1998", 1).replace("US", "NA"), import_line("01/1998", 2).replace("DOV", "É"), "TAIL"])).encode("latin-1"))
+    drop_file(src, "SMKI199802", [])
+    ingest.ingest_available(spark, str(src), str(dst), str(tmp_path / "ckpt"), IMPORTS, encoding="ISO-8859-1", na_strings=["NA"])
+    stored = tables.read_facts(spark, str(dst / "facts"), IMPORTS)
+    assert rows(stored.select("value", "coo_alpha", "port_alpha"), "value") == [(1, None, "DOV"), (2, "US", "É")]
+    report = spark.read.parquet(str(dst / "reports"))
+    assert rows(report.select("status", "stored"), "status") == [("empty", 0), ("loaded", 2)]
 
 
 def test_incremental_control(spark, tmp_path):

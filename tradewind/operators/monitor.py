@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import periods
 from tradewind.functions.codes import in_chapters
 from tradewind.operators.filters import exclude_years, valid_eu_period
-from tradewind.schema import FactShape
+from tradewind.schema import FACTS, FactShape
 
 # Names of the four flows in the reports.
 FLOWS = ("Import", "Export", "Arrival", "Dispatch")
@@ -46,6 +46,33 @@ def chapter_balance(fact: DataFrame, shape: FactShape, measure: str | None = Non
     return _per_period(food, shape, lambda _: F.sum(measure or FOOD_MEASURES[shape.name]))
 
 
+def records_of_flows(flows: DataFrame, measure: Column | None = None) -> DataFrame:
+    """``type, period, records`` of all four flows from one table with ``table_name`` and ``month``, in one pass.
+
+    ``measure`` is an aggregate, the number of rows by default. EU periods that do not start 020 are left out.
+    """
+    eu = [s.name for s in FACTS.values() if s.port is None]
+    valid = flows.where(~F.col("table_name").isin(eu) | F.col("month").startswith("20"))
+    names = F.create_map(*[F.lit(x) for pair in zip(FACTS, FLOWS) for x in pair])
+    by = valid.groupBy("table_name", "month").agg((F.count("month") if measure is None else measure).alias("records"))
+    return by.select(F.element_at(names, F.col("table_name")).alias("type"), periods.from_month(F.col("month"), "YYYYMM").alias("period"), "records")
+
+
+def balance_of_flows(flows: DataFrame, first: int = 1, last: int = 23) -> DataFrame:
+    """As ``chapter_balance`` for all four flows at once: ``comcode`` and each flow's measure, ``price`` or ``weight``, are needed too."""
+    by_weight = [t for t, m in FOOD_MEASURES.items() if m == dict(FACTS[t].measures)["weight"]]
+    food = flows.where(in_chapters(F.col("comcode"), first, last))
+    return records_of_flows(food, F.sum(F.when(F.col("table_name").isin(by_weight), F.col("weight")).otherwise(F.col("price"))))
+
+
+def pivot_flows(records: DataFrame) -> DataFrame:
+    """One column per flow from ``type, period, records``, for the periods that have imports."""
+    def of(name: str) -> Column:
+        return F.max(F.when(F.col("type") == name, F.col("records"))).alias(name)
+    wide = records.groupBy("period").agg(F.bool_or(F.col("type") == FLOWS[0]).alias("_any"), *[of(n) for n in FLOWS])
+    return wide.where("_any").drop("_any")
+
+
 def align_by_period(imports: DataFrame, exports: DataFrame, arrivals: DataFrame, dispatches: DataFrame) -> DataFrame:
     """One column per flow, for the periods that have imports."""
     out = imports.select("period", F.col("records").alias(FLOWS[0]))

@@ -9,6 +9,7 @@ from tradewind.functions.codes import code_prefix
 from tradewind.operators import cube, filters, monitor
 from tradewind.plans.registry import query
 from tradewind.schema import ARRIVALS, DISPATCHES, EXPORTS, FACTS, IMPORTS
+from tradewind.sources.stage import stage
 from tradewind.spec import QuerySpec
 
 # Every month the data can hold, everything the lookups list.
@@ -430,48 +431,40 @@ _LONG = " UNION ALL ".join(f"SELECT period, '{f}' AS type, \"{f}\" AS records FR
 
 
 def _records(v):
-    return [monitor.records_per_period(v.fact(s.name), s) for s in (IMPORTS, EXPORTS, ARRIVALS, DISPATCHES)]
+    return monitor.records_of_flows(v.flows())
 
 
 def _food(v):
-    return [monitor.chapter_balance(v.fact(s.name), s) for s in (IMPORTS, EXPORTS, ARRIVALS, DISPATCHES)]
-
-
-def _stacked(parts):
-    out = None
-    for name, p in zip(monitor.FLOWS, parts):
-        p = p.select(F.lit(name).alias("flow"), "period", "records")
-        out = p if out is None else out.unionByName(p)
-    return out
+    return monitor.balance_of_flows(v.flows())
 
 
 @query("records_per_period", " UNION ALL ".join(f"SELECT '{f}' AS flow, * FROM ({p}) x" for f, p in zip(monitor.FLOWS, _RECORDS)))
 def records_per_period(v):
-    return _stacked(_records(v))
+    return _records(v).withColumnRenamed("type", "flow")
 
 
 @query("food_per_period", " UNION ALL ".join(f"SELECT '{f}' AS flow, * FROM ({p}) x" for f, p in zip(monitor.FLOWS, _FOOD)))
 def food_per_period(v):
-    return _stacked(_food(v))
+    return _food(v).withColumnRenamed("type", "flow")
 
 
 @query("aligned_periods", f"WITH {_aligned_sql(_RECORDS)} SELECT * FROM aligned")
 def aligned_periods(v):
-    return monitor.align_by_period(*_records(v))
+    return monitor.pivot_flows(_records(v))
 
 
 @query("period_long", f"WITH {_aligned_sql(_RECORDS)} SELECT * FROM ({_LONG}) x WHERE period[1:4] NOT IN ('1995')")
 def period_long(v):
-    return monitor.to_long(monitor.align_by_period(*_records(v)), ["1995"])
+    return monitor.to_long(monitor.pivot_flows(_records(v)), ["1995"])
 
 
 @query("food_long", f"WITH {_aligned_sql(_FOOD)} SELECT * FROM ({_LONG}) x WHERE period[1:4] NOT IN ('1995', '1996')")
 def food_long(v):
-    return monitor.to_long(monitor.align_by_period(*_food(v)), ["1995", "1996"])
+    return monitor.to_long(monitor.pivot_flows(_food(v)), ["1995", "1996"])
 
 
 @query("tick_periods", f"WITH i AS ({_RECORDS[0]}) SELECT period FROM (SELECT period, row_number() OVER (ORDER BY period) AS n "
                        "FROM (SELECT DISTINCT period FROM i) d) r WHERE n % 3 = 1")
 def tick_periods(v):
     from tradewind.operators.ordering import every_nth
-    return every_nth(monitor.records_per_period(v.imports(), IMPORTS), "period", 3)
+    return every_nth(stage(monitor.records_per_period(v.imports(), IMPORTS), "periods"), "period", 3)

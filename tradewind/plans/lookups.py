@@ -301,8 +301,14 @@ def first_per_key(v):
                                   "o_custkey", ["o_orderdate", "o_orderkey"])
 
 
+def _seen(v):
+    """The countries of each fact table, from one scan of all four."""
+    seen = stage(v.flows().select("table_name", "country").distinct(), "seen")
+    return {name: seen.where(F.col("table_name") == name).select(F.col("country").alias(s.country)) for name, s in FACTS.items()}
+
+
 def flagged(v):
-    return builds.build_country_table(v.country(), {name: v.fact(name) for name in FACTS})
+    return builds.build_country_table(v.country(), _seen(v))
 
 
 _FLAGGED = """flagged AS (SELECT countryname, countrycode,
@@ -326,8 +332,7 @@ def non_eu_only(v):
 @query("observed_countries", "SELECT coo_alpha AS code FROM imports UNION SELECT cod_alpha FROM exports "
                              "UNION SELECT smk_cod_alpha FROM arrivals UNION SELECT smk_cod_alpha FROM dispatches")
 def observed_countries(v):
-    return dims.union_keys(v.imports().select("coo_alpha"), v.exports().select("cod_alpha"),
-                           v.arrivals().select("smk_cod_alpha"), v.dispatches().select("smk_cod_alpha")).toDF("code")
+    return dims.union_keys(*_seen(v).values()).toDF("code")
 
 
 @query("desc_lookup", "SELECT key_name, value FROM lookup")

@@ -102,6 +102,16 @@ class Views:
     def fact(self, name: str, start=None, end=None) -> DataFrame:
         return getattr(self, name)(start, end)
 
+    def flows(self) -> DataFrame:
+        """All four facts as one table, from one scan: ``table_name, comcode, country, month, price, weight``."""
+        inbound, eu = F.col("l_linestatus") == "O", F.when(F.col("l_linestatus") == "O", F.col("s_reg")).otherwise(F.col("c_reg")) == EUROPE
+        name = (F.when(inbound & ~eu, "imports").when(inbound, "arrivals").when((F.col("l_linestatus") == "F") & ~eu, "exports")
+                 .when(F.col("l_linestatus") == "F", "dispatches"))
+        country = F.when(~inbound, F.col("c_code")).when(eu | (F.col("l_linenumber") != 6), F.col("s_code"))
+        return self.flow_base().select(name.alias("table_name"), "comcode", country.alias("country"),
+                                       F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("value").alias("price"),
+                                       F.col("quantity_1").alias("weight")).where("table_name IS NOT NULL")
+
     # lookups
 
     def country(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +26,14 @@ def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None =
         return None
 
 
-def _arrivals_of(spark: SparkSession, src: str) -> DataFrame:
+def _arrivals_of(spark: SparkSession, src: str, encoding: str = "UTF-8") -> DataFrame:
     """Stream of lines. A batch holds whole files, so header and trailer can be found per batch."""
+    line = F.col("value")
+    if encoding.upper() != "UTF-8":
+        line = F.decode(line.cast("binary"), encoding)
     return spark.readStream.text(src).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").alias("line"))
+        line.alias("line"))
 
 
 def _positioned(lines: DataFrame) -> DataFrame:
@@ -48,29 +53,48 @@ def _run(stream: DataFrame, each_batch, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _report(lines: DataFrame, good: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
+    """``file, status, lines, rows, stored, rejects`` of every file that arrived.
+
+    Status is ``empty`` (no records), ``rejects`` (some records are wrong), ``skipped`` (a month, or all of them, was
+    loaded before) or ``loaded``.
+    """
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.col("file").alias("_file")).agg(F.count(F.lit(1)).alias(name))
+
+    out = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    for df, name in ((good, "rows"), (stored, "stored"), (rejects, "rejects")):
+        out = out.join(count(df, name), F.col("file") == F.col("_file"), "left").drop("_file").fillna(0, [name])
+    status = (F.when(F.col("rows") + F.col("rejects") == 0, "empty").when(F.col("rejects") > 0, "rejects")
+               .when(F.col("stored") < F.col("rows"), "skipped").otherwise("loaded"))
+    return out.select("file", status.alias("status"), "lines", "rows", "stored", "rejects")
+
+
 def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, shape: FactShape,
-                     threshold: int = GUARD_ROWS) -> None:
+                     threshold: int = GUARD_ROWS, encoding: str = "UTF-8", na_strings: Sequence[str] = ()) -> None:
     """Load the fact files that arrived in ``src`` since the last run, then stop.
 
     The checkpoint makes each file count once; the guard skips months that any other batch has loaded, of this
     checkpoint or another. Every batch writes its own folder, replaced as a whole if the batch is run again,
-    and rejected records go beside it.
-    The parsed records are kept in between, so the files are read once for both.
+    and rejected records and a report with one row per file go beside it (``rejects``, ``reports``).
+    The parsed records are kept in between, so the files are parsed once for all three.
     """
     def each_batch(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
-        records = stage(parse_fact_lines(_positioned(lines), shape), "records")
+        records = stage(parse_fact_lines(_positioned(lines), shape, na_strings), "records")
         good, rejects = cast_measures(with_month(records, shape), shape.integers)
         layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.StringType())])
         load_id = _load_id(session, checkpoint, batch_id)
-        stored = _read_or_none(session, f"{dst}/facts", layout)
+        parsed, stored = good, _read_or_none(session, f"{dst}/facts", layout)
         if stored is not None:
             # By the partition column: counting a stored month opens no column of it.
             good = guarded_append(good, stored.where(F.col("load_id") != load_id), "month", threshold)
         append_period(good, f"{dst}/facts/load_id={load_id}", shape, mode="overwrite")
         rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={load_id}")
+        written = session.read.schema("file string").parquet(f"{dst}/facts/load_id={load_id}")
+        _report(lines, parsed, rejects, written).write.mode("overwrite").parquet(f"{dst}/reports/load_id={load_id}")
 
-    _run(_arrivals_of(spark, src), each_batch, checkpoint)
+    _run(_arrivals_of(spark, src, encoding), each_batch, checkpoint)
 
 
 def ingest_control(spark: SparkSession, src: str, dst: str, checkpoint: str) -> None:
