@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import short_batches, worker_memo
 from tradewind.sources.stage import shared_folder, stage
 
-_KNOWN = 500_000        # pieces of text whose ids a worker remembers
+_KNOWN = 300_000        # pieces of text after which a worker starts a new memo; it keeps the one before it, too
 _PLACE = re.compile(r"(?= \S)")
 _RUN = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"    # a space that white space or the end follows
 _LONG = 64              # characters from which a piece is not remembered
@@ -42,27 +42,33 @@ def _tokenizer(path: str):
     return worker_memo(f"tokenizer {path}", make)
 
 
-def _learn(spaced: dict[str, bytes], tokenizer, lengths: np.ndarray, words: list[str]) -> None:
-    """Adds the ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
+def _learn(tokenizer, lengths: np.ndarray, words: list[str]) -> Iterable[bytes]:
+    """The ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
     texts = [" " + " ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
     ids = np.fromiter(chain.from_iterable(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
     sizes = [1 + (len(p) if p.isascii() else len(p.encode())) for p in words]
     ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
     flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-    spaced.update(zip(words, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+    return map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))
 
 
-def _recall(memo: dict[str, bytes], pieces: list[str], learn: Callable[[list[str]], None]) -> list[bytes]:
-    """The ids of each piece; ``learn`` adds those that the memo lacks. Long pieces are forgotten again."""
-    if len(memo) > _KNOWN:
-        memo.clear()
-    new = list({p for p in pieces if p not in memo})
+def _recall(memos: list[dict[str, bytes]], pieces: list[str], learn: Callable[[list[str]], Iterable[bytes]]) -> list[bytes]:
+    """The ids of each piece; ``learn`` gives those of new ones. Long pieces are not remembered.
+
+    Pieces move from the old memo to the young one when they are met again, so frequent ones stay.
+    """
+    if len(memos[0]) > _KNOWN:
+        memos[:] = {}, memos[0]
+    young, old = memos
+    missing = [p for p in pieces if p not in young]
+    young.update([(p, old[p]) for p in missing if p in old])
+    new = list({p for p in missing if p not in young})
     if new:
-        learn(new)
-    out = list(map(memo.__getitem__, pieces))
+        young.update(zip(new, learn(new)))
+    out = list(map(young.__getitem__, pieces))
     for p in new:
         if len(p) >= _LONG:
-            del memo[p]
+            del young[p]
     return out
 
 
@@ -74,18 +80,17 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.Li
     place, Arrow cuts it and numbers its different words; other texts are cut by the pattern.
     """
     tokenizer, lengths = _tokenizer(path)
-    plain, spaced = worker_memo(f"known {path}", lambda: ({}, {}))
+    plain, spaced = worker_memo(f"known {path}", lambda: ([{}, {}], [{}, {}]))
 
-    def learn_plain(new: list[str]) -> None:
-        made = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        plain.update(zip(new, [np.array(e.ids, "<i4").tobytes() for e in made]))
+    def learn_plain(new: list[str]) -> Iterable[bytes]:
+        return (np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
 
     odd = pc.match_substring_regex(texts, _RUN)
     cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
     offsets = cut.offsets.to_numpy()
     coded = cut.values.dictionary_encode()
     words = coded.dictionary.to_pylist()
-    ids = _recall(spaced, words, lambda new: _learn(spaced, tokenizer, lengths, new))
+    ids = _recall(spaced, words, lambda new: _learn(tokenizer, lengths, new))
 
     heads = cut.values.take(pa.array(offsets[:-1])).to_pylist()         # what comes before a text's first space
     pieces = [_PLACE.split(t) if rare else [h] for h, t, rare in zip(
