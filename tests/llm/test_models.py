@@ -237,6 +237,24 @@ def test_near_dedup_default_and_large_group(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_components(rows, 5, 80)
 
 
+def test_near_dedup_crowded_region(spark):
+    """More documents begin alike than a node is compared with, none of them linked; each eighth has one near copy."""
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(240):
+        own = base.copy()
+        own[60:90] = [f"v{i}_{k}" for k in range(30)]
+        rows.append((i, " ".join(own)))
+        if i % 8 == 0:
+            own[i % 50] = "changed"
+            rows.append((1000 + i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = near_dedup.near_duplicates(docs, reach=1).collect()
+    wanted = plain_components(rows, 5, 80)
+    assert sum(c != d for d, _, c in wanted) == 30
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == wanted
+
+
 def test_components_in_batches(spark):
     chain = [(f"{i:04d}".encode(), f"{i + 1:04d}".encode()) for i in range(60) if i != 30] + [(b"0040", b"0003")]
     links = spark.createDataFrame(chain, "a binary, b binary").repartition(5)

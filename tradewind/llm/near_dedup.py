@@ -7,6 +7,10 @@ where few signatures begin alike a short common prefix is enough, in a crowded r
 longest count. The trees are sorted by range with the node as last key, so no region, however large,
 is a single task; rows at the cuts between tasks are compared in a second, small pass. Every link
 is confirmed on the two full sets of shingles.
+
+A region may hold more nodes than a node is compared with. Nodes of such a crowded region are compared exactly
+as well: two sets that are alike enough share one of the rarest shingles of each, so nodes meet by those, if
+the links found so far do not connect them yet.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ TREES, DEPTH = 16, 16   # orders of the signature, and values of it that an orde
 NEIGHBOURS = 4          # following nodes of a tree that a node is compared with
 LEAST_PREFIX = 3        # values that a candidate shares at least at the start of a tree's order
 LEAST_ALIKE = 10        # of the DEPTH values of that tree (at similarity 0.85, 13.6 are expected)
+CROWD_PREFIX = 4        # a node is in a crowded region if its last compared neighbour shares so many values at the start
+SKETCH_BITS = 21        # the counts that say which shingles are rare: 2 ** bits of 4 bytes, sent to every task
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -103,7 +109,10 @@ def _plant(trees: int, depth: int):
 
 
 def _neighbours(depth: int, reach: int, prefix: int, alike: int, edges: bool):
-    """Sorted batches of (tree, key, node) to candidate pairs; the first and last rows of the task too, if asked for."""
+    """Sorted batches of (tree, key, node) to candidate pairs (kind 0), the first and last rows of the task
+    if asked for (1) and the nodes of crowded regions (2)."""
+    crowd: set[bytes] = set()
+
     def pairs(tree, key, node, fresh):
         """Of rows in order, where those before ``fresh`` have been compared with each other."""
         for lag in range(1, reach + 1):
@@ -112,6 +121,9 @@ def _neighbours(depth: int, reach: int, prefix: int, alike: int, edges: bool):
             ok = same[:, :prefix].all(axis=1) & (same.sum(axis=1) >= alike)
             for i in at[ok]:
                 yield min(node[i], node[i - lag]), max(node[i], node[i - lag]), int(same[i - at[0]].sum())
+            if lag == reach:
+                for i in at[same[:, :CROWD_PREFIX].all(axis=1)]:
+                    crowd.update((node[i], node[i - lag]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind, rows):
@@ -120,6 +132,7 @@ def _neighbours(depth: int, reach: int, prefix: int, alike: int, edges: bool):
                 "a": pa.array([r[0] for r in rows], pa.binary()), "b": pa.array([r[1] for r in rows], pa.binary())})
         held = None
         seen, opening = 0, []
+        crowd.clear()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -135,6 +148,9 @@ def _neighbours(depth: int, reach: int, prefix: int, alike: int, edges: bool):
             found = list(pairs(tree, key, node, fresh))
             if found:
                 yield out(0, found)
+            if crowd:
+                yield out(2, [(n, n, 0) for n in crowd])
+                crowd.clear()
             seen += batch.num_rows
             held = (tree[-reach:], key[-reach:], node[-reach:], raw[-reach:])
         if edges and held is not None:
@@ -145,17 +161,18 @@ def _neighbours(depth: int, reach: int, prefix: int, alike: int, edges: bool):
 
 
 def candidate_pairs(nodes: DataFrame, trees: int = TREES, depth: int = DEPTH, reach: int = NEIGHBOURS,
-                    prefix: int = LEAST_PREFIX, alike: int = LEAST_ALIKE) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of neighbours in some tree, with ``alike``, their most equal values there (staged)."""
+                    prefix: int = LEAST_PREFIX, alike: int = LEAST_ALIKE) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a`` < ``b`` of neighbours in some tree, with ``alike``, their most equal values there, and
+    the nodes of crowded regions (both staged)."""
     planted = nodes.select("node", "signature").mapInArrow(_plant(trees, depth), "tree int, key binary, node binary")
     ordered = planted.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     schema = "kind int, tree int, a binary, b binary"
     found = stage(ordered.mapInArrow(_neighbours(depth, reach, prefix, alike, True), schema), "neighbours")
     cuts = (found.where("kind = 1").select("tree", F.col("a").alias("key"), F.col("b").alias("node"))
                  .coalesce(1).sortWithinPartitions("tree", "key", "node"))      # 2 * reach rows of each task
-    across = cuts.mapInArrow(_neighbours(depth, reach, prefix, alike, False), schema)
-    pairs = found.where("kind = 0").unionByName(across).groupBy("a", "b").agg(F.max("tree").alias("alike"))
-    return stage(pairs, "pairs")
+    met = found.unionByName(stage(cuts.mapInArrow(_neighbours(depth, reach, prefix, alike, False), schema), "across"))
+    pairs = met.where("kind = 0").groupBy("a", "b").agg(F.max("tree").alias("alike"))
+    return stage(pairs, "pairs"), stage(met.where("kind = 2").select(F.col("a").alias("node")).distinct(), "crowded")
 
 
 def _sets(words: int):
@@ -199,6 +216,63 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
                  .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(*pairs.columns))
 
 
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (node, shingles) to how many shingles of the task fall on each counter."""
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        for own in batch.column(1):
+            np.add.at(counts, np.frombuffer(own.as_buffer(), np.uint64) >> np.uint64(64 - SKETCH_BITS), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["counter", "n"])
+
+
+def _rarest(counts, percent: int):
+    """Batches of (node, shingles, label) to the rarest shingles, of which two sets that are alike enough share one.
+
+    Rare by the counters, then by hash: one order for all sets, so the counters' collisions lose nothing.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rare, sizes = [], []
+                for set_bytes in part.column(1):
+                    own = np.frombuffer(set_bytes.as_buffer(), np.uint64)
+                    first = np.argsort(counts.value[own >> np.uint64(64 - SKETCH_BITS)], kind="stable")
+                    rare.append(own[first[:len(own) - -(-percent * len(own) // 100) + 1]])
+                    sizes.append(len(own))
+                row = np.repeat(np.arange(part.num_rows), [len(r) for r in rare])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(rare).view(np.int64)), part.column(0).take(pa.array(row)),
+                    pa.array(np.array(sizes, np.int64)[row]), part.column(2).take(pa.array(row))], ["shingle", "node", "n", "label"])
+    return run
+
+
+def crowded_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Every pair ``a`` < ``b`` of ``sets`` (node, shingles) that may be alike enough and that no link connects yet (staged).
+
+    Two sets with 100 * shared >= percent * all share at least one of the n - ceil(percent * n / 100) + 1 first
+    shingles of each in any common order; the rarest come first here, so what many documents share brings
+    few together. Shingles whose nodes are all connected already are left out before nodes meet.
+    """
+    counted = sets.mapInArrow(_count_shingles, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    got = counted.toArrow()         # at most 2 ** SKETCH_BITS rows
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+    counts[got["counter"].to_numpy()] = np.minimum(got["n"].to_numpy(), 0xFFFFFFFF)
+    sent = sets.sparkSession.sparkContext.broadcast(counts)
+    known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    named = (sets.join(known, F.col("node") == F.col("_node"), "left")
+                 .select("node", "shingles", F.coalesce("_label", "node").alias("label")))
+    rare = stage(named.mapInArrow(_rarest(sent, percent), "shingle long, node binary, n long, label binary"), "rare")
+    mixed_up = (rare.groupBy(F.col("shingle").alias("_shingle")).agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+                    .where("_low < _high").select("_shingle"))
+    rare = stage(rare.join(mixed_up, F.col("shingle") == F.col("_shingle")).drop("_shingle"), "meeting")
+    x, y = rare.alias("x"), rare.alias("y")
+    fits = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) \
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    return stage(x.join(y, fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "crowded-pairs")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
                     reach: int = NEIGHBOURS) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
@@ -211,14 +285,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are left out. Candidates are probable, not sure: see the README for the measured recall.
 
     Pairs are confirmed in two rounds: first each node's likest neighbour on either side, then of the other pairs those that
-    the links found so far do not connect, so that a group of thousands does not confirm all its pairs.
+    the links found so far do not connect, so that a group of thousands does not confirm all its pairs. A third round
+    has the pairs of crowded regions, where more nodes begin alike than ``reach`` compares.
     """
     short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     described = stage(wanted.mapInArrow(_describe(words, VALUES), f"id {wanted.schema['id'].dataType.simpleString()}, n_shingles long, node binary, signature binary"), "described")
     nodes = stage(described.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("signature").alias("signature")), "nodes")
-    pairs = candidate_pairs(nodes, reach=reach)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs, crowded = candidate_pairs(nodes, reach=reach)
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowded).distinct()
     chosen = stage(nodes.join(involved, "node", "left_semi").select("node", "id"), "involved")
     texts = wanted.join(chosen.select(F.col("id").alias("_id")).distinct(), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     sets = (texts.select("id", "text").mapInArrow(_sets(words), "node binary, shingles binary"))
@@ -232,6 +307,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = _apart(pairs.join(first, ["a", "b"], "left_anti"), labels)
     links = links.unionByName(stage(confirmed(rest, sets, percent), "links"))
     labels = components(links)
+    if not crowded.isEmpty():
+        more = crowded_pairs(sets.join(crowded, "node", "left_semi"), labels, percent)
+        more = stage(confirmed(more, sets, percent), "links")
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     group = stage(nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label")), "groups")
     smallest = group.groupBy(F.col("label").alias("_label")).agg(F.min("id").alias("component_id"))
