@@ -241,10 +241,13 @@ def _rarest(counts, percent: int):
                     first = np.argsort(counts.value[own >> np.uint64(64 - SKETCH_BITS)], kind="stable")
                     rare.append(own[first[:len(own) - -(-percent * len(own) // 100) + 1]])
                     sizes.append(len(own))
-                row = np.repeat(np.arange(part.num_rows), [len(r) for r in rare])
+                lengths = np.array([len(r) for r in rare])
+                row = np.repeat(np.arange(part.num_rows), lengths)
+                before = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(rare).view(np.int64)), part.column(0).take(pa.array(row)),
-                    pa.array(np.array(sizes, np.int64)[row]), part.column(2).take(pa.array(row))], ["shingle", "node", "n", "label"])
+                    pa.array(np.array(sizes, np.int64)[row]), pa.array(before), part.column(2).take(pa.array(row))],
+                    ["shingle", "node", "n", "place", "label"])
     return run
 
 
@@ -253,7 +256,8 @@ def crowded_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame
 
     Two sets with 100 * shared >= percent * all share at least one of the n - ceil(percent * n / 100) + 1 first
     shingles of each in any common order; the rarest come first here, so what many documents share brings
-    few together. Shingles whose nodes are all connected already are left out before nodes meet.
+    few together. Of the first shingle that two sets share, neither has more after it than can be shared: a meeting
+    counts only if those would do. Shingles whose nodes are all connected already are left out before nodes meet.
     """
     counted = sets.mapInArrow(_count_shingles, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     got = counted.toArrow()         # at most 2 ** SKETCH_BITS rows
@@ -263,13 +267,14 @@ def crowded_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
     named = (sets.join(known, F.col("node") == F.col("_node"), "left")
                  .select("node", "shingles", F.coalesce("_label", "node").alias("label")))
-    rare = stage(named.mapInArrow(_rarest(sent, percent), "shingle long, node binary, n long, label binary"), "rare")
+    rare = stage(named.mapInArrow(_rarest(sent, percent), "shingle long, node binary, n long, place long, label binary"), "rare")
     mixed_up = (rare.groupBy(F.col("shingle").alias("_shingle")).agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
                     .where("_low < _high").select("_shingle"))
     rare = stage(rare.join(mixed_up, F.col("shingle") == F.col("_shingle")).drop("_shingle"), "meeting")
     x, y = rare.alias("x"), rare.alias("y")
     fits = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) \
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) \
+        & ((100 + percent) * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= percent * (F.col("x.n") + F.col("y.n")))
     return stage(x.join(y, fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "crowded-pairs")
 
 
