@@ -42,6 +42,19 @@ def test_views_of_a_query(spark):
     assert r.extract().count() == 3 and "portname" in r.extract().columns
     points = spark.createDataFrame([("FR", 1, 1, 0.0, 1.0)], "region string, grp int, ord int, lng double, lat double")
     assert rows(r.map(points).select("region", "value")) == [("France", 15)]
+    assert rows(r.scaled_map(points).select("region", "value", "suffix")) == [("France", 15.0, "")]
+    assert rows(r.bar_layout("country")) == [(2, "dodge")]
+
+
+def test_scaled_by_what_the_map_shows(spark):
+    """A country without an outline does not set the scale."""
+    base = result(spark)
+    big = imports(spark, FACTS).withColumn("value", F.when(F.col("coo_alpha") == "FR", F.lit(3_000_000_000)).when(F.col("coo_alpha") == "US", F.lit(5_000_000_000_000))
+                           .otherwise(F.col("value")).cast("bigint"))
+    r = FlowResult(big, IMPORTS, SPEC, base.country, base.comcode, base.port)
+    points = spark.createDataFrame([("FR", 1, 1, 0.0, 1.0)], "region string, grp int, ord int, lng double, lat double")
+    (name, value, suffix), = rows(r.scaled_map(points).select("region", "value", "suffix"))
+    assert name == "France" and suffix == "m" and value >= 3000
 
 
 def test_nothing_found(spark):
@@ -61,6 +74,8 @@ def test_eu_views(spark):
     nodes, links = r.graph("consignments")
     assert sorted(v for _, _, v in rows(links)) == [1, 5] and nodes.count() == 3
     assert r.extract().columns[-2:] == ["consignments", "description"]
+    with pytest.raises(ValueError):
+        r.country_port_graph()
 
 
 def test_unknown_spellings_share_a_row(spark):

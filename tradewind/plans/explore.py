@@ -57,6 +57,9 @@ class FlowResult:
         return graph.flow_graph(self._cells(month), steps, self.lookup, unit)
 
     def country_port_graph(self, unit: str = "price", month: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """Nodes and links of countries and ports; the EU side has no ports."""
+        if self.is_eu:
+            raise ValueError("facts of the EU side have no ports to draw")
         steps = graph.COUNTRY_PORT_INBOUND if self.shape.flow == "inbound" else graph.COUNTRY_PORT_OUTBOUND
         return graph.flow_graph(self._cells(month), steps, self.lookup, unit)
 
@@ -74,6 +77,14 @@ class FlowResult:
         fixes = {} if self.is_eu else region_fixes
         return geo.choropleth(points, self.totals(unit, month), self.country, fixes)
 
+    def scaled_map(self, points: DataFrame, unit: str = "price", month: str | None = None,
+                   region_fixes: dict[str, str] | None = None) -> DataFrame:
+        """The map with its values in billions or millions (``suffix``), by the largest value on the map."""
+        return geo.scale_values(stage(self.map(points, unit, month, region_fixes), "map"))
+
+    def bar_layout(self, dim: str, unit: str = "price", month: str | None = None) -> DataFrame:
+        return geo.bar_layout(self.series(dim, unit, month))
+
     def series(self, dim: str, unit: str = "price", month: str | None = None) -> DataFrame:
         """``month, dim, value``, countries and ports by name."""
         if unit == PRICE_PER_KILO and self.is_eu:
