@@ -255,6 +255,20 @@ def test_near_dedup_crowded_region(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == wanted
 
 
+def test_crowded_pairs_lose_no_link(spark):
+    made = random.Random(3)
+    common = [made.randrange(1 << 64) for _ in range(100)]
+    sets = {f"n{i:03d}".encode(): {c for c in common if made.random() < 0.95} | {made.randrange(1 << 64) for _ in range(made.randrange(8))} for i in range(80)}
+    held = spark.createDataFrame([(n, np.array(sorted(s), np.uint64).tobytes()) for n, s in sets.items()], "node binary, shingles binary")
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    for label in ([], [(n, b"n000") for n in list(sets)[:30]]):
+        pairs = near_dedup.crowded_pairs(held, spark.createDataFrame(label, "node binary, label binary"), 85)
+        got = [(bytes(r.a), bytes(r.b)) for r in near_dedup.confirmed(pairs, held, 85).collect()]
+        joined = {n for n, _ in label}
+        assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in links if not {a, b} <= joined}
+    assert 0 < len(links) < 80 * 79 / 2
+
+
 def test_components_in_batches(spark):
     chain = [(f"{i:04d}".encode(), f"{i + 1:04d}".encode()) for i in range(60) if i != 30] + [(b"0040", b"0003")]
     links = spark.createDataFrame(chain, "a binary, b binary").repartition(5)
