@@ -198,6 +198,27 @@ def test_language_model_learns_both_sides(spark, edges, nothing):
     assert masked_lm.score_documents(nothing, masked_lm.train(nothing, rounds=1)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3, 5])
+def test_rounds_mask_every_word(rounds):
+    sizes = [1, 0, 2, 7, 1, 1, 40, 1, 1, 1, 3, 1, 1]
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    hashes = np.random.default_rng(3).integers(0, 1 << 63, first[-1]).astype(np.uint64)
+    rounds_of = [masked_lm.masked_places(hashes, first, r, rounds) for r in range(rounds)]
+    assert set(np.concatenate(rounds_of)) == set(range(first[-1]))
+    assert all(len(r) for r in rounds_of)
+    single = [i for i, n in zip(first, sizes) if n == 1]
+    assert all(set(r) & set(single) for r in rounds_of)     # texts of one word do not all wait for the same round
+
+
+def test_rows_are_summed():
+    made = np.random.default_rng(5)
+    at, rows = made.integers(0, masked_lm.WORDS + 1, 500) // 64 * 64, made.standard_normal((500, 4))
+    plain, got = np.zeros((masked_lm.WORDS + 1, 4)), np.zeros((masked_lm.WORDS + 1, 4))
+    np.add.at(plain, at, rows)
+    masked_lm._add_rows(got, at, rows)
+    assert np.allclose(plain, got)
+
+
 def plain_components(rows, words, percent):
     sets = []
     for _, text in rows:

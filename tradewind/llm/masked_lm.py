@@ -17,14 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import lowered, short_batches, span_hashes, text_chunks, words_of
+from tradewind.llm.common import lowered, mixed, short_batches, span_hashes, text_chunks, words_of
 
 CLASSES, PER_CLASS = 64, 64
 WORDS = CLASSES * PER_CLASS     # ids: the most frequent words, then buckets for all others
 BUCKETS = 512
 WIDTH, REACH = 32, 2            # size of a vector; words seen on either side
-STRIDE = 16                     # a round masks every STRIDE-th word of every document
 ROUNDS = 2
+STRIDE = 2                      # a round masks every STRIDE-th word, so that many rounds mask every word
 _BATCH = 4096
 _OFFSETS = [k for k in range(-REACH, REACH + 1) if k]
 _SHAPES = {"embed": (WORDS + 1, WIDTH), "place": (len(_OFFSETS), WIDTH), "bias": (WIDTH,), "kind": (CLASSES, WIDTH), "kind_bias": (CLASSES,),
@@ -56,9 +56,39 @@ def contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([padded[place + k] for k in _OFFSETS], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def masked_places(hashes: np.ndarray, first: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The words that a round predicts: every word is one of them in at least one of ``rounds`` rounds.
+
+    A hash of its words says where a document begins, so that short ones do not all fall into the same round.
+    """
+    stride = min(STRIDE, rounds)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)))[first]
+    offset = (mixed(sums[1:] - sums[:-1]) % np.uint64(stride)).astype(np.int64)
+    place = np.arange(len(hashes)) + np.repeat(offset - first[:-1], np.diff(first))
+    return np.flatnonzero(place % stride == round_ % stride)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _log_chance(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at one column; ``x`` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    wanted = x[np.arange(len(x)), own]
+    return wanted - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``np.add.at`` for rows, sorted first, which is several times as fast."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    at = at[order]
+    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    into[at[starts]] += np.add.reduceat(rows[order], starts, axis=0)
 
 
 def _hidden(net: dict, around: np.ndarray) -> np.ndarray:
@@ -68,49 +98,58 @@ def _hidden(net: dict, around: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    kind = targets % CLASSES
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the targets by class, and where each class lies in it."""
+    kind = (targets % CLASSES).astype(np.uint8)
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c]:cuts[c + 1]]
+    return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+
+
+def _of_classes(rows: np.ndarray) -> np.ndarray:
+    """Rows by word as rows by class and word in it."""
+    return np.ascontiguousarray(rows.reshape(PER_CLASS, CLASSES, -1).swapaxes(0, 1))
 
 
 def log_probabilities(net: dict, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Log-probability of each target given the words around it."""
     out = np.zeros(len(targets), np.float32)
+    words, biases = _of_classes(net["word"]), _of_classes(net["word_bias"])[:, :, 0]
     for a in range(0, len(targets), 1 << 15):
-        own, h = targets[a:a + (1 << 15)], _hidden(net, around[a:a + (1 << 15)])
-        kinds = _log_softmax(h @ net["kind"].T + net["kind_bias"])
-        part = kinds[np.arange(len(own)), own % CLASSES]
-        for c, at in _by_class(own):
-            words = _log_softmax(h[at] @ net["word"][c::CLASSES].T + net["word_bias"][c::CLASSES])
-            part[at] += words[np.arange(len(at)), own[at] // CLASSES]
-        out[a:a + (1 << 15)] = part
+        own = targets[a:a + (1 << 15)]
+        order, classes = _by_class(own)
+        own, h = own[order], _hidden(net, around[a:a + (1 << 15)][order])
+        part = _log_chance(h @ net["kind"].T + net["kind_bias"], own % CLASSES)
+        for c, at in classes:
+            part[at] += _log_chance(h[at] @ words[c].T + biases[c], own[at] // CLASSES)
+        out[a + order] = part
     return out
 
 
 def gradients(net: dict, around: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the summed log-loss."""
     n = len(targets)
+    order, classes = _by_class(targets)
+    around, targets = around[order], targets[order]
     h = _hidden(net, around)
-    kinds = np.exp(_log_softmax(h @ net["kind"].T + net["kind_bias"]))
+    kinds = _softmax(h @ net["kind"].T + net["kind_bias"])
     kinds[np.arange(n), targets % CLASSES] -= 1
     back = kinds @ net["kind"]
-    found = {k: np.zeros_like(net[k]) for k in ("embed", "place", "word", "word_bias")}
+    found = {k: np.zeros_like(net[k]) for k in ("embed", "place")}
     found["kind"], found["kind_bias"] = kinds.T @ h, kinds.sum(axis=0)
-    for c, at in _by_class(targets):
-        own, rows = net["word"][c::CLASSES], h[at]
-        words = np.exp(_log_softmax(rows @ own.T + net["word_bias"][c::CLASSES]))
-        words[np.arange(len(at)), targets[at] // CLASSES] -= 1
-        back[at] += words @ own
-        found["word"][c::CLASSES], found["word_bias"][c::CLASSES] = words.T @ rows, words.sum(axis=0)
+    words, biases = _of_classes(net["word"]), _of_classes(net["word_bias"])[:, :, 0]
+    word, word_bias = np.zeros_like(words), np.zeros_like(biases)
+    for c, at in classes:
+        chances = _softmax(h[at] @ words[c].T + biases[c])
+        chances[np.arange(len(chances)), targets[at] // CLASSES] -= 1
+        back[at] += chances @ words[c]
+        word[c], word_bias[c] = chances.T @ h[at], chances.sum(axis=0)
+    found["word"], found["word_bias"] = word.swapaxes(0, 1).reshape(WORDS, WIDTH), word_bias.T.reshape(WORDS)
     back *= 1 - h * h
     found["bias"] = back.sum(axis=0)
     for j in range(around.shape[1]):
-        np.add.at(found["embed"], around[:, j], back * net["place"][j])
-        found["place"][j] = (back * net["embed"][around[:, j]]).sum(axis=0)
+        _add_rows(found["embed"], around[:, j], back * net["place"][j])
+        found["place"][j] = np.einsum("ij,ij->j", back, net["embed"][around[:, j]])
     return found
 
 
@@ -166,7 +205,7 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.
     return known[order], order.astype(np.int64)
 
 
-def _train(shared, round_: int, rate: float):
+def _train(shared, round_: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, known, ids = shared.value
         net, past = {k: v.copy() for k, v in start.items()}, {k: np.zeros_like(v) for k, v in start.items()}
@@ -184,8 +223,7 @@ def _train(shared, round_: int, rate: float):
                 if not len(hashes):
                     continue
                 own = word_ids(hashes, known, ids)
-                place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
-                masked = np.flatnonzero(place % STRIDE == round_ * STRIDE // ROUNDS)
+                masked = masked_places(hashes, first, round_, rounds)
                 held.append((contexts(own, first)[masked], own[masked]))
                 waiting += len(masked)
                 if waiting >= _BATCH:
@@ -213,13 +251,16 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1) -> tuple[dict, np.ndarray, np.ndarray]:
-    """The network and its vocabulary, from all documents: every one is counted and, in each round, learned from."""
+    """The network and its vocabulary, from all documents: every word is counted and predicted in at least one round.
+
+    Two rounds mask half of the words each; more go on with the other half in turn.
+    """
     known, ids = vocabulary(docs, text_col)
     net, context = fresh_net(), docs.sparkSession.sparkContext
     for r in range(rounds):
         shared = context.broadcast((net, known, ids))
         changes = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _train(shared, r, rate), "name string, block int, task int, weight double, change binary")
+            _train(shared, r, rounds, rate), "name string, block int, task int, weight double, change binary")
         mean = changes.groupBy("name", "block").applyInPandas(_average, "name string, block int, change binary").collect()   # the model's size
         for name, value in net.items():
             parts = sorted((m["block"], m["change"]) for m in mean if m["name"] == name)
