@@ -215,10 +215,37 @@ def test_rows_are_summed():
     at, rows = made.integers(0, masked_lm.WORDS + 1, 500) // 64 * 64, made.standard_normal((500, 4))
     plain, got = np.zeros((masked_lm.WORDS + 1, 4)), np.zeros((masked_lm.WORDS + 1, 4))
     np.add.at(plain, at, rows)
-    masked_lm._add_rows(got, at, rows)
+    ids, sums = masked_lm._sums_by(at, rows)
+    got[ids] = sums
     assert np.allclose(plain, got)
 
 
+def test_words_in_buckets_have_their_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "vocabulary", lambda counts: (np.zeros(0, np.uint64), np.zeros(0, np.int64)))   # all words are in buckets
+    made = random.Random(4)
+    texts = [" ".join(f"w{int(made.expovariate(0.005))}" for _ in range(200)) for _ in range(20)]
+    docs = spark.createDataFrame([(None if i % 3 else 5, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model = masked_lm.train(docs, rounds=1)
+    counts = Counter(w for t in texts for w in t.split())
+    net, known, ids, sizes, bucketed = model
+    assert sizes.sum() == 4000 and bucketed.count() == len(counts)
+    words = [*counts, "unheard"]
+    data = " ".join(words).encode()
+    hashes, _ = masked_lm.hashes_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    own = masked_lm.word_ids(hashes, known, ids)
+    held = Counter()
+    for w, b in zip(words, own):
+        held[b] += counts[w]
+    alone = masked_lm.log_probabilities(net, np.full((len(words), 4), masked_lm.WORDS), own)
+    expected = {i: p + np.log(max(counts[w], 1) / (held[b] + 1)) for i, (w, b, p) in enumerate(zip(words, own, alone))}
+    test = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in masked_lm.score_documents(test, model).collect()}
+    assert got == pytest.approx(expected, abs=1e-4)
+    double = spark.createDataFrame([(None, f"{words[0]} {words[0]}"), (None, f"{words[0]} {words[0]}"), (7, None)], "doc_id long, text string")
+    rows = masked_lm.score_documents(double, model).collect()
+    assert sorted(r.n_words for r in rows) == [0, 2, 2] and len({r.log_likelihood for r in rows if r.n_words}) == 1
+
+
 def plain_components(rows, words, percent):
     sets = []
     for _, text in rows:

@@ -1,8 +1,10 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from both sides.
 
 The network sums learned vectors of the words around a place, weighted by position, and predicts the word
-in two steps, its class and the word in the class, so that each probability is normalised over the whole
-vocabulary. It is trained in numpy where the data are: each task runs over its part of the corpus, the
+in two steps, its class and the word in the class, so that each probability is normalised over all ids. An
+id is a frequent word or a bucket of all others by hash; a word of a bucket has the share of the bucket's
+probability that it has of the bucket's occurrences. Those are counted for every word, in a Spark table that
+grows with the corpus, and joined on the word's hash. It is trained in numpy where the data are: each task runs over its part of the corpus, the
 changes of all tasks are averaged block by block on the cluster, and the next round starts from there.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import lowered, mixed, short_batches, span_hashes, text_chunks, words_of
+from tradewind.sources.stage import stage
 
 CLASSES, PER_CLASS = 64, 64
 WORDS = CLASSES * PER_CLASS     # ids: the most frequent words, then buckets for all others
@@ -72,7 +75,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     """Softmax of each row, in place."""
     x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
@@ -80,15 +83,15 @@ def _log_chance(x: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at one column; ``x`` is overwritten."""
     x -= x.max(axis=1, keepdims=True)
     wanted = x[np.arange(len(x)), own]
-    return wanted - np.log(np.exp(x, out=x).sum(axis=1))
+    return wanted - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
-def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """``np.add.at`` for rows, sorted first, which is several times as fast."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    at = at[order]
-    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    into[at[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+def _sums_by(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, sorted, and the sum of the rows of each."""
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
+    ids = ids[order]
+    starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    return ids[starts], np.add.reduceat(rows[order], starts, axis=0)
 
 
 def _hidden(net: dict, around: np.ndarray) -> np.ndarray:
@@ -148,8 +151,9 @@ def gradients(net: dict, around: np.ndarray, targets: np.ndarray) -> dict[str, n
     back *= 1 - h * h
     found["bias"] = back.sum(axis=0)
     for j in range(around.shape[1]):
-        _add_rows(found["embed"], around[:, j], back * net["place"][j])
-        found["place"][j] = np.einsum("ij,ij->j", back, net["embed"][around[:, j]])
+        at, sums = _sums_by(around[:, j], back)
+        found["embed"][at] += sums * net["place"][j]
+        found["place"][j] = (sums * net["embed"][at]).sum(axis=0)
     return found
 
 
@@ -195,16 +199,44 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*summed())
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the most frequent words of all documents, sorted, and their ranks. As many as the model has ids for."""
+def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` (a hash) and ``n`` of every different word of all documents, written once."""
     short_batches(docs.sparkSession)
     counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count_words, "word long, n long")
-    top = (counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(WORDS - BUCKETS).collect())
+    return stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
+
+
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the most frequent words, sorted, and their ranks. As many as the model has ids of their own for."""
+    top = counts.orderBy(F.col("n").desc(), "word").limit(WORDS - BUCKETS).collect()
     known = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(known)
     return known[order], order.astype(np.int64)
 
 
+def _bucket_rows(known: np.ndarray, ids: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            bucket = word_ids(words.view(np.uint64), known, ids) - (WORDS - BUCKETS)
+            at = bucket >= 0
+            yield pa.RecordBatch.from_arrays([pa.array(words[at]), pa.array(n[at]), pa.array(bucket[at].astype(np.int32))], ["word", "n", "bucket"])
+    return run
+
+
+def bucketed_words(counts: DataFrame, known: np.ndarray, ids: np.ndarray) -> DataFrame:
+    """``word``, ``n`` and ``bucket`` of the words without an id of their own."""
+    return counts.select("word", "n").mapInArrow(_bucket_rows(known, ids), "word long, n long, bucket int")
+
+
+def bucket_sizes(bucketed: DataFrame) -> np.ndarray:
+    """How many words of all documents each bucket holds."""
+    sizes = np.zeros(BUCKETS, np.int64)
+    for r in bucketed.groupBy("bucket").agg(F.sum("n").alias("n")).collect():   # BUCKETS rows
+        sizes[r["bucket"]] = r["n"]
+    return sizes
+
+
 def _train(shared, round_: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, known, ids = shared.value
@@ -250,12 +282,17 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": [rows["name"].iloc[0]], "block": [rows["block"].iloc[0]], "change": [(total / rows["weight"].sum()).astype(np.float32).tobytes()]})
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1) -> tuple[dict, np.ndarray, np.ndarray]:
-    """The network and its vocabulary, from all documents: every word is counted and predicted in at least one round.
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, DataFrame]:
+    """The model, from all documents: every word is counted and predicted in at least one round.
+
+    That is the network, its vocabulary (hashes, ids), the sizes of the buckets, and the table of the words in buckets.
 
     Two rounds mask half of the words each; more go on with the other half in turn.
     """
-    known, ids = vocabulary(docs, text_col)
+    counts = count_words(docs, text_col)
+    known, ids = vocabulary(counts)
+    bucketed = bucketed_words(counts, known, ids)
+    sizes = bucket_sizes(bucketed)
     net, context = fresh_net(), docs.sparkSession.sparkContext
     for r in range(rounds):
         shared = context.broadcast((net, known, ids))
@@ -266,34 +303,50 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: f
             parts = sorted((m["block"], m["change"]) for m in mean if m["name"] == name)
             if parts:
                 net[name] = value + np.concatenate([np.frombuffer(c, np.float32) for _, c in parts]).reshape(value.shape)
-    return net, known, ids
+    return net, known, ids, sizes, bucketed
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known, ids = shared.value
+        net, known, ids, sizes = shared.value
+        once = -np.log(sizes + 1.0)     # of a word that its bucket holds once, or of all that it does not hold
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for a, b, data, offsets in text_chunks(batch.column(1)):
                 hashes, first = hashes_of(data, offsets)
                 n = np.diff(first)
-                total = np.zeros(len(n))
+                total, rare, cuts = np.zeros(len(n)), np.zeros(0, np.int64), np.zeros(len(n) + 1, np.int32)
                 if len(hashes):
-                    own = word_ids(hashes, known, ids)
-                    total = np.bincount(np.repeat(np.arange(len(n)), n), weights=log_probabilities(net, contexts(own, first), own), minlength=len(n))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(total)],
-                                                 ["id", "n_words", "log_likelihood"])
+                    own, doc = word_ids(hashes, known, ids), np.repeat(np.arange(len(n)), n)
+                    chances = log_probabilities(net, contexts(own, first), own).astype(np.float64)
+                    at = np.flatnonzero(own >= WORDS - BUCKETS)
+                    chances[at] += once[own[at] - (WORDS - BUCKETS)]
+                    total = np.bincount(doc, weights=chances, minlength=len(n))
+                    rare, cuts = hashes[at].view(np.int64), np.searchsorted(at, first).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(n))), batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(total),
+                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare))], ["row", "id", "n_words", "total", "rare"])
+                row += len(n)
     return run
 
 
 def score_documents(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_words``, ``log_likelihood`` (sum over all words), ``mean_log_likelihood``.
 
-    Words are in lower case (A-Z). A null text is empty: no words, sum 0, null mean. Null and repeated ids stay, a
-    row each; an empty table gives an empty one; other columns are left out. Nothing is shuffled.
+    Words are in lower case (A-Z). A word in a bucket of N counted words has n / (N + 1) of the bucket's probability if it was
+    counted n times, and all words never counted share 1 / (N + 1). A null text is empty: no words, sum 0, null mean.
+    Null and repeated ids stay, a row each; an empty table gives an empty one; other columns are left out. Only words in
+    buckets are shuffled.
     """
     short_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    net, known, ids, sizes, bucketed = model
+    shared = docs.sparkSession.sparkContext.broadcast((net, known, ids, sizes))
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = wanted.mapInArrow(_score(shared), f"id {wanted.schema['id'].dataType.simpleString()}, n_words long, log_likelihood double")
+    made = stage(wanted.mapInArrow(_score(shared), f"row long, id {wanted.schema['id'].dataType.simpleString()}, n_words long, total double, rare array<long>"),
+                 "scored")
+    again = bucketed.where("n > 1").select("word", F.log("n").alias("more"))     # of a word counted once the logarithm is 0
+    more = (made.select("row", F.explode("rare").alias("word")).join(again, "word")
+                .groupBy("row").agg(F.sum("more").alias("more")))
+    whole = made.select("row", "id", "n_words", "total").join(more, "row", "left").withColumn("log_likelihood", F.col("total") + F.coalesce("more", F.lit(0.0)))
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
-    return made.select(F.col("id").alias(id_col), "n_words", "log_likelihood", mean.alias("mean_log_likelihood"))
+    return whole.select(F.col("id").alias(id_col), "n_words", "log_likelihood", mean.alias("mean_log_likelihood"))
