@@ -4,7 +4,7 @@ import io
 import zipfile
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tradewind.schema import ARRIVALS, CONTROL_COLUMNS, EXPORTS, IMPORTS

@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tradewind.operators import cube, dims, extract, filters, geo, graph, hierarchy, monitor, ordering

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 from test_operators import COUNTRY, FACTS, SPEC, imports, port
 

@@ -1,6 +1,6 @@
 """Stored tables, guard, upsert, incremental loads."""
 
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tradewind.operators import cube, extract, monitor
