@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, fingerprints, masked_lm, mixing, near_dedup, pieces, quality, secrets, token_files
+from tradewind.llm import chat, exact_dedup, fingerprints, masked_lm, mixing, near_dedup, pieces, quality, rules, secrets, token_files
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return masked_lm.score_documents(docs, masked_lm.train(docs))
+
+
+@query("op11_quality_rules", r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+b AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+             (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+o AS (SELECT doc_id, unnest(range(0, len(words) - 2)) AS i, words FROM t WHERE len(words) > 2),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i + 1], words[i + 2], words[i + 3]) AS times FROM o),
+r AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE times > 1) GROUP BY doc_id),
+h AS (SELECT doc_id, list_transform(words, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT) AS hs FROM t),
+c AS MATERIALIZED (SELECT doc_id, unnest(list_concat(list_transform(hs, lambda x: x % 16384),
+        list_transform(range(1, len(hs)), lambda i: (hs[i] * 31 + hs[i + 1] * 7919 + 12345) % 16384))) AS cell FROM h),
+s AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND coalesce(toxic, 0) = 0),
+n AS (SELECT cell, count(*) AS n, count(s.doc_id) AS sure FROM c LEFT JOIN s USING (doc_id) GROUP BY cell),
+z AS (SELECT cell, round(1e6::DOUBLE * (ln(sure::DOUBLE * ((SELECT sum(n) FROM n) + 16384)::DOUBLE / (n + 1)::DOUBLE + 16384::DOUBLE)
+        - ln((SELECT sum(sure) FROM n)::DOUBLE + 16384::DOUBLE)))::BIGINT AS weight FROM n),
+k AS (SELECT doc_id, count(*) AS n_grams, sum(weight)::BIGINT AS score FROM c JOIN z USING (cell) GROUP BY doc_id),
+a AS (SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_grams, 0)::BIGINT AS n_grams, coalesce(score, 0)::BIGINT AS score
+      FROM b LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND score >= -100000 * n_grams AS kept FROM a
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+    return rules.judge(docs, rules.gram_weights(docs, trusted))
