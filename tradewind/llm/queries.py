@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, exact_dedup, fingerprints, masked_lm, mixing, near_dedup, pieces, quality, rules, secrets, token_files
+from tradewind.llm import chat, exact_dedup, fingerprints, masked_lm, mixing, near_dedup, phrases, pieces, quality, rules, secrets, token_files, trie
 from tradewind.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,7 +134,9 @@ b AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words
 o AS (SELECT doc_id, unnest(range(0, len(words) - 2)) AS i, words FROM t WHERE len(words) > 2),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i + 1], words[i + 2], words[i + 3]) AS times FROM o),
 r AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE times > 1) GROUP BY doc_id),
-h AS (SELECT doc_id, list_transform(words, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT) AS hs FROM t),
+v AS MATERIALIZED (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len(x), 2), lambda i: [('0x' || substr(x, i, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, y: CASE WHEN y >= 0 THEN xor(a, y) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT) AS h FROM (SELECT DISTINCT w, hex(w) AS x FROM (SELECT unnest(words) AS w FROM t))),
+h AS (SELECT doc_id, list(h ORDER BY i) AS hs FROM (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS i FROM t) JOIN v USING (w) GROUP BY doc_id),
 c AS MATERIALIZED (SELECT doc_id, unnest(list_concat(list_transform(hs, lambda x: x % 16384),
         list_transform(range(1, len(hs)), lambda i: (hs[i] * 31 + hs[i + 1] * 7919 + 12345) % 16384))) AS cell FROM h),
 s AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND coalesce(toxic, 0) = 0),
@@ -152,3 +154,51 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
     return rules.judge(docs, rules.gram_weights(docs, trusted))
+
+
+@query("op13_prefix_trie", r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS body
+           FROM conversations WHERE conv_id IS NOT NULL),
+z AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+          lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+          lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT) % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT z.conv_id, 0 AS part, pos, role, body FROM z JOIN t ON t.conv_id = z.base WHERE pos < h
+      UNION ALL SELECT z.conv_id, 1, pos, role, body FROM z JOIN t ON t.conv_id = z.conv_id WHERE pos >= h),
+l AS (SELECT z.conv_id, coalesce(p.path, []) AS path FROM z LEFT JOIN (SELECT conv_id, list({'role': role, 'body': body} ORDER BY part, pos) AS path FROM r GROUP BY conv_id) p USING (conv_id)),
+d AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM l),
+n AS MATERIALIZED (SELECT depth, path[1:depth] AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+          sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256 FROM d GROUP BY ALL),
+k AS (SELECT depth - 1 AS depth, node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.node[n.depth].body) END AS saved
+      FROM n LEFT JOIN k ON k.depth = n.depth AND k.node = n.node),
+a AS (SELECT up AS depth, node[1:up] AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves, a.saved_tokens, m.ends_sha256
+FROM m JOIN a ON a.depth = m.depth AND a.node = m.node LEFT JOIN m p ON p.depth = m.depth - 1 AND p.node = m.node[1:m.depth - 1]
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.share_openings(trie.turn_rows(table(spark, sf_dir, "conversations"))))
+
+
+@query("op12_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+f1 AS MATERIALIZED (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(ws) AS x FROM w) GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, q[1] AS x, q[2] AS y, count(*) AS f FROM (SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS q FROM w) GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, q[1] AS x, q[2] AS y, q[3] AS z, count(*) AS f FROM (SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) AS q FROM w) GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+m AS (SELECT lang, x, y, max(f) AS most FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+c2 AS (SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, u.f AS l, v.f AS r, (1000000::HUGEINT * c.f * c.f) // (u.f::HUGEINT * v.f) AS score
+       FROM f2 c JOIN f1 u ON u.lang = c.lang AND u.x = c.x JOIN f1 v ON v.lang = c.lang AND v.x = c.y LEFT JOIN m ON m.lang = c.lang AND m.x = c.x AND m.y = c.y
+       WHERE c.f >= 10 AND 100 * coalesce(most, 0) < 50 * c.f),
+c3 AS (SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z AS phrase, c.f AS a, u.f AS l1, yz.f AS r1, xy.f AS l2, v.f AS r2,
+              (1000000::HUGEINT * c.f * c.f) // (u.f::HUGEINT * yz.f) AS s1, (1000000::HUGEINT * c.f * c.f) // (xy.f::HUGEINT * v.f) AS s2
+       FROM f3 c JOIN f1 u ON u.lang = c.lang AND u.x = c.x JOIN f1 v ON v.lang = c.lang AND v.x = c.z
+       JOIN f2 xy ON xy.lang = c.lang AND xy.x = c.x AND xy.y = c.y JOIN f2 yz ON yz.lang = c.lang AND yz.x = c.y AND yz.y = c.z),
+a AS (SELECT lang, phrase, a, l, r, score FROM c2 UNION ALL
+      SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM c3),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM k JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))

@@ -15,7 +15,6 @@ from tradewind.llm.common import SPACES, WORD, text_of
 from tradewind.sources.stage import stage
 
 SYMBOLS = "#*$%&|<>"
-_BLANKS = " \t\n\x0b\x0c\r"
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -23,48 +22,52 @@ def words_in(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(text, SPACES, " "), " ", -1), lambda w: w != "")
 
 
-def _runs(words: str, length: int) -> Column:
-    """Every ``length`` neighbouring words, joined by a space."""
-    run = lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(length)])
-    return F.when(F.size(words) >= length, F.transform(F.sequence(F.lit(0), F.size(words) - length), run)).otherwise(F.array().cast("array<string>"))
+def _met_again(spots: str) -> Column:
+    """Of an array of (x, i) in order: each i whose x a neighbour has too."""
+    size, none = F.size(spots), F.array(F.lit(None))
+    xs = F.transform(spots, lambda s: s["x"])
+    before = F.zip_with(xs, F.concat(none, F.slice(xs, 1, size - 1)), lambda a, b: a.eqNullSafe(b))
+    after = F.concat(F.slice(before, 2, size - 1), F.array(F.lit(False)))
+    either = F.zip_with(before, after, lambda a, b: a | b)
+    return F.transform(F.filter(F.zip_with(spots, either, lambda s, e: F.struct(s["i"].alias("i"), e.alias("e"))), lambda x: x["e"]), lambda x: x["i"])
 
 
 def count_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` and ``words`` of its text.
 
-    Sorting a text's three-word windows brings equal ones together, so its cost follows the length of the
-    text; it is done only for texts that hold an equal pair.
+    Equal three-word windows are brought together by sorting, so the cost follows the length of a text: first all windows by a
+    hash, in texts where a hash occurs twice, and then those with such a hash by their words.
     """
     body = text_of(text)
     lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD))
     kept = [c for c in docs.columns if c != text]
-    a = docs.select(*kept, body.alias("_body"), words_in(body).alias("words"), lines.alias("_lines"))
-    b = a.select(*kept, "words", F.size("words").cast("long").alias("n_words"),
-                 F.length(F.translate("_body", _BLANKS, "")).cast("long").alias("word_chars"),
-                 (F.length("_body") - F.length(F.translate("_body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), _runs("words", 3).alias("_runs"))
-    spot = F.sort_array(F.transform("_runs", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    c = b.withColumn("_sorted", F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), spot)).drop("_runs")
-    none = F.array(F.lit(None).cast("struct<x:string,i:int>"))
-    before = F.concat(none, F.slice("_sorted", 1, F.size("_sorted") - 1))
-    after = F.concat(F.slice("_sorted", 2, F.size("_sorted")), none)
-    marked = F.zip_with("_sorted", before, lambda s, p: F.struct(s["x"].alias("x"), s["i"].alias("i"), s["x"].eqNullSafe(p["x"]).alias("again")))
-    found = F.zip_with(marked, after, lambda s, n: F.when(s["again"] | s["x"].eqNullSafe(n["x"]), s["i"]))
-    inside = F.flatten(F.transform(F.filter(found, lambda i: i.isNotNull()), lambda i: F.array(i, i + 1, i + 2)))
-    repeated = F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(F.array_distinct(inside)))
-    return c.select(*kept, "words", *_BASE[:-1], repeated.cast("long").alias("n_repeat_words"))
+    a = docs.select(*kept, F.regexp_replace(body, SPACES, " ").alias("_flat"), F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).alias("_symbols"), lines.alias("_lines"))
+    b = a.select(*kept, "_flat", F.split("_flat", " ", -1).alias("_parts"), F.col("_symbols").cast("long").alias("n_symbols"),
+                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"))
+    c = b.select(*kept, "n_symbols", "n_dup_lines", (F.length("_flat") - F.size("_parts") + 1).cast("long").alias("word_chars"),
+                 F.filter("_parts", lambda w: w != "").alias("words"))
+    run = lambda f: lambda i: f(*[F.get("words", i + k) for k in range(3)])
+    hashes = F.when(F.size("words") > 3, F.transform(F.sequence(F.lit(0), F.size("words") - 3), run(F.xxhash64)))
+    d = c.select(*kept, "n_symbols", "n_dup_lines", "word_chars", "words", F.size("words").cast("long").alias("n_words"), hashes.alias("_runs"))
+    spots = F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), F.sort_array(F.transform("_runs", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
+    e = d.withColumn("_spots", spots).drop("_runs").withColumn("_again", _met_again("_spots")).drop("_spots")
+    exact = F.sort_array(F.transform("_again", lambda i: F.struct(run(lambda *w: F.concat_ws(" ", *w))(i).alias("x"), i.alias("i"))))
+    f = e.withColumn("_spots", exact).drop("_again").withColumn("_again", _met_again("_spots")).drop("_spots")
+    inside = F.array_distinct(F.flatten(F.transform("_again", lambda i: F.array(i, i + 1, i + 2))))
+    repeated = F.when(F.col("_again").isNull(), 0).otherwise(F.size(inside))
+    return f.select(*kept, "words", *_BASE[:-1], repeated.cast("long").alias("n_repeat_words"))
 
 
 def gram_cells(words: str, buckets: int) -> Column:
-    """Cells of the words and of the pairs of neighbouring words of a text."""
-    return F.concat(F.transform(words, lambda h: (h % buckets).cast("int")),
+    """Cells of the words and of the pairs of neighbouring words of a text, for at most 32,768 cells."""
+    return F.concat(F.transform(words, lambda h: (h % buckets).cast("smallint")),
                     F.when(F.size(words) > 1, F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda g, h:
-                                                         ((g * 31 + h * 7919 + 12345) % buckets).cast("int"))).otherwise(F.array().cast("array<int>")))
+                                                         ((g * 31 + h * 7919 + 12345) % buckets).cast("smallint"))).otherwise(F.array().cast("array<smallint>")))
 
 
 def _hashed(docs: DataFrame, words: str) -> DataFrame:
-    """The words as 32-bit numbers."""
-    return docs.withColumn(words, F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long")))
+    """The words as 32-bit checksums."""
+    return docs.withColumn(words, F.transform(words, lambda w: F.crc32(w.cast("binary"))))
 
 
 def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 14, prior: float = 1.0) -> DataFrame:
@@ -77,7 +80,7 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     """
     cells = _hashed(docs.select(F.col(id_col).alias("id"), words_in(text_of(text_col)).alias("words")), "words").select(
         "id", gram_cells("words", buckets).alias("cells"))
-    sure = trusted.select(F.col(trusted.columns[0]).alias("_id")).where("_id IS NOT NULL").distinct()
+    sure = stage(trusted.select(F.col(trusted.columns[0]).alias("_id")).where("_id IS NOT NULL").distinct(), "trusted")
     met = cells.join(sure, F.col("id") == F.col("_id"), "left").select(F.explode("cells").alias("cell"), F.col("_id").isNotNull().cast("long").alias("sure"))
     counts = stage(met.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("sure").alias("sure")), "cells")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("sure"), F.lit(0)).alias("sure")).first()
