@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.sources.stage import stage
+
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row per key. An aggregate, so a key with very many rows is reduced before the shuffle."""
@@ -72,3 +74,22 @@ def every_nth(df: DataFrame, col: str, n: int = 3) -> DataFrame:
 def page(df: DataFrame, order: Sequence[str], size: int = 25, number: int = 1) -> DataFrame:
     """One page of an ordered table, pages counted from 1."""
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
+
+
+def ranges_in_order(df: DataFrame, order: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
+    """The rows sorted by ranges of ``order`` (staged, with ``_at``), and each range's ``_range``, ``_start`` and ``_n``.
+
+    ``order`` must be unique per row: then every range holds about the same number of rows, whatever the keys. Only one row
+    per range is looked at as a whole.
+    """
+    rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    return rows, sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
+    """Consecutive numbers from 0 in ``order`` (unique per row), from two small steps: sorted ranges and their sizes."""
+    rows, sizes = ranges_in_order(df, order)
+    at = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(sizes, F.shiftright("_at", 33) == F.col("_range")).withColumn(name, at).select(*df.columns, name)
