@@ -19,7 +19,11 @@ _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def words_in(text: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(text, SPACES, " "), " ", -1), lambda w: w != "")
+    """The words of a text, cut in one pass: only the first and the last part can be blank."""
+    def inner(parts: Column) -> Column:
+        first, last = (F.element_at(parts, 1) == "").cast("int"), (F.element_at(parts, -1) == "").cast("int")
+        return F.slice(parts, first + 1, F.greatest(F.size(parts) - first - last, F.lit(0)))
+    return F.transform(F.array(F.split(text, SPACES, -1)), inner)[0]
 
 
 def _met_again(spots: str) -> Column:
@@ -33,7 +37,7 @@ def _met_again(spots: str) -> Column:
 
 
 def count_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` and ``words`` of its text.
+    """``docs`` with ``words``, ``n_symbols``, ``n_dup_lines`` and ``n_repeat_words`` of its text.
 
     Equal three-word windows are brought together by sorting, so the cost follows the length of a text: first all windows by a
     hash, in texts where a hash occurs twice, and then those with such a hash by their words.
@@ -41,33 +45,31 @@ def count_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     body = text_of(text)
     lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD))
     kept = [c for c in docs.columns if c != text]
-    a = docs.select(*kept, F.regexp_replace(body, SPACES, " ").alias("_flat"), F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).alias("_symbols"), lines.alias("_lines"))
-    b = a.select(*kept, "_flat", F.split("_flat", " ", -1).alias("_parts"), F.col("_symbols").cast("long").alias("n_symbols"),
-                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"))
-    c = b.select(*kept, "n_symbols", "n_dup_lines", (F.length("_flat") - F.size("_parts") + 1).cast("long").alias("word_chars"),
-                 F.filter("_parts", lambda w: w != "").alias("words"))
+    a = docs.select(*kept, words_in(body).alias("words"), F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"), lines.alias("_lines"))
+    c = a.select(*kept, "words", "n_symbols", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"))
     run = lambda f: lambda i: f(*[F.get("words", i + k) for k in range(3)])
     hashes = F.when(F.size("words") > 3, F.transform(F.sequence(F.lit(0), F.size("words") - 3), run(F.xxhash64)))
-    d = c.select(*kept, "n_symbols", "n_dup_lines", "word_chars", "words", F.size("words").cast("long").alias("n_words"), hashes.alias("_runs"))
+    d = c.select(*kept, "n_symbols", "n_dup_lines", "words", hashes.alias("_runs"))
     spots = F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), F.sort_array(F.transform("_runs", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
     e = d.withColumn("_spots", spots).drop("_runs").withColumn("_again", _met_again("_spots")).drop("_spots")
     exact = F.sort_array(F.transform("_again", lambda i: F.struct(run(lambda *w: F.concat_ws(" ", *w))(i).alias("x"), i.alias("i"))))
     f = e.withColumn("_spots", exact).drop("_again").withColumn("_again", _met_again("_spots")).drop("_spots")
     inside = F.array_distinct(F.flatten(F.transform("_again", lambda i: F.array(i, i + 1, i + 2))))
     repeated = F.when(F.col("_again").isNull(), 0).otherwise(F.size(inside))
-    return f.select(*kept, "words", *_BASE[:-1], repeated.cast("long").alias("n_repeat_words"))
+    return f.select(*kept, "words", "n_symbols", "n_dup_lines", repeated.cast("long").alias("n_repeat_words"))
 
 
-def gram_cells(words: str, buckets: int) -> Column:
-    """Cells of the words and of the pairs of neighbouring words of a text, for at most 32,768 cells."""
-    return F.concat(F.transform(words, lambda h: (h % buckets).cast("smallint")),
-                    F.when(F.size(words) > 1, F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda g, h:
-                                                         ((g * 31 + h * 7919 + 12345) % buckets).cast("smallint"))).otherwise(F.array().cast("array<smallint>")))
+def word_rows(docs: DataFrame) -> DataFrame:
+    """A row per word of ``words`` with the cells of the word and of it with the next one; a row of nulls for no words."""
+    kept = [c for c in docs.columns if c != "words"]
+    zipped = docs.select(*kept, "words", F.slice("words", 2, F.size("words")).alias("following"))
+    return zipped.select(*kept, F.inline_outer(F.arrays_zip("words", "following")).alias("word", "following"))
 
 
-def _hashed(docs: DataFrame, words: str) -> DataFrame:
-    """The words as 32-bit checksums."""
-    return docs.withColumn(words, F.transform(words, lambda w: F.crc32(w.cast("binary"))))
+def _cells(buckets: int) -> tuple[Column, Column]:
+    """By checksums, 32 bits each."""
+    h, g = F.crc32(F.col("word").cast("binary")), F.crc32(F.col("following").cast("binary"))
+    return (h % buckets).cast("int"), ((h * 31 + g * 7919 + 12345) % buckets).cast("int")
 
 
 def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 14, prior: float = 1.0) -> DataFrame:
@@ -75,13 +77,13 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
 
     ``trusted`` holds the ids of trusted documents; repeated and unknown ids do no harm. The trusted
     multinomial is smoothed towards that of all documents, by ``prior`` grams a cell, so a cell about which
-    little is known weighs little. Without trusted documents every weight is 0. All documents are counted;
-    what moves for the join are numbers of cells, not texts, and counts are combined in each task.
+    little is known weighs little. Without trusted documents every weight is 0. All documents are counted, combined in each
+    task. The trusted ids are staged: few go to every task, and many are met by a sorted join.
     """
-    cells = _hashed(docs.select(F.col(id_col).alias("id"), words_in(text_of(text_col)).alias("words")), "words").select(
-        "id", gram_cells("words", buckets).alias("cells"))
     sure = stage(trusted.select(F.col(trusted.columns[0]).alias("_id")).where("_id IS NOT NULL").distinct(), "trusted")
-    met = cells.join(sure, F.col("id") == F.col("_id"), "left").select(F.explode("cells").alias("cell"), F.col("_id").isNotNull().cast("long").alias("sure"))
+    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sure, F.col("id") == F.col("_id"), "left")
+    words = marked.select(F.col("_id").isNotNull().cast("long").alias("sure"), words_in(text_of("text")).alias("words"))
+    met = word_rows(words).select("sure", F.explode(F.array(*_cells(buckets))).alias("cell")).where("cell IS NOT NULL")
     counts = stage(met.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("sure").alias("sure")), "cells")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("sure"), F.lit(0)).alias("sure")).first()
     mass = prior * buckets
@@ -99,10 +101,16 @@ def judge(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col:
     The weights are at most ``buckets`` rows, so the join may broadcast them; texts are not shuffled.
     """
     micro = round(threshold * 1e6)
-    counted = _hashed(count_rules(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))), "words")
-    grams = counted.select("row", "id", *_BASE, F.explode_outer(gram_cells("words", buckets)).alias("_cell"))
-    scored = (grams.join(F.broadcast(weights), F.col("_cell") == F.col("cell"), "left").groupBy("row", "id", *_BASE)
-              .agg(F.count("_cell").alias("n_grams"), F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score")))
+    counted = word_rows(count_rules(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))))
+    alone, paired = _cells(buckets)
+    first = F.broadcast(weights.select(F.col("cell").alias("_a"), F.col("weight").alias("_wa")))
+    second = F.broadcast(weights.select(F.col("cell").alias("_b"), F.col("weight").alias("_wb")))
+    grams = (counted.withColumn("_alone", alone).withColumn("_paired", paired)
+             .join(first, F.col("_alone") == F.col("_a"), "left").join(second, F.col("_paired") == F.col("_b"), "left"))
+    score = F.coalesce(F.sum("_wa"), F.lit(0)) + F.coalesce(F.sum("_wb"), F.lit(0))
+    scored = grams.groupBy("row", "id", "n_symbols", "n_dup_lines", "n_repeat_words").agg(
+        F.count("word").alias("n_words"), F.coalesce(F.sum(F.length("word")), F.lit(0)).cast("long").alias("word_chars"),
+        (F.count("word") + F.count("following")).alias("n_grams"), score.cast("long").alias("score"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return scored.select(F.col("id").alias(id_col), *_BASE, failed.alias("base_failed"),
                          (~failed & (F.col("score") >= micro * F.col("n_grams"))).alias("kept"), "n_grams", "score")
