@@ -94,6 +94,8 @@ def flag_possible_repeats(df: DataFrame, column: str, rows: int, max_filter_byte
     h = F.col(column)
     tagged = (df.withColumn("_slice", F.pmod(F.shiftrightunsigned(h, 40), F.lit(slices)).cast("int"))
                 .withColumn("_segment", F.shiftrightunsigned(h, 24).bitwiseAND(F.lit(segments - 1).cast("long"))))
+    if slices > 1:      # laid out by slice, so that each test below reads its own rows only
+        tagged = stage(tagged, "by-slice", by="_slice")
 
     def bit(cell: str) -> Column:
         return F.expr(f"coalesce(shiftright(bits[cast(shiftright({cell}, 6) as int)], cast({cell} & 63 as int)) & 1L, 0L) = 1L")
@@ -115,7 +117,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of a group stays; a null id stays only in a group that has no other. Rows that repeat an id and its
     text count each in ``group_size`` and share one decision. An empty table gives an empty one; other
     columns are left out. The filter is broadcast, never beyond ``max_filter_bytes`` (and the few bytes a
-    segment that rows add): a larger input is tested slice by slice of the hash range.
+    segment that rows add): a larger input is laid out by slices of the hash range, and tested slice by slice.
     """
     digests = stage(docs.select(F.col(id_col), F.sha2(normalised(text_col), 256).alias("text_sha256"))
                         .withColumn("_hash", F.xxhash64("text_sha256")), "digests")

@@ -1,8 +1,9 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A rolling hash of seven bytes marks the ends of chunks: where its low bits are all ones, so that the marks
-of a larger block size are among those of a smaller one. A fingerprint has one character for each chunk, at
-a block size that suits the text's length and at twice that size. Two fingerprints are compared by edit
+of a larger block size are among those of a smaller one. A text of one byte over and over has no chunk ends or
+only such; its fingerprint tells it from its edit only as a whole. A fingerprint has one character for each chunk, at
+a block size that suits the text's length, or the largest smaller one that gives half of a signature, and at twice that size. Two fingerprints are compared by edit
 distance where they have a block size in common. An edit changes the chunks it touches and no others.
 """
 
@@ -71,6 +72,8 @@ def fingerprints(texts: pa.Array) -> list[str]:
             block = _LEAST
             while (b - a) >> block > _LENGTH:
                 block += 1
+            while block > _LEAST and np.count_nonzero(levels >= block) < _LENGTH // 2 - 1:
+                block -= 1
             pair = [_signature(cuts[levels >= k], a, b, sums, down) for k in (block, block + 1)]
             out.append(f"{1 << block}:{pair[0]}:{pair[1]}")
     return out

@@ -267,19 +267,24 @@ def _train(shared, round_: int, rounds: int, rate: float):
         if seen:
             task = TaskContext.get().partitionId()
             for name, value in net.items():
-                change = (value - start[name]).ravel()
+                change, met = (value - start[name]).ravel(), (past[name] > 0).ravel()
                 for i, a in enumerate(range(0, len(change), 1 << 14)):
                     yield pa.RecordBatch.from_pydict({
                         "name": [name], "block": pa.array([i], pa.int32()), "task": pa.array([task], pa.int32()),
-                        "weight": [float(seen)], "change": pa.array([change[a:a + (1 << 14)].tobytes()], pa.binary())})
+                        "weight": [float(seen)], "change": pa.array([change[a:a + (1 << 14)].tobytes()], pa.binary()),
+                        "met": pa.array([np.packbits(met[a:a + (1 << 14)]).tobytes()], pa.binary())})
     return run
 
 
 def _average(rows: pd.DataFrame) -> pd.DataFrame:
-    """The mean change of one block, by the number of places each task learned from."""
-    rows = rows.sort_values("task")
-    total = sum(w * np.frombuffer(c, np.float32).astype(np.float64) for w, c in zip(rows["weight"], rows["change"]))
-    return pd.DataFrame({"name": [rows["name"].iloc[0]], "block": [rows["block"].iloc[0]], "change": [(total / rows["weight"].sum()).astype(np.float32).tobytes()]})
+    """The mean change of one block, by the number of places each task learned from; a number counts the tasks that moved it."""
+    total, mass = 0.0, 0.0
+    for r in rows.sort_values("task").itertuples():
+        change = np.frombuffer(r.change, np.float32).astype(np.float64)
+        total = total + r.weight * change
+        mass = mass + r.weight * np.unpackbits(np.frombuffer(r.met, np.uint8), count=len(change))
+    mean = np.where(mass > 0, total / np.maximum(mass, 1e-9), 0.0)
+    return pd.DataFrame({"name": [rows["name"].iloc[0]], "block": [rows["block"].iloc[0]], "change": [mean.astype(np.float32).tobytes()]})
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, DataFrame]:
@@ -297,7 +302,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: f
     for r in range(rounds):
         shared = context.broadcast((net, known, ids))
         changes = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _train(shared, r, rounds, rate), "name string, block int, task int, weight double, change binary")
+            _train(shared, r, rounds, rate), "name string, block int, task int, weight double, change binary, met binary")
         mean = changes.groupBy("name", "block").applyInPandas(_average, "name string, block int, change binary").collect()   # the model's size
         for name, value in net.items():
             parts = sorted((m["block"], m["change"]) for m in mean if m["name"] == name)

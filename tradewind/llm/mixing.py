@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import WORD, opaque, prefix_sums, text_of
-from tradewind.operators.ordering import dense_index
+from tradewind.operators.ordering import global_rank, ranges_in_order
 from tradewind.sources.stage import stage
 
 
@@ -27,7 +27,7 @@ def source_targets(sized: DataFrame, cycle: Sequence[float] = (5, 2, 1), share:
     """
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     keyed = sources.withColumn("_null", F.col("source").isNull()).withColumn("_text", F.coalesce("source", F.lit("")))
-    ranked = dense_index(keyed, ["_null", "_text"], [F.col("_null"), F.substring("_text", 1, 2)], "rank")
+    ranked = global_rank(keyed, ["_null", "_text"], "rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in cycle]), (F.col("rank") % len(cycle) + 1).cast("int"))
     ranked = stage(ranked.withColumn("weight", weight).drop("_null", "_text"), "sources")
     cap = F.lit(float(most)) * F.col("source_size")
@@ -50,9 +50,9 @@ def mix(sized: DataFrame, targets: DataFrame, share: float = 1.5, block_rows: in
     ``sized`` has a distinct ``row``, ``id``, ``source`` and ``size``. Each source's documents are shuffled
     (by a hash of seed, round and id) and queued, again in a new order for a second round where the target
     asks for more than the source has. A document's virtual finish time is the number of its source's words
-    up to its end over the source's target, so every source should end at time 1. Rows are sorted by
-    that time over all sources and end at the budget; the document in service at its source's target is
-    taken up to there. Returns ``row``, ``copy``, ``size``, ``taken``, ``finish``, ``position`` (words before).
+    up to its end over the source's target, so every source should end at time 1. Rows are sorted into ranges by
+    that time over all sources, equal times by source, round and hash, so a range holds its share of rows whatever the times, and
+    end at the budget; the document in service at its source's target is taken up to there. Returns ``row``, ``copy``, ``size``, ``taken``, ``finish``, ``position`` (words before).
     """
     near = targets.where("source_size > 0 and target > 0")
     picked = sized.where("size > 0").join(
@@ -69,10 +69,10 @@ def mix(sized: DataFrame, targets: DataFrame, share: float = 1.5, block_rows: in
     served = (ordered.withColumn("start", start).where("start < floor(target)")
               .withColumn("taken", F.least(F.col("size"), F.floor("target") - F.col("start")))
               .withColumn("finish", F.least(F.lit(1.0), (F.col("start") + F.col("size")) / F.col("target"))))
-    rows = max(1, math.ceil(queued.count() / block_rows))
-    served = stage(served.withColumn("slot", F.floor(F.col("finish") * rows)), "served")
+    sorted_rows, _ = ranges_in_order(served, ["finish", "rank", "copy", "key", "id", "size", "row"])
+    in_ranges = sorted_rows.withColumn("slot", F.shiftright("_at", 33))
     budget = F.lit(math.floor(share * (targets.agg(F.sum("source_size")).first()[0] or 0)))
-    line = prefix_sums(served, [], "slot", ["finish", "rank", "copy", "key", "id", "size", "row"], "taken", "position")
+    line = prefix_sums(in_ranges, [], "slot", ["_at"], "taken", "position")
     return (line.withColumn("taken", F.least(F.col("taken"), budget - F.col("position"))).where("taken > 0")
                 .select("row", "copy", "size", "taken", "finish", "position").orderBy("position"))
 

@@ -32,6 +32,7 @@ NEIGHBOURS = 4          # following nodes of a tree that a node is compared with
 LEAST_PREFIX = 3        # values that a candidate shares at least at the start of a tree's order
 LEAST_ALIKE = 10        # of the DEPTH values of that tree (at similarity 0.85, 13.6 are expected)
 CROWD_PREFIX = 4        # a node is in a crowded region if its last compared neighbour shares so many values at the start
+LEAST_PERCENT = 75      # likeness for which the four numbers above hold: 3 of the first values agree in an order with 0.9998, 4 with 0.998
 SKETCH_BITS = 21        # the counts that say which shingles are rare: 2 ** bits of 4 bytes, sent to every task
 
 
@@ -291,8 +292,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Pairs are confirmed in two rounds: first each node's likest neighbour on either side, then of the other pairs those that
     the links found so far do not connect, so that a group of thousands does not confirm all its pairs. A third round
-    has the pairs of crowded regions, where more nodes begin alike than ``reach`` compares.
+    has the pairs of crowded regions, where more nodes begin alike than ``reach`` compares. The search is made for likeness of
+    ``LEAST_PERCENT`` and more: below, pairs would be missed, so a lower ``percent`` is refused.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent must be {LEAST_PERCENT} or more")
     short_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     described = stage(wanted.mapInArrow(_describe(words, VALUES), f"id {wanted.schema['id'].dataType.simpleString()}, n_shingles long, node binary, signature binary"), "described")

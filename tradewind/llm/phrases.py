@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import lowered, mixed, short_batches, span_hashes, text_chunks, text_of
 from tradewind.sources.stage import stage
 
-_FLUSH = 1 << 20            # words that a task holds before it hands its stripes on
-_MERGE = 1 << 21            # entries that are held before they are merged
+_FLUSH = 3 << 18            # words that a task holds before it hands its stripes on
+_MERGE = 1 << 20            # entries that are held before they are merged
 _KIND = np.zeros(256, np.uint8)
 _KIND[[32, 9]] = 1
 _KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2

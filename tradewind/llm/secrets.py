@@ -169,7 +169,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     if listed:
         index = stage(postings(wanted, grams, "id", "text"), "postings")
-        found = candidates(index, grams, listed)
+        found = stage(candidates(index, grams, listed), "candidates")     # of known size: few go to every task, so texts stay where they are
         wanted = wanted.join(found, F.col("id").eqNullSafe(F.col("_id")), "left")
     none = F.array().cast("array<struct<start:int,rule:int,end:int>>")
     text, parts = F.col("text"), []

@@ -10,6 +10,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import chain, islice
 
 import numpy as np
@@ -35,7 +36,7 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True       # their strings in a text are ordinary text
+        made.encode_special_tokens = True       # pieces hold none, see encode_batch
         size = made.get_vocab_size()
         # a byte is one character in the vocabulary's spelling; special tokens do not occur
         return made, np.array([len(made.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -77,9 +78,19 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.Li
 
     Texts (no nulls) are cut at the spaces that something other than white space follows. The byte-level pattern starts
     a token at every such space, and what follows a piece does not change the tokens in it. Where each space of a text is such a
-    place, Arrow cuts it and numbers its different words; other texts are cut by the pattern.
+    place, Arrow cuts it and numbers its different words; other texts are cut by the pattern. A text that holds the string of a
+    special token is given to the library whole, which makes that token of it.
     """
     tokenizer, lengths = _tokenizer(path)
+    special = [pc.match_substring(texts, t.content) for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+    whole = np.flatnonzero(reduce(np.logical_or, [m.to_numpy(zero_copy_only=False) for m in special], np.zeros(len(texts), bool)))
+    if len(whole):
+        tokenizer.encode_special_tokens = False
+        of_whole = [np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)]
+        tokenizer.encode_special_tokens = True
+        hidden = np.zeros(len(texts), bool)
+        hidden[whole] = True
+        texts = pc.if_else(pa.array(hidden), "", texts)
     plain, spaced = worker_memo(f"known {path}", lambda: ([{}, {}], [{}, {}]))
 
     def learn_plain(new: list[str]) -> Iterable[bytes]:
@@ -97,6 +108,8 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.Li
         heads, pc.if_else(odd, texts, "").to_pylist(), odd.to_pylist())]
     first = iter(_recall(plain, list(chain.from_iterable(pieces)), learn_plain))
     ids += [b"".join(islice(first, len(p))) for p in pieces]
+    for row, own in zip(whole, of_whole if len(whole) else ()):
+        ids[len(words) + row] = own
     ids.append(b"" if end_id is None else np.int32(end_id).tobytes())
 
     codes = coded.indices.to_numpy().copy()
