@@ -1,6 +1,7 @@
 """The corpus pipeline: quality, exact dedup, near dedup, mixing to target weights, SentencePiece ids.
 
-Each stage works on all that the one before kept, written as Parquet and read again.
+Each stage works on all that the one before kept, written as Parquet and read again. A stage begins by removing the tables that
+the stages before it staged: their results are written by then.
 """
 
 from __future__ import annotations
@@ -10,29 +11,49 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.llm import exact_dedup, mixing, near_dedup, pieces, quality
 from tradewind.llm.common import table
-from tradewind.sources.stage import stage
+from tradewind.sources.stage import reads_staged, remove_staged, stage, staged_since, staged_so_far
 
+_ended: list[str] = []      # staged by the stage that returned last
 
+
+def owner(step):
+    """A stage that removes what the one before staged, unless its documents still rest on that, before it stages its own."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not reads_staged(docs, _ended):
+            remove_staged(spark, _ended)
+        mark = staged_so_far()
+        out = step(spark, docs, sf_dir)
+        _ended[:] = staged_since(mark)
+        return out
+    run.__name__, run.__doc__ = step.__name__, step.__doc__
+    return run
+
+
+@owner
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on labelled ones of these, does not reject."""
     return quality.keep_good(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@owner
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_repeats(docs)
 
 
+@owner
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that near-duplicate links connect."""
     return near_dedup.drop_near_duplicates(docs)
 
 
+@owner
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights."""
     return mixing.mix_documents(docs)
 
 
+@owner
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, SentencePiece ``ids`` of the text, and whether they decode to it."""
     return pieces.encode_ids(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -45,7 +66,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
+        mark = staged_so_far()
         docs = stage(step(spark, docs, sf_dir), name)
+        remove_staged(spark, before)
+        before = staged_since(mark)[-1:]        # the result, the next one's documents
     return STAGES[-1][1](spark, docs, sf_dir)

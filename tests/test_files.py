@@ -8,7 +8,7 @@ from rows import rows
 from pyspark.sql import functions as F
 
 from tradewind.schema import ARRIVALS, CONTROL_COLUMNS, EXPORTS, IMPORTS
-from tradewind.sources import files, tables
+from tradewind.sources import archives, files, tables
 
 
 def import_line(code="0101210000", country="US", port="DOV", date="01/2009", value="100", q1="5"):
@@ -109,7 +109,7 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "SMKI19_2009archive.zip", "w") as z:
         z.writestr("SMKI190902.zip", inner.getvalue())
         z.writestr("months/SMKI190901.TXT", "\n".join(["H", *[import_line(value=str(i)) for i in range(250)], "T"]))
-    lines = files.expand_archives(spark, str(tmp_path / "*.zip"), batch=100)
+    lines = archives.expand_archives(spark, str(tmp_path / "*.zip"), batch=100)
     assert lines.where("file = 'SMKI190901'").count() == 252
     facts = files.parse_fact_lines(files.drop_file_ends(lines), IMPORTS)
     assert rows(facts.groupBy("file").count(), "file") == [("SMKI190901", 250), ("SMKI190902", 1)]
@@ -161,3 +161,72 @@ def test_file_ends_of_archives_with_one_name(spark):
     rows = [(a, "F", i, x) for a in "xy" for i, x in enumerate([f"H{a}", f"{a}1", f"T{a}"])]
     left = files.drop_file_ends(spark.createDataFrame(rows, "archive string, file string, pos long, line string"))
     assert sorted(r.line for r in left.collect()) == ["x1", "y1"]
+
+
+def zipped(*members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in members:
+            z.writestr(name, content)
+    return out.getvalue()
+
+
+def test_members_have_tasks_of_their_own(spark, tmp_path):
+    months = [(f"SMKI19090{m}.txt", "\n".join(["H", *[import_line(value=str(m))] * m, "T"])) for m in range(1, 9)]
+    (tmp_path / "flat.zip").write_bytes(zipped(*months))
+    (tmp_path / "deep.zip").write_bytes(zipped(*[(f"{n}.ZIP", zipped((n.replace("0901", "0909"), t))) for n, t in months], ("two.zip", zipped(*months[:2]))))
+    paths = spark.read.format("binaryFile").load(str(tmp_path)).select("path")
+    index = archives.archive_index(paths)
+    assert index.where("size(chain) = 1").count() == 8 and index.where("size(chain) = 2").count() == 10
+    dealt = index.repartitionByRange(18, "archive", "chain").mapInPandas(archives._unpack(archives.open_path, "latin-1", 100), archives._LINES)
+    assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() > 12
+    lines, members = archives.read_members(paths)
+    assert members.where("error IS NULL").count() == 18
+    assert rows(lines.where("archive LIKE '%flat.zip'").groupBy("file").count(), "file") == [(f"SMKI19090{m}", m + 2) for m in range(1, 9)]
+    assert files.fact_records(lines, IMPORTS).count() == 2 * 36 + 3
+
+
+def test_damaged_members_are_set_aside(spark, tmp_path):
+    body = "\n".join(["H", *[import_line(value=str(i * 7919 % 1000)) for i in range(3000)], "T"])
+    good = zipped(("SMKI190901", body), ("notes/", ""))
+    broken = bytearray(zipped(("SMKI190902", body), ("SMKI190903", body)))
+    broken[200] ^= 0xFF                                    # inside the first member
+    (tmp_path / "good.zip").write_bytes(good)
+    (tmp_path / "half.zip").write_bytes(bytes(broken))
+    (tmp_path / "cut.zip").write_bytes(good[: len(good) // 2])
+    (tmp_path / "empty.zip").write_bytes(b"PK")
+    (tmp_path / "deep.zip").write_bytes(zipped(("SMKI190904.zip", good[:500]), ("SMKI190905V2.txt", body), ("latin", "H\nCAF\xc9\nT".encode("latin-1"))))
+    lines, members = archives.read_members(spark.read.format("binaryFile").load(str(tmp_path)).select("path"), encoding="UTF-8")
+    found = {(r.archive.rsplit("/", 1)[-1], r.file): r.error and r.error.split(":")[0] for r in members.collect()}
+    assert found == {("good.zip", "SMKI190901"): None, ("half.zip", "SMKI190902"): found["half.zip", "SMKI190902"], ("half.zip", "SMKI190903"): None,
+                     ("cut.zip", None): "BadZipFile", ("empty.zip", None): "BadZipFile", ("deep.zip", "SMKI190904.ZIP"): "BadZipFile",
+                     ("deep.zip", "SMKI190905"): None, ("deep.zip", "LATIN"): "UnicodeDecodeError"}
+    assert found["half.zip", "SMKI190902"] in ("error", "BadZipFile", "EOFError")
+    assert rows(lines.groupBy("file", "issue").count(), "file") == [("SMKI190901", 1, 3002), ("SMKI190903", 1, 3002), ("SMKI190905", 2, 3002)]
+
+
+def test_no_archives(spark):
+    none = spark.createDataFrame([], "path string")
+    lines, members = archives.read_members(none)
+    assert lines.count() == 0 and members.count() == 0
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_archives_there_and_back(spark, tmp_path, nested):
+    texts = spark.createDataFrame([(a, f"F{f}.txt", i, f"{a}{f}{i} é") for a in ("x.zip", "y.zip") for f in range(3) for i in range(4)],
+                                  "archive string, file string, pos long, line string").repartition(3)
+    paths = archives.write_archives(texts, f"file://{tmp_path}/out", nested)
+    lines, members = archives.read_members(paths, encoding="UTF-8")
+    assert members.count() == 6 and sorted(r.line for r in lines.collect()) == sorted(r.line for r in texts.collect())
+
+
+def test_file_issues(spark):
+    df = spark.createDataFrame([("SMKE191405V2.TXT", 2), ("smke191406v3", 3), ("SMKE191405", 1), ("SMKV2191405", 1), ("v2.txt", 2)], "x string, n int")
+    assert df.where(files.file_issue(F.col("x")) != F.col("n")).count() == 0
+
+
+def test_text_is_scanned_once(spark, tmp_path):
+    write(tmp_path / "SMKI190901", ["H", import_line(), "T"])
+    lines = files.read_lines(spark, str(tmp_path))
+    plan = files.fact_records(lines, IMPORTS)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and files.fact_records(lines, IMPORTS).count() == 1

@@ -90,3 +90,25 @@ def test_ratio_by_zero(spark):
 def test_safe_names():
     assert safe_names(["SMK-COMCODE", "SMK-SUITE INDICATOR", "A.b", "a  B", "a-b", "1x", "_y", "", "In"]) == [
         "smk_comcode", "smk_suite_indicator", "a_b", "a_b_1", "a_b_2", "X1x", "X_y", "X", "in_"]
+
+
+def test_prefix_ranges():
+    assert codes.prefix_ranges(["02", "01", "0103", "05"]) == [("01", "03"), ("05", "06")]
+    assert codes.prefix_ranges([f"{i:02d}" for i in range(10)]) == [("00", "0:")]
+    assert codes.prefix_ranges(["\U0010ffff"]) == [("\U0010ffff", "")] and codes.prefix_ranges([]) == []
+    ranges = codes.prefix_ranges([f"{i:04d}" for i in range(0, 3000, 3)])
+    few = codes.bounds(ranges)
+    assert len(ranges) == 1000 and len(few) == 16 and (few[0][0], few[-1][1]) == ("0000", "2998")
+    assert all(any(a <= low and high <= b for a, b in few) for low, high in ranges) and codes.bounds(ranges[:5]) == ranges[:5]
+
+
+@pytest.mark.parametrize("n", [1, 65, 1000])
+def test_any_number_of_prefixes_reaches_the_scan(spark, tmp_path, n):
+    rnd = __import__("random").Random(n)
+    picked = {f"{rnd.randrange(10_000):04d}" for _ in range(n)} | {"77"}
+    stored = [f"{rnd.randrange(10**8):08d}" for _ in range(5000)] + ["0101", "77", "7700000X"]
+    spark.createDataFrame([(x,) for x in stored], "code string").write.parquet(str(tmp_path / "t"))
+    found = spark.read.parquet(str(tmp_path / "t")).where(codes.code_matches(F.col("code"), [p.ljust(8, "_") for p in picked]))
+    assert sorted(r.code for r in found.collect()) == sorted(x for x in stored if len(x) == 8 and any(x.startswith(p) for p in picked))
+    pushed = found._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(code," in pushed

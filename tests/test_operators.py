@@ -200,16 +200,31 @@ def test_next_in_order_over_buckets(spark):
     places = sorted(rnd.sample(range(10_000), 500))
     df = spark.createDataFrame([(p, f"v{p}" if p % 7 else None) for p in places], "pos long, v string").repartition(5)
     want = {p: (f"v{q}" if q % 7 else None) for p, q in zip(places, places[1:])} | {places[-1]: None}
-    for width in (1, 10, 1000, 100_000):
-        assert {r.pos: r.next_value for r in ordering.next_in_order(df, "v", "pos", width).collect()} == want
+    assert {r.pos: r.next_value for r in ordering.next_in_order(df, "v", ["pos"]).collect()} == want
 
 
-def test_dense_index(spark):
+def test_global_rank(spark):
     names = sorted({f"{random.Random(i).randrange(10**6):06d}" for i in range(400)})
     df = spark.createDataFrame([(n,) for n in names], "n string").repartition(6)
-    for width in (1, 3, 6):
-        got = rows(ordering.dense_index(df, ["n"], [F.substring("n", 1, width)]), "id")
-        assert got == [(n, i) for i, n in enumerate(names)]
+    assert rows(ordering.global_rank(df, ["n"]), "id") == [(n, i) for i, n in enumerate(names)]
+    assert ordering.global_rank(df.limit(0), ["n"]).count() == 0
+
+
+def test_ranges_hold_their_share_of_equal_keys(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id")).alias("k"), "id").repartition(5)
+    ranges, sizes = ordering.ranges_in_order(df, ["k", "id"])
+    assert sizes.count() > 2 and sizes.agg(F.max("_n")).first()[0] < 2 * 20_000 / sizes.count()
+    got = rows(ordering.global_rank(df, ["k", "id"], "at"), "at")
+    assert [r[:2] for r in got] == sorted((7 if i % 3 else i, i) for i in range(20_000)) and [r[2] for r in got] == list(range(20_000))
+
+
+def test_late_page_reads_one_range(spark):
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("k"), F.lit("x" * 50).alias("v"))
+    late = ordering.page(df, ["k"], 25, 3_900)
+    want = sorted(i * 7919 % 100_003 for i in range(100_000))[3_899 * 25:3_900 * 25]
+    assert [r.k for r in late.collect()] == want
+    assert "PushedFilters: [" in (plan := late._jdf.queryExecution().executedPlan().toString()) and "GreaterThanOrEqual(_at," in plan
+    assert ordering.page(df, ["k"], 25, 5_000).count() == 0
 
 
 def test_first_per_key(spark):
@@ -291,6 +306,12 @@ def test_rings_in_pieces(spark):
     assert [p.lng for r in got if r.grp == 1 for p in r.ring] == [float(i) for i in range(25)]
 
 
+def test_whole_rings(spark):
+    pts = spark.range(25_000).select(F.lit(1).alias("grp"), F.col("id").alias("ord"), F.col("id").cast("double").alias("lng"), F.lit(0.0).alias("lat")).repartition(7)
+    got = geo.polygon_rings(pts.unionByName(pts.where("ord < 3").withColumn("grp", F.lit(2))), whole=True).orderBy("grp").collect()
+    assert [len(r.ring) for r in got] == [25_000, 3] and [p.lng for p in got[0].ring] == [float(i) for i in range(25_000)]
+
+
 def test_choropleth_keeps_infinite_drops_missing(spark):
     points = spark.createDataFrame([("RS", 1, 1, 0.0, 0.0), ("FR", 2, 1, 1.0, 1.0), ("US", 3, 1, 2.0, 2.0), ("NA", 4, 1, 2.0, 2.0)],
                                    "region string, grp int, ord int, lng double, lat double")
@@ -378,10 +399,19 @@ def test_open_ended_months(spark):
     assert months(start="1995-01", end="2001-12") == ["1998-06"]
 
 
+def test_closure(spark):
+    chain = ["I", "01", "0101", "01011", "010110", "0101100", "01011001"]
+    dim = spark.createDataFrame([*zip(chain[1:], chain), ("99", "98"), ("98", "99"), ("77", ""), ("88", None)], "commoditycode string, parent string")
+    reach = hierarchy.closure(dim)
+    want = {(chain[a], chain[b], b - a) for a in range(7) for b in range(a + 1, 7)} | {("98", "99", 1), ("99", "98", 1), ("98", "98", 2), ("99", "99", 2)}
+    assert set(rows(reach)) == want and reach.count() == len(want)
+    assert {r[0] for r in hierarchy.descendants(dim, ["0101"], reach).collect()} == set(chain[3:])
+    assert hierarchy.closure(dim.limit(0)).count() == 0
+
+
 def test_descendants_of_a_deep_chain_and_a_circle(spark):
     chain = ["I", "01", "0101", "01011", "010110", "0101100", "01011001"]
     dim = spark.createDataFrame([*zip(chain[1:], chain), ("99", "98"), ("98", "99")], "commoditycode string, parent string")
-    from tradewind.operators import hierarchy
     assert {r.commoditycode for r in hierarchy.descendants(dim, ["I"]).collect()} == set(chain[1:])
     assert {r.commoditycode for r in hierarchy.descendants(dim, ["99"]).collect()} == {"98", "99"}
     assert hierarchy.descendants(dim, []).count() == 0
@@ -389,5 +419,5 @@ def test_descendants_of_a_deep_chain_and_a_circle(spark):
 
 def test_order_keeps_null_keys(spark):
     df = spark.createDataFrame([("1998-01",), ("1998-02",), (None,)], "n string")
-    got = {r.n: r.id for r in ordering.dense_index(df, ["n"], [F.substring("n", 1, 4)]).collect()}
+    got = {r.n: r.id for r in ordering.global_rank(df, ["n"]).collect()}
     assert got == {None: 0, "1998-01": 1, "1998-02": 2}

@@ -115,7 +115,8 @@ def test_monitoring_scans_the_facts_once(spark, name):
     assert _fact_scans(load_all()[0][name](spark, "/root/testdata/sf0.001")) == 1
 
 
-@pytest.mark.parametrize("name", ["normalise_file_names", "missing_periods", "country_flags", "non_eu_only", "observed_countries", "tick_periods"])
+@pytest.mark.parametrize("name", ["normalise_file_names", "missing_periods", "country_flags", "non_eu_only", "observed_countries", "tick_periods",
+                                  "month_calendar", "end_months", "ascending_range", "scaled_totals", "value_labels", "node_labels", "parse_fact_records"])
 def test_monitoring_reads_stored_counts(spark, name):
     assert _fact_scans(load_all()[0][name](spark, "/root/testdata/sf0.001")) == 0
 

@@ -1,11 +1,14 @@
 """Stored tables, guard, upsert, incremental loads."""
 
+import io
+import zipfile
+
 from rows import rows
 from pyspark.sql import functions as F
 
 from tradewind.operators import cube, extract, monitor
 from tradewind.schema import COMCODE_SCHEMA, CONTROL_COLUMNS, IMPORTS
-from tradewind.sources import sinks, stage, tables
+from tradewind.sources import sinks, stage, store, tables
 from tradewind.spec import QuerySpec
 from tradewind.streaming import ingest
 
@@ -35,7 +38,7 @@ def test_months_are_pruned(spark, tmp_path):
     spec = QuerySpec(start="1998-02", end="1998-03", codes2=("01",))
     out = cube.flow_cube(stored, IMPORTS, spec, country, port)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan and "StringStartsWith(comcode,01)" in plan
+    assert "PartitionFilters: [isnotnull(month" in plan and "GreaterThanOrEqual(comcode,01), LessThan(comcode,02)" in plan
     assert "quantity_2" not in plan
     assert rows(out.select("month", "price"), "month") == [("1998-02", 30), ("1998-03", 10)]
 
@@ -155,3 +158,96 @@ def test_incremental_control(spark, tmp_path):
     table = ingest.read_control_table(spark, dst)
     assert rows(table.select("mk_comcode", "mk_sitc_no", "mk_commodity_alpha_1"), "mk_comcode") == [
         ("01012100", "s1", "new"), ("01012900", "s1", "kept"), ("01020000", "s2", "added")]
+
+
+def month_of(rows_by_month, issue):
+    return rows_by_month.withColumn("issue", F.lit(issue)).withColumn("file", F.lit(f"v{issue}")).transform(lambda d: sinks.with_month(d, IMPORTS))
+
+
+def totals(spark, dst):
+    return rows(store.read_store(spark, dst, IMPORTS).groupBy("month").agg(F.count("*"), F.sum("value")), "month")
+
+
+def test_later_issue_takes_the_month(spark, tmp_path):
+    old, new = month_of(facts(spark, "05/2014", 60), 1), month_of(facts(spark, "05/2014", 70, value=2), 2)
+    other = month_of(facts(spark, "06/2014", 5), 1)
+    for name, order in (("up", [(old, "a"), (new, "b")]), ("down", [(new, "b"), (old, "a")]), ("again", [(old, "a"), (new, "b"), (new, "c"), (old, "a")])):
+        dst = str(tmp_path / name)
+        for df, load_id in order:
+            store.write_load(df.unionByName(other) if load_id == "a" else df, dst, IMPORTS, load_id)
+        assert totals(spark, dst) == [("2014-05", 70, 140), ("2014-06", 5, 5)]
+    both = str(tmp_path / "both")
+    store.write_load(old.unionByName(new), both, IMPORTS, "one")
+    assert totals(spark, both) == [("2014-05", 70, 140)]
+
+
+def test_compaction(spark, tmp_path):
+    dst = str(tmp_path / "t")
+    for i in range(3):
+        store.write_load(month_of(facts(spark, "01/2015", 20, value=i).unionByName(facts(spark, None, 2)), 1), dst, IMPORTS, f"l{i}")
+    store.write_load(month_of(facts(spark, "02/2015", 5), 1), dst, IMPORTS, "l3")
+    before = totals(spark, dst)
+    assert before == [(None, 6, 6), ("2015-01", 60, 60), ("2015-02", 5, 5)]
+    sinks.append_period(facts(spark, "01/2015", 99), f"{dst}/facts/load_id=compact-dead", IMPORTS)     # died before its manifest line
+    assert totals(spark, dst) == before
+    load_id = store.compact(spark, dst, IMPORTS)
+    assert totals(spark, dst) == before and store.compact(spark, dst, IMPORTS) is None
+    live = store.live_months(spark, dst)
+    assert rows(live.select("month", "load_id"), "month") == [(None, load_id), ("2015-01", load_id), ("2015-02", "l3")]
+    store.write_load(month_of(facts(spark, "01/2015", 5), 1), dst, IMPORTS, "late")                    # 60 rows by now: closed
+    store.write_load(month_of(facts(spark, "01/2015", 7, value=3), 2), dst, IMPORTS, "second")          # a later issue still goes in
+    assert totals(spark, dst) == [(None, 6, 6), ("2015-01", 7, 21), ("2015-02", 5, 5)]
+    assert store.dead_folders(spark, dst, IMPORTS).where("load_id = 'l1'").count() == 2
+
+
+def test_empty_store(spark, tmp_path):
+    dst = str(tmp_path / "none")
+    assert store.read_store(spark, dst, IMPORTS).count() == 0 and store.compact(spark, dst, IMPORTS) is None
+    store.write_load(month_of(facts(spark, "01/2015", 0), 1), dst, IMPORTS, "x")
+    assert store.read_store(spark, dst, IMPORTS).count() == 0
+
+
+def test_undecodable_file_is_set_aside(spark, tmp_path):
+    src, dst = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    drop_file(src, "SMKI199801", [import_line("01/1998", i) for i in range(3)])
+    (src / "SMKI199802").write_bytes(("\n".join(["HEAD", import_line("02/1998", 1), "É", "TAIL"])).encode("latin-1"))
+    ingest.ingest_available(spark, str(src), dst, str(tmp_path / "ckpt"), IMPORTS)
+    assert totals(spark, dst) == [("1998-01", 3, 3)]
+    report = spark.read.parquet(f"{dst}/reports")
+    assert sorted((r.file[-2:], r.status, r.lines, r.stored) for r in report.collect()) == [("01", "loaded", 5, 3), ("02", "unreadable", 4, 0)]
+
+
+def test_load_from_archives(spark, tmp_path):
+    src, dst, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    text = lambda month, n, value=1: "\n".join(["HEAD", *[import_line(month, value)] * n, "TAIL"])
+    control = "\n".join(["HEAD", "|".join(["0101210000", *["x"] * 25, "HORSES"]), "TAIL"])
+
+    def pack(name, *members):
+        with zipfile.ZipFile(src / name, "w", zipfile.ZIP_DEFLATED) as z:
+            for n, content in members:
+                z.writestr(n, content)
+
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("smki199803.txt", text("03/1998", 4))
+    pack("a.zip", ("SMKI199801.TXT", text("01/1998", 60)), ("SMKI199802", text("02/1998", 3)), ("SMKI199803.zip", inner.getvalue()), ("SMKA129801", control), ("readme", "?"))
+    (src / "bad.zip").write_bytes(b"PK nothing")
+    load = lambda: ingest.ingest_archives(spark, str(src), dst, ckpt)
+    load()
+    first = [("1998-01", 60, 60), ("1998-02", 3, 3), ("1998-03", 4, 4)]
+    assert totals(spark, f"{dst}/imports") == first
+    assert ingest.read_control_table(spark, f"{dst}/control").first().mk_commodity_alpha_1 == "HORSES"
+    load()                                                  # nothing new
+    assert totals(spark, f"{dst}/imports") == first
+    pack("b.zip", ("SMKI199801V2.TXT", text("01/1998", 8, 5)), ("SMKI199803", text("03/1998", 2)))
+    load()
+    assert totals(spark, f"{dst}/imports") == [("1998-01", 8, 40), ("1998-02", 3, 3), ("1998-03", 6, 6)]
+    aside = spark.read.parquet(f"{dst}/archives").where("error IS NOT NULL")
+    assert sorted((r.archive.rsplit("/", 1)[-1], r.file, r.error.split(":")[0]) for r in aside.collect()) == [
+        ("a.zip", "README", "no known family"), ("bad.zip", None, "BadZipFile")]
+    report = spark.read.parquet(f"{dst}/imports/reports")
+    assert sorted((r.file.rsplit("!", 1)[-1], r.status, r.stored) for r in report.collect()) == [
+        ("SMKI199801", "loaded", 8), ("SMKI199801", "loaded", 60), ("SMKI199802", "loaded", 3), ("SMKI199803", "loaded", 2), ("SMKI199803", "loaded", 4)]
+    assert spark.read.parquet(f"{dst}/exports/reports").count() == 0

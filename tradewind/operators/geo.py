@@ -26,15 +26,19 @@ def choropleth(points: DataFrame, totals: DataFrame, country: DataFrame,
                  .select("region", "grp", "ord", "lng", "lat", "value"))
 
 
-def polygon_rings(points: DataFrame, piece: int = 10_000) -> DataFrame:
+def polygon_rings(points: DataFrame, piece: int = 10_000, whole: bool = False) -> DataFrame:
     """Points of each outline in drawing order, as an array per ``piece`` consecutive order numbers.
 
-    An ordinary outline is one piece; a very long one comes as several rows, to be read by ``piece``.
+    With ``whole`` the pieces, each sorted by a task of its own, are put together by their number: one row per outline.
     """
     cut = points.withColumn("piece", F.floor(F.col("ord") / piece))
     gathered = F.array_sort(F.collect_list(F.struct("ord", "lng", "lat")))
     ring = F.transform(gathered, lambda p: F.struct(p["lng"].alias("lng"), p["lat"].alias("lat")))
-    return cut.groupBy("grp", "piece").agg(ring.alias("ring"))
+    pieces = cut.groupBy("grp", "piece").agg(ring.alias("ring"))
+    if not whole:
+        return pieces
+    parts = F.array_sort(F.collect_list(F.struct("piece", "ring")))
+    return pieces.groupBy("grp").agg(F.flatten(F.transform(parts, lambda p: p["ring"])).alias("ring"))
 
 
 def ring_attributes(mapped: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.operators.cube import pair_rollups
 from tradewind.operators.dims import node_label
 from tradewind.operators.filters import select_unit
-from tradewind.operators.ordering import dense_index
+from tradewind.operators.ordering import global_rank
 from tradewind.sources.stage import stage
 
 # Links in drawing order; the first name is the source.
@@ -52,9 +52,7 @@ def graph_nodes(links: DataFrame) -> DataFrame:
     first = (links.select(F.explode(ends).alias("e"))
                   .groupBy(F.col("e.name").alias("name")).agg(F.min("e.at").alias("at"))
                   .select("name", "at.kind", "at.step", "at.k1", "at.k2"))
-    numbered = dense_index(first, ["kind", "step", "k1", "k2"],
-                           [F.col("kind"), F.col("step"), F.substring("k1", 1, 4)])
-    return numbered.select("id", "name")
+    return global_rank(first, ["kind", "step", "k1", "k2"]).select("id", "name")
 
 
 def graph_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -67,8 +65,8 @@ def graph_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
 def flow_graph(cube: DataFrame, steps, lookup: DataFrame, unit: str = "price") -> tuple[DataFrame, DataFrame]:
     """Nodes (``id, name, label``) and links (``source_id, target_id, value``).
 
-    Nodes and links both start from the stacked links, which are written once.
+    Nodes and links both start from the stacked links, which are written once, like the nodes.
     """
     links = stage(stack_links(cube, steps, unit), "links")
-    nodes = graph_nodes(links)
+    nodes = stage(graph_nodes(links), "nodes")
     return node_label(nodes, lookup), graph_links(links, nodes)

@@ -11,6 +11,7 @@ from tradewind.functions.codes import LEAF_LENGTH, code_label, is_section
 from tradewind.operators.ordering import first_per_key, next_in_order
 from tradewind.sources.stage import stage
 
+
 def derive_parent(codes: DataFrame, mode: str = "nearest") -> DataFrame:
     """Parent of every code in a table of distinct codes (column ``commoditycode``).
 
@@ -34,32 +35,34 @@ def derive_parent(codes: DataFrame, mode: str = "nearest") -> DataFrame:
                  .select("commoditycode", F.expr("substring(commoditycode, 1, _n)").alias("parent")))
 
 
-def descendants(dim: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """All codes below the given ones, roots left out.
+def closure(dim: DataFrame) -> DataFrame:
+    """``ancestor, commoditycode, distance`` of every code and each code above it (staged), to be stored with the code table.
 
-    Codes of full length have no children. The walk goes on until a step finds nothing new, however deep
-    published parents lead and even if they form a circle. Each step is staged, so none is computed twice.
+    Paths double in every round, so a hierarchy of depth d takes log2(d) joins, however published parents lead; codes in a
+    circle are below one another and themselves. Codes of full length have no children.
     """
-    roots = [c for c in codes if len(c) < LEAF_LENGTH]
-    edges = dim.select("commoditycode", "parent")
-    found = edges.where(F.col("parent").isin(roots)).select("commoditycode") if roots else \
-        edges.where(F.lit(False)).select("commoditycode")
-    found = frontier = stage(found.distinct(), "descendants")
-    while not frontier.isEmpty():
-        above = (frontier.where(F.length("commoditycode") < LEAF_LENGTH)
-                         .select(F.col("commoditycode").alias("_above")))
-        below = (edges.join(above, F.col("parent") == F.col("_above"), "left_semi")
-                      .select("commoditycode").distinct())
-        frontier = stage(below.join(found, "commoditycode", "left_anti"), "descendants")
-        found = found.union(frontier)
-    return found
-
-
-def cascade(dim: DataFrame, level: int, codes: Sequence[str] | None) -> DataFrame:
+    edges = dim.where((F.col("parent") != "") & (F.length("parent") < LEAF_LENGTH))
+    reach, covered = stage(edges.select(F.col("parent").alias("ancestor"), "commoditycode", F.lit(1).alias("distance")).distinct(), "closure"), 1
+    while (reach.agg(F.max("distance")).first()[0] or 0) >= covered:
+        below = reach.select(F.col("ancestor").alias("_from"), F.col("commoditycode").alias("_to"), F.col("distance").alias("_more"))
+        further = reach.join(below, F.col("commoditycode") == F.col("_from")).select(
+            "ancestor", F.col("_to").alias("commoditycode"), (F.col("distance") + F.col("_more")).alias("distance"))
+        reach = stage(reach.unionByName(further).groupBy("ancestor", "commoditycode").agg(F.min("distance").alias("distance")), "closure")
+        covered *= 2
+    return reach
+
+
+def descendants(dim: DataFrame, codes: Sequence[str], reach: DataFrame | None = None) -> DataFrame:
+    """All codes below the given ones, roots left out. A filter on the stored ``closure``, which is built if it isn't given."""
+    reach = closure(dim) if reach is None else reach
+    return reach.where(F.col("ancestor").isin(list(codes))).select("commoditycode").distinct()
+
+
+def cascade(dim: DataFrame, level: int, codes: Sequence[str] | None, reach: DataFrame | None = None) -> DataFrame:
     """Choices for the selector of ``level`` digits after picking ``codes`` higher up (None or "All": all)."""
     at_level = dim.where(F.length("commoditycode") == level)
     if codes is not None and "All" not in codes:
-        at_level = at_level.join(descendants(dim, codes), "commoditycode", "left_semi")
+        at_level = at_level.join(descendants(dim, codes, reach), "commoditycode", "left_semi")
     label = code_label(F.col("commoditycode"), F.col("description"))
     return at_level.select("commoditycode", label.alias("label")).orderBy("commoditycode")
 
@@ -72,7 +75,7 @@ def split_sections(nomen: DataFrame) -> tuple[DataFrame, DataFrame]:
 def section_starts(nomen: DataFrame) -> DataFrame:
     """Each section row with the code on the line below it; ``line_no`` gives the line order."""
     marked = next_in_order(nomen.select("line_no", "commoditycode", "description"),
-                           "commoditycode", "line_no", name="before_code")
+                           "commoditycode", ["line_no"], "before_code")
     return (marked.where(is_section(F.col("commoditycode")))
                   .select("commoditycode", "description", "before_code"))
 

@@ -1,7 +1,7 @@
 """Operators that depend on row order, written so that no task sees the whole table.
 
-Running positions are built in two steps: rows are numbered inside buckets that follow the order, and a
-summary with one row per bucket supplies each bucket's starting point.
+Rows are sorted by ranges of their order, whatever the keys, and written with their place in the range; the ranges'
+sizes, one row each, supply every range's starting point. Ranks, following rows and pages come from these two.
 """
 
 from __future__ import annotations
@@ -25,57 +25,6 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
     return kept.select(*[F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
-def next_in_order(df: DataFrame, value: str, order: str, bucket_width: int = 100_000,
-                  name: str = "next_value") -> DataFrame:
-    """Value of the row that follows in ``order`` (a distinct whole number per row).
-
-    A bucket spans ``bucket_width`` consecutive order numbers, so it never holds more rows than that.
-    """
-    cut = df.withColumn("_bucket", F.expr(f"`{order}` div {bucket_width}"))
-    inside = Window.partitionBy("_bucket").orderBy(order)
-    heads = (cut.groupBy("_bucket").agg(F.min_by(value, order).alias("_head"))
-                .withColumn("_next_head", F.lead("_head").over(Window.orderBy("_bucket")))
-                .drop("_head"))
-    return (cut.withColumn("_next_order", F.lead(order).over(inside))
-               .withColumn("_next", F.lead(value).over(inside))
-               .join(heads.withColumnRenamed("_bucket", "_of"), F.col("_bucket").eqNullSafe(F.col("_of")))
-               .withColumn(name, F.when(F.col("_next_order").isNotNull(), F.col("_next"))
-                                  .otherwise(F.col("_next_head")))
-               .select(*df.columns, name))
-
-
-def dense_index(df: DataFrame, order: Sequence[str], bucket: Sequence[Column], name: str = "id") -> DataFrame:
-    """Consecutive numbers from 0 in ``order`` (unique per row).
-
-    ``bucket`` must follow the order: its values never decrease from one row to the next.
-    """
-    tags = [f"_b{i}" for i in range(len(bucket))]
-    cut = df.select("*", *[b.alias(t) for b, t in zip(bucket, tags)])
-    before = Window.orderBy(*tags).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (cut.groupBy(*tags).agg(F.count(F.lit(1)).alias("_n"))
-                 .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-                 .drop("_n"))
-    inside = Window.partitionBy(*tags).orderBy(*order)
-    starts = starts.select(*[F.col(t).alias(f"{t}_of") for t in tags], "_start")
-    met = reduce(lambda a, b: a & b, [F.col(t).eqNullSafe(F.col(f"{t}_of")) for t in tags])
-    return (cut.withColumn("_row", F.row_number().over(inside))
-               .join(starts, met)
-               .withColumn(name, F.col("_start") + F.col("_row") - 1)
-               .select(*df.columns, name))
-
-
-def every_nth(df: DataFrame, col: str, n: int = 3) -> DataFrame:
-    """Every n-th distinct value in ascending order, starting with the first (axis ticks)."""
-    values = df.select(col).distinct()
-    ranked = dense_index(values, [col], [F.substring(col, 1, 4)], "_pos")
-    return ranked.where(F.col("_pos") % n == 0).select(col)
-
-
-def page(df: DataFrame, order: Sequence[str], size: int = 25, number: int = 1) -> DataFrame:
-    """One page of an ordered table, pages counted from 1."""
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)
-
-
 def ranges_in_order(df: DataFrame, order: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
     """The rows sorted by ranges of ``order`` (staged, with ``_at``), and each range's ``_range``, ``_start`` and ``_n``.
 
@@ -93,3 +42,35 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "id")
     rows, sizes = ranges_in_order(df, order)
     at = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return rows.join(sizes, F.shiftright("_at", 33) == F.col("_range")).withColumn(name, at).select(*df.columns, name)
+
+
+def next_in_order(df: DataFrame, value: str, order: Sequence[str | Column], name: str = "next_value") -> DataFrame:
+    """Value of the row that follows in ``order`` (unique per row)."""
+    rows, sizes = ranges_in_order(df, order)
+    cut = rows.withColumn("_part", F.shiftright("_at", 33))
+    inside = Window.partitionBy("_part").orderBy("_at")
+    heads = (cut.groupBy("_part").agg(F.min_by(value, "_at").alias("_head"))
+                .select(F.col("_part").alias("_of"), F.lead("_head").over(Window.orderBy("_part")).alias("_next_head")))
+    return (cut.withColumn("_next_at", F.lead("_at").over(inside)).withColumn("_next", F.lead(value).over(inside))
+               .join(heads, F.col("_part") == F.col("_of"))
+               .withColumn(name, F.when(F.col("_next_at").isNotNull(), F.col("_next")).otherwise(F.col("_next_head")))
+               .select(*df.columns, name))
+
+
+def every_nth(df: DataFrame, col: str, n: int = 3) -> DataFrame:
+    """Every n-th distinct value in ascending order, starting with the first (axis ticks)."""
+    ranked = global_rank(df.select(col).distinct(), [col], "_pos")
+    return ranked.where(F.col("_pos") % n == 0).select(col)
+
+
+def page(df: DataFrame, order: Sequence[str | Column], size: int = 25, number: int = 1) -> DataFrame:
+    """One page of a table ordered by ``order`` (unique per row), pages counted from 1, in order.
+
+    The sizes of the sorted ranges tell which range holds the page; only its rows are read, however late the page.
+    """
+    rows, sizes = ranges_in_order(df, order)
+    first = (number - 1) * size
+    met = sizes.where((F.col("_start") < first + size) & (F.col("_start") + F.col("_n") > first)).collect()    # no more than ``size``
+    spans = [((r["_range"] << 33) + max(0, first - r["_start"]), (r["_range"] << 33) + min(r["_n"], first + size - r["_start"])) for r in met]
+    inside = reduce(Column.__or__, [(F.col("_at") >= a) & (F.col("_at") < b) for a, b in spans], F.lit(False))
+    return rows.where(inside).orderBy("_at").select(*df.columns)

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import monitor
 from tradewind.plans.registry import query
-from tradewind.schema import FACTS, FILE_FAMILIES, IMPORTS
-from tradewind.sources import files, sinks
-from tradewind.sources.stage import stage
+from tradewind.schema import FILE_FAMILIES, IMPORTS
+from tradewind.sources import archives, files, sinks, store
+from tradewind.sources.stage import new_folder, stage
 
 _FILE = "'SMKI19' || account_date[6:7] || account_date[1:2]"
 
 
 def _parsed(v):
     """The month files as they would lie in a folder, parsed."""
-    return files.parse_fact_lines(files.drop_file_ends(stage(v.fact_lines(), "lines")), IMPORTS)
+    return files.fact_records(v.fact_lines(), IMPORTS)
 
 
 @query("parse_fact_records", f"""
@@ -27,6 +27,21 @@ def parse_fact_records(v):
     return _parsed(v).select("file", "comcode", "coo_alpha", "port_alpha", "account_date", "value", "quantity_1")
 
 
+@query("archive_records", f"""
+SELECT {_FILE} AS file, 1 + cast(account_date[1:2] IN ('05', '06') AS int) AS issue, comcode, account_date,
+  cast(value AS varchar) || CASE WHEN l_linenumber = 3 THEN 'x' ELSE '' END AS value FROM import_rows""")
+def archive_records(v):
+    """The month files in yearly archives, every other year as archives in an archive, some as second issues."""
+    lines, year, mm = v.fact_lines(), F.substring("file", 7, 2), F.substring("file", 9, 2)
+    named = lines.select(F.concat(F.lit("SMKI19_"), year, F.lit("archive.zip")).alias("archive"), year.cast("int").alias("year"),
+                         F.concat(F.lower("file"), F.when(mm.isin("05", "06"), "v2").otherwise(""), F.lit(".txt")).alias("file"), "pos", "line")
+    named, folder = stage(named, "lines"), new_folder(v.spark, "zips")
+    paths = archives.write_archives(named.where("year % 2 = 0"), folder).unionByName(
+        archives.write_archives(named.where("year % 2 = 1"), folder, nested=True))
+    read, _ = archives.read_members(paths)
+    return files.fact_records(read, IMPORTS, keep=["issue"]).select("file", "issue", "comcode", "account_date", "value")
+
+
 @query("cast_measures", """
 SELECT comcode, account_date, CASE WHEN l_linenumber <> 3 THEN value END AS value,
   CASE WHEN l_linenumber NOT IN (2, 3) THEN quantity_1 END AS quantity_1,
@@ -84,6 +99,25 @@ def upsert_descriptions(v):
     return sinks.upsert_descriptions(v.control_batches(), "mk_comcode", ["mk_commodity_alpha_1"], ["batch"])
 
 
+@query("reissued_months", """
+SELECT account_date[4:7] || '-' || account_date[1:2] AS month, count(*) AS n,
+  cast(sum(value + CASE WHEN account_date[1:2] = '12' THEN 1 ELSE 0 END) AS bigint) AS total, 1 AS loads
+FROM import_rows WHERE l_linenumber <> 5 OR account_date[1:2] = '12' GROUP BY 1""")
+def reissued_months(v):
+    """Months whose second issue comes before the first, or after it, or never; then compacted."""
+    mm = F.substring("account_date", 1, 2)
+    rows = stage(sinks.with_month(v.import_rows().withColumn("file", F.lit("f")), IMPORTS), "imports")
+    first = rows.withColumn("issue", F.lit(1)).withColumn("value", F.col("value") + 1).drop("l_orderkey", "l_linenumber")
+    second = rows.where((F.col("l_linenumber") != 5) & (mm != "12")).withColumn("issue", F.lit(2)).drop("l_orderkey", "l_linenumber")
+    dst = new_folder(v.spark, "store")
+    store.write_load(first.where(mm > "06").unionByName(second.where((mm <= "06") & (F.col("value") % 2 == 0))), dst, IMPORTS, "a")
+    store.write_load(first.where(mm <= "06").unionByName(second.where(mm > "06")), dst, IMPORTS, "b")
+    store.write_load(second.where((mm <= "06") & ((F.col("value") % 2 != 0) | F.col("value").isNull())), dst, IMPORTS, "c", threshold=1 << 60)
+    store.compact(v.spark, dst, IMPORTS)
+    return store.read_store(v.spark, dst, IMPORTS).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.count_distinct("load_id").cast("int").alias("loads"))
+
+
 # --- files: names, presence, report
 
 
@@ -94,8 +128,7 @@ def _fact_months(v) -> DataFrame:
 
 
 def _family():
-    families = {t: FILE_FAMILIES[t] for t in FACTS}
-    return F.element_at(F.create_map(*[F.lit(x) for kv in families.items() for x in kv]), F.col("table_name"))
+    return F.element_at(F.create_map(*[F.lit(x) for kv in FILE_FAMILIES.items() for x in kv]), F.col("table_name"))
 
 
 _FACT_MONTHS = """fact_months AS (
@@ -105,12 +138,14 @@ _FACT_MONTHS = """fact_months AS (
   UNION ALL SELECT 'SMKX46', smk_period_reference[2:5] || '-' || smk_period_reference[6:7] AS m, count(*), sum(smk_stat_value) FROM dispatches GROUP BY m),
 expected AS (SELECT family, strftime(d, '%Y-%m') AS month, family || strftime(d, '%y%m') AS file FROM (
   SELECT unnest(generate_series(cast(min(month) || '-01' AS timestamp), cast(max(month) || '-01' AS timestamp), INTERVAL 1 MONTH)) AS d FROM fact_months) s,
-  (VALUES ('SMKI19'), ('SMKE19'), ('SMKM46'), ('SMKX46')) f(family))"""
+  (VALUES ('SMKI19'), ('SMKE19'), ('SMKM46'), ('SMKX46'), ('SMKA12')) f(family)),
+present AS (SELECT family || month[3:4] || month[6:7] AS file FROM fact_months WHERE total % 3 <> 0
+  UNION ALL SELECT 'SMKA12' || month[3:4] || month[6:7] FROM fact_months WHERE family = 'SMKI19' AND n % 4 <> 0)"""
 
 
 def _expected(months):
     span = months.agg(F.min("month").alias("first"), F.max("month").alias("last"))
-    return monitor.expected_files(span, {t: FILE_FAMILIES[t] for t in FACTS})
+    return monitor.expected_files(span, FILE_FAMILIES)
 
 
 def _file_of():
@@ -130,10 +165,11 @@ def normalise_file_names(v):
 
 
 @query("missing_periods", f"""WITH {_FACT_MONTHS}
-SELECT file FROM expected WHERE file NOT IN (SELECT family || month[3:4] || month[6:7] FROM fact_months WHERE total % 3 <> 0)""")
+SELECT file FROM expected WHERE file NOT IN (SELECT file FROM present)""")
 def missing_periods(v):
     months = _fact_months(v)
-    present = months.where(F.col("total") % 3 != 0).select(_file_of().alias("file"))
+    control = months.where((F.col("table_name") == "imports") & (F.col("n") % 4 != 0)).withColumn("table_name", F.lit("control"))
+    present = months.where(F.col("total") % 3 != 0).unionByName(control).select(_file_of().alias("file"))
     return monitor.missing_files(_expected(months), present).select("file")
 
 

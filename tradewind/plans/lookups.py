@@ -55,7 +55,7 @@ def section_rows(v):
 
 @query("next_code", "SELECT commoditycode, lead(commoditycode) OVER (ORDER BY line_no) AS next_code FROM nomen")
 def next_code(v):
-    marked = ordering.next_in_order(nomen(v), "commoditycode", "line_no", bucket_width=10_000_000, name="next_code")
+    marked = ordering.next_in_order(nomen(v), "commoditycode", ["line_no"], "next_code")
     return marked.select("commoditycode", "next_code")
 
 
@@ -78,9 +78,9 @@ def nearest_parent(v):
 
 
 @query("two_step_parent", """
-SELECT commoditycode, CASE WHEN commoditycode[1:length(commoditycode)-2] IN (SELECT commoditycode FROM codes)
-  THEN commoditycode[1:length(commoditycode)-2]
-  ELSE CASE WHEN length(commoditycode) > 4 THEN commoditycode[1:length(commoditycode)-4] ELSE '' END END AS parent FROM codes""")
+SELECT c.commoditycode, CASE WHEN p.commoditycode IS NOT NULL THEN p.commoditycode
+  WHEN length(c.commoditycode) > 4 THEN c.commoditycode[1:length(c.commoditycode)-4] ELSE '' END AS parent
+FROM codes c LEFT JOIN codes p ON p.commoditycode = c.commoditycode[1:length(c.commoditycode)-2]""")
 def two_step_parent(v):
     return hierarchy.derive_parent(v.codes().select("commoditycode"), "two_step")
 
@@ -127,13 +127,21 @@ def descendants(v):
     return hierarchy.descendants(parented(v), _ROOTS)
 
 
+@query("code_closure", f"""WITH {_TREE}, reach AS (
+  SELECT parent AS ancestor, commoditycode, 1 AS distance FROM tree WHERE parent <> ''
+  UNION ALL SELECT r.ancestor, t.commoditycode, r.distance + 1 FROM reach r JOIN tree t ON t.parent = r.commoditycode)
+SELECT ancestor, commoditycode, distance FROM reach""")
+def code_closure(v):
+    return hierarchy.closure(parented(v))
+
+
 @query("cascade_choices", f"""WITH {_BELOW}
 SELECT 6 AS level, commoditycode, commoditycode || ' - ' || coalesce(description, 'NA') AS label FROM codes
 WHERE length(commoditycode) = 6 AND commoditycode IN (SELECT commoditycode FROM below)
 UNION ALL SELECT 4, commoditycode, commoditycode || ' - ' || coalesce(description, 'NA') FROM codes WHERE length(commoditycode) = 4""")
 def cascade_choices(v):
     dim = parented(v)
-    return (hierarchy.cascade(dim, 6, _ROOTS).select(F.lit(6).alias("level"), "*")
+    return (hierarchy.cascade(dim, 6, _ROOTS, hierarchy.closure(dim)).select(F.lit(6).alias("level"), "*")
                      .unionByName(hierarchy.cascade(dim, 4, ["All"]).select(F.lit(4).alias("level"), "*")))
 
 
@@ -168,6 +176,11 @@ def code_labels(v):
                             code_from_label(F.lit("All")).alias("everything"))
 
 
+@query("late_page", "SELECT commoditycode, description FROM codes ORDER BY commoditycode DESC LIMIT 10 OFFSET 1000")
+def late_page(v):
+    return ordering.page(v.codes(), [F.col("commoditycode").desc()], 10, 101)
+
+
 @query("lookup_page", "SELECT commoditycode, description FROM codes ORDER BY commoditycode LIMIT 25 OFFSET 50")
 def lookup_page(v):
     return ordering.page(v.codes(), ["commoditycode"], 25, 3)

@@ -75,7 +75,7 @@ def ppk_links(v):
 @query("node_labels", "SELECT code, coalesce(l.value[1:30], code) AS label FROM (SELECT coalesce(coo_alpha, '??') AS code FROM imports "
                       "UNION SELECT port_alpha FROM imports UNION SELECT comcode FROM imports) c LEFT JOIN lookup l ON code = key_name")
 def node_labels(v):
-    rows = v.imports()
+    rows = stage(v.imports().select("coo_alpha", "port_alpha", "comcode").distinct(), "codes")
     codes = dims.union_keys(rows.select(F.coalesce("coo_alpha", F.lit("??"))), rows.select("port_alpha"),
                             rows.select("comcode")).toDF("code")
     return dims.node_label(codes, _lookup(v), "code")
@@ -142,7 +142,7 @@ scaled AS (SELECT country, CASE WHEN m > 1e12 THEN value::double / 1e9 WHEN m >
 
 @query("scaled_totals", f"WITH {_SCALED} SELECT country, round(value, 6) AS value, suffix FROM scaled")
 def scaled_totals(v):
-    return geo.scale_values(_totals(v)).withColumn("value", F.round("value", 6))
+    return geo.scale_values(stage(_totals(v), "totals")).withColumn("value", F.round("value", 6))
 
 
 @query("value_labels", f"""WITH {_SCALED}
@@ -153,7 +153,7 @@ SELECT country, 'Price' AS title, '£' || cast(cast(value AS decimal(38,2)) AS v
   '<strong>Country of Origin: </strong>' || countryname || '<br><strong>Value: </strong>' || cast(cast(value AS decimal(38,2)) AS varchar) || suffix AS popup
 FROM scaled JOIN country ON country = countrycode""")
 def value_labels(v):
-    scaled = geo.scale_values(_totals(v)).join(v.country(), F.col("country") == F.col("countrycode"))
+    scaled = geo.scale_values(stage(_totals(v), "totals")).join(v.country(), F.col("country") == F.col("countrycode"))
     value, suffix = F.col("value"), F.col("suffix")
     return scaled.select(
         "country", F.lit(text.UNIT_TITLES["price"]).alias("title"),

@@ -36,7 +36,7 @@ port AS (SELECT DISTINCT 'P' || lpad(cast(c_custkey % 40 AS varchar),2,'0') AS p
 leaf AS (SELECT lpad(cast(p_partkey % 24 + 1 AS varchar),2,'0') || lpad(cast(p_size AS varchar),2,'0') ||
     lpad(cast(p_partkey % 7 AS varchar),2,'0') || lpad(cast(p_partkey % 100 AS varchar),2,'0') AS commoditycode,
     min(p_name) AS description FROM part GROUP BY 1),
-codes AS (
+codes AS MATERIALIZED (
   SELECT commoditycode, description FROM leaf
   UNION ALL SELECT DISTINCT commoditycode[1:2], 'Heading ' || commoditycode[1:2] FROM leaf
   UNION ALL SELECT DISTINCT commoditycode[1:4], 'Heading ' || commoditycode[1:4] FROM leaf WHERE commoditycode[4:4] <> '0'

@@ -15,7 +15,7 @@ from tradewind.functions.text import pad2
 EUROPE = 3
 NUMERALS = ("I", "II", "III", "IV", "V")
 
-_SCHEMAS: dict[str, T.StructType] = {}    # a file's footer is read once per session, not once per query
+_SCHEMAS: dict[tuple[str, int], T.StructType] = {}    # a file's footer is read once while the file stays as it is
 
 
 def _gate(key: str) -> Column:
@@ -33,9 +33,11 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        version = path, place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
+        if version not in _SCHEMAS:
+            _SCHEMAS[version] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[version]).parquet(path)
 
     # facts
 
@@ -66,8 +68,11 @@ class Views:
                              F.round("l_extendedprice").cast("bigint").alias("value"),
                              (F.col("l_quantity") - 1).cast("bigint").alias("quantity_1")))
 
+    def is_import(self):
+        return (F.col("l_linestatus") == "O") & (F.col("s_reg") != EUROPE)
+
     def import_rows(self, start=None, end=None) -> DataFrame:
-        rows = self.flow_base(start, end).where((F.col("l_linestatus") == "O") & (F.col("s_reg") != EUROPE))
+        rows = self.flow_base(start, end).where(self.is_import())
         return rows.select(
             "l_orderkey", "l_linenumber", "comcode",
             F.when(F.col("l_linenumber") != 6, F.col("s_code")).alias("coo_alpha"),

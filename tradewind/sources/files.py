@@ -1,13 +1,12 @@
-"""Reading the monthly files and their archives."""
+"""Reading the monthly files."""
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.codes import LEAF_LENGTH
@@ -15,8 +14,6 @@ from tradewind.functions.text import clean_text, strip_control, unite
 from tradewind.schema import CONTROL_COLUMNS, FactShape
 from tradewind.sources.stage import stage
 
-_COPIES = 50_000      # copies of a line put back per task row
-
 
 # Words that cannot stand alone as a column name and get a trailing "_".
 _RESERVED = {"if", "else", "repeat", "while", "function", "for", "in", "next", "break"}
@@ -58,51 +55,43 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str =
         line.alias("line"))
 
 
-def drop_file_ends(lines: DataFrame) -> DataFrame:
-    """Lines without each file's first (header) and last (trailer) record.
+def clean_lines(lines: DataFrame) -> DataFrame:
+    """Lines without control characters; empty ones, also those that only a SUB character makes look otherwise, are gone."""
+    clean = lines.withColumn("line", strip_control(F.col("line")))
+    return clean.where(F.trim(F.replace("line", F.lit("\r"), F.lit(""))) != "")
+
+
+def without_file_ends(rows: DataFrame) -> DataFrame:
+    """Rows without each file's first and last one by ``pos``. ``rows`` must be staged, so that positions stay what they are.
+
+    A file is a ``file``, of an ``archive`` or ``source`` where there is such a column. The ends, one row per file, are staged: small, they
+    go to every task by their known size, and rows stay where they are.
+    """
+    key = [c for c in ("archive", "source", "file") if c in rows.columns]
+    ends = stage(rows.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(F.min("pos").alias("_head"), F.max("pos").alias("_tail")), "file-ends")
+    met = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in key])
+    return rows.join(ends, met).where((F.col("pos") != F.col("_head")) & (F.col("pos") != F.col("_tail"))).select(*rows.columns)
 
-    Empty lines, also those that a SUB character only makes look otherwise, are dropped first, so that what
-    follows the trailer does not take its place. With an ``archive`` column, each archive's member is a file.
 
-    The scan of a file may be split differently when it is run again, so row numbers are compared within
-    one pass only: a hash of each file's two end records picks the few lines that may be them, those are
-    counted by text, and every copy beyond the one header and one trailer is put back. The hashes, one row
-    per file, are staged: small, they go to every task by their known size, and lines stay where they are.
+def drop_file_ends(lines: DataFrame) -> DataFrame:
+    """Lines without each file's first (header) and last (trailer) record, empty lines not counting.
+
+    The text is scanned once: lines are staged with the position that this scan gave them.
     """
-    key = [c for c in ("archive", "file") if c in lines.columns]
-    clean = lines.withColumn("line", strip_control(F.col("line"))).where(F.trim(F.replace("line", F.lit("\r"), F.lit(""))) != "")
-    hashed = clean.withColumn("_hash", F.xxhash64("line"))
-    ends = stage(hashed.groupBy(*key).agg(F.min_by("_hash", "pos").alias("_head"),
-                                            F.max_by("_hash", "pos").alias("_tail")), "file-ends")
-    marked = hashed.join(ends, key)
-    at_end = F.col("_hash").isin(F.col("_head"), F.col("_tail"))
-    body = marked.where(~at_end).select("file", "pos", "line")
-    per_file = Window.partitionBy(*key)
-    texts = (marked.where(at_end).groupBy(*key, "line")
-                   .agg(F.min("pos").alias("pos"), F.max("pos").alias("_last"), F.count(F.lit(1)).alias("_n"))
-                   .withColumn("_ends", (F.col("pos") == F.min("pos").over(per_file)).cast("int")
-                               + (F.col("_last") == F.max("_last").over(per_file)).cast("int")))
-    spare = F.col("_n") - F.col("_ends")
-    chunks = (texts.where(spare > 0)
-                   .select("file", "pos", "line", spare.alias("_n"),
-                           F.explode(F.sequence(F.lit(0), F.floor((spare - 1) / _COPIES))).alias("_chunk"))
-                   .repartition("file", "line", "_chunk"))
-    in_chunk = F.least(F.lit(_COPIES), F.col("_n") - F.col("_chunk") * _COPIES)
-    copies = chunks.select("file", "pos", "line", F.explode(F.sequence(F.lit(1), in_chunk))).drop("col")
-    return body.unionByName(copies)
+    return without_file_ends(stage(clean_lines(lines), "lines"))
 
 
 def _fields(line: Column) -> Column:
     return F.split(line, r"\|", -1)
 
 
-def parse_fact_lines(lines: DataFrame, shape: FactShape, na_strings: Sequence[str] = ()) -> DataFrame:
+def parse_fact_lines(lines: DataFrame, shape: FactShape, na_strings: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Fact records from ``file, pos, line``: text columns in file order, short records padded with NULL.
 
-    Codes keep their first 8 characters. ``na_strings`` lists texts to read as NULL.
+    Codes keep their first 8 characters. ``na_strings`` lists texts to read as NULL, ``keep`` other columns to pass on.
     """
     names = safe_names(shape.columns)
-    cut = lines.where(F.trim("line") != "").select("file", _fields(strip_control(F.col("line"))).alias("_f"))
+    cut = lines.where(F.trim("line") != "").select("file", *keep, _fields(strip_control(F.col("line"))).alias("_f"))
 
     def field(i: int, name: str) -> Column:
         c = F.get(F.col("_f"), F.lit(i))
@@ -112,18 +101,27 @@ def parse_fact_lines(lines: DataFrame, shape: FactShape, na_strings: Sequence[st
             c = F.when(~c.isin(list(na_strings)), c)
         return c.alias(name)
 
-    return cut.select("file", *[field(i, n) for i, n in enumerate(names)])
+    return cut.select("file", *keep, *[field(i, n) for i, n in enumerate(names)])
+
+
+def fact_records(lines: DataFrame, shape: FactShape, na_strings: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Fact records of whole files, header and trailer left out. Lines are read and parsed once, the records staged."""
+    own = [c for c in ("archive", "source") if c in lines.columns]
+    kept = list(dict.fromkeys([*own, "pos", *keep]))
+    parsed = without_file_ends(stage(parse_fact_lines(clean_lines(lines), shape, na_strings, kept), "records"))
+    return parsed.drop(*[c for c in kept if c not in keep])
 
 
 def parse_control_lines(lines: DataFrame) -> DataFrame:
     """Control records: fields trimmed, a description split over two fields joined again, 27 columns."""
     names = safe_names(CONTROL_COLUMNS)
     last = len(names) - 1
-    cut = lines.where(F.trim("line") != "").select("file", "pos", _fields(strip_control(F.col("line"))).alias("_f"))
+    more = [c for c in ("archive", "source", "issue") if c in lines.columns]
+    cut = lines.where(F.trim("line") != "").select("file", "pos", *more, _fields(strip_control(F.col("line"))).alias("_f"))
     part = [F.trim(F.get(F.col("_f"), F.lit(i))) for i in range(last + 2)]
     code = F.substring(part[0], 1, LEAF_LENGTH).alias(names[0])
     description = clean_text(unite(part[last], part[last + 1])).alias(names[last])
-    return cut.select("file", "pos", code, *[p.alias(n) for p, n in zip(part[1:last], names[1:last])], description)
+    return cut.select("file", "pos", *more, code, *[p.alias(n) for p, n in zip(part[1:last], names[1:last])], description)
 
 
 def mark_rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -151,7 +149,7 @@ def cast_measures(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFr
 def read_fact_files(spark: SparkSession, paths: str | Sequence[str], shape: FactShape,
                     na_strings: Sequence[str] = (), encoding: str = "UTF-8") -> DataFrame:
     """Monthly fact files as text columns plus ``file``."""
-    return parse_fact_lines(drop_file_ends(read_lines(spark, paths, encoding)), shape, na_strings)
+    return fact_records(read_lines(spark, paths, encoding), shape, na_strings)
 
 
 def read_control_files(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
@@ -166,42 +164,7 @@ def normalise_file_name(name: Column) -> Column:
     return F.regexp_replace(feb, "^(.*?)V2", "$1")
 
 
-def expand_archives(spark: SparkSession, paths: str | Sequence[str], batch: int = 50_000) -> DataFrame:
-    """Lines of every member of (nested) zip archives: ``archive, file, pos, line``.
-
-    One archive is one input row, spread over the tasks; members are read as streams and passed on in
-    batches, so no member is held whole. ``file`` is the normalised member name.
-    """
-    import pandas as pd
-
-    columns = ["archive", "member", "pos", "line"]
-
-    # inside, so that it is sent along to executors that cannot import this package
-    def zip_lines(path: str, blob: io.IOBase, member_path: str) -> Iterator[tuple[str, str, int, str]]:
-        with zipfile.ZipFile(blob) as archive:
-            for info in archive.infolist():
-                if info.is_dir():
-                    continue
-                with archive.open(info) as member:
-                    if info.filename.lower().endswith(".zip"):
-                        yield from zip_lines(path, io.BytesIO(member.read()), member_path + info.filename + "/")
-                        continue
-                    base = info.filename.rsplit("/", 1)[-1]
-                    for n, line in enumerate(io.TextIOWrapper(member, encoding="latin-1", newline="\n")):
-                        yield path, base, n, line.rstrip("\r\n")
-
-    def expand(frames):
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                rows = []
-                for row in zip_lines(path, io.BytesIO(content), ""):
-                    rows.append(row)
-                    if len(rows) >= batch:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
-
-    blobs = spark.read.format("binaryFile").load(paths).select("path", "content")
-    lines = blobs.mapInPandas(expand, "archive string, member string, pos long, line string")
-    return lines.select("archive", normalise_file_name(F.col("member")).alias("file"), "pos", "line")
+def file_issue(name: Column) -> Column:
+    """Which issue of its month a file is: 2 of ``SMKE191405V2.TXT``, 1 of a name without a number."""
+    found = F.regexp_extract(F.upper(name), r"V([0-9]{1,4})(\.[A-Z]+)?$", 1)
+    return F.coalesce(F.when(found != "", found.cast("int")), F.lit(1))

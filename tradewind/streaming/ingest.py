@@ -1,44 +1,34 @@
-"""Loading newly arrived monthly files."""
+"""Loading newly arrived monthly files, plain or in archives."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tradewind.schema import FactShape
-from tradewind.sources.files import cast_measures, drop_file_ends, parse_control_lines, parse_fact_lines
-from tradewind.sources.sinks import GUARD_ROWS, append_period, guarded_append, upsert_table, with_month
+from tradewind.schema import FACTS, FILE_FAMILIES, FactShape
+from tradewind.sources.archives import Opener, open_path, read_members
+from tradewind.sources.files import cast_measures, clean_lines, drop_file_ends, fact_records, file_issue, parse_control_lines
+from tradewind.sources.sinks import GUARD_ROWS, upsert_table, with_month
 from tradewind.sources.stage import stage
-from tradewind.sources.tables import fact_schema
-
-
-def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+from tradewind.sources.store import read_or_none, write_load
 
 
 def _arrivals_of(spark: SparkSession, src: str, encoding: str = "UTF-8") -> DataFrame:
-    """Stream of lines. A batch holds whole files, so header and trailer can be found per batch."""
-    line = F.col("value")
+    """Stream of lines, with ``broken`` where the bytes are not text. A batch holds whole files, so header and trailer can be found per batch."""
+    line, broken = F.col("value"), ~F.is_valid_utf8("value")
     if encoding.upper() != "UTF-8":
-        line = F.decode(line.cast("binary"), encoding)
+        line, broken = F.decode(line.cast("binary"), encoding), F.lit(False)
     return spark.readStream.text(src).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        line.alias("line"))
+        line.alias("line"), broken.alias("broken"))
 
 
 def _positioned(lines: DataFrame) -> DataFrame:
+    """Lines with their place, written once: they come from one pass over the files."""
     pos = F.struct("block", F.monotonically_increasing_id().alias("row"))
-    return drop_file_ends(lines.select("file", pos.alias("pos"), "line"))
+    return stage(lines.select("file", pos.alias("pos"), "line", "broken"), "lines")
 
 
 def _load_id(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
@@ -53,21 +43,34 @@ def _run(stream: DataFrame, each_batch, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _report(lines: DataFrame, good: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
+def _report(lines: DataFrame, good: DataFrame, rejects: DataFrame, stored: DataFrame, key: str = "file") -> DataFrame:
     """``file, status, lines, rows, stored, rejects`` of every file that arrived.
 
-    Status is ``empty`` (no records), ``rejects`` (some records are wrong), ``skipped`` (a month, or all of them, was
-    loaded before) or ``loaded``.
+    Status is ``unreadable`` (nothing of it was loaded), ``empty`` (no records), ``rejects`` (some records are wrong), ``skipped`` (a month, or all
+    of them, was loaded before) or ``loaded``. ``lines`` has one row per file: ``file``, ``lines``, ``error``.
     """
     def count(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col("file").alias("_file")).agg(F.count(F.lit(1)).alias(name))
+        return df.groupBy(F.col(key).alias("_file")).agg(F.count(F.lit(1)).alias(name))
 
-    out = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    out = lines
     for df, name in ((good, "rows"), (stored, "stored"), (rejects, "rejects")):
-        out = out.join(count(df, name), F.col("file") == F.col("_file"), "left").drop("_file").fillna(0, [name])
-    status = (F.when(F.col("rows") + F.col("rejects") == 0, "empty").when(F.col("rejects") > 0, "rejects")
-               .when(F.col("stored") < F.col("rows"), "skipped").otherwise("loaded"))
-    return out.select("file", status.alias("status"), "lines", "rows", "stored", "rejects")
+        out = out.join(count(df, name), F.col(key) == F.col("_file"), "left").drop("_file").fillna(0, [name])
+    status = (F.when(F.col("error").isNotNull(), "unreadable").when(F.col("rows") + F.col("rejects") == 0, "empty")
+               .when(F.col("rejects") > 0, "rejects").when(F.col("stored") < F.col("rows"), "skipped").otherwise("loaded"))
+    return out.withColumn("status", status)
+
+
+def _load(lines: DataFrame, files: DataFrame, dst: str, shape: FactShape, load_id: str, threshold: int, na_strings: Sequence[str]) -> None:
+    """Records of whole files into the store, rejected ones and the report beside it.
+
+    ``lines`` has ``file`` (distinct per file), ``issue``, ``pos``, ``line``; ``files`` a row per file with ``file``, ``lines`` and ``error``.
+    """
+    records = fact_records(lines, shape, na_strings, keep=["issue"])
+    good, rejects = cast_measures(with_month(records, shape), shape.integers)
+    stored = write_load(good, dst, shape, load_id, threshold)
+    rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={load_id}")
+    report = _report(files, good, rejects, stored)
+    report.select("file", "status", "lines", "rows", "stored", "rejects", "error").write.mode("overwrite").parquet(f"{dst}/reports/load_id={load_id}")
 
 
 def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, shape: FactShape,
@@ -75,52 +78,84 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str, s
     """Load the fact files that arrived in ``src`` since the last run, then stop.
 
     The checkpoint makes each file count once; the guard skips months that any other batch has loaded, of this
-    checkpoint or another. Every batch writes its own folder, replaced as a whole if the batch is run again,
-    and rejected records and a report with one row per file go beside it (``rejects``, ``reports``).
-    The parsed records are kept in between, so the files are parsed once for all three.
+    checkpoint or another, unless a file is a later issue (``V2`` in its name), which takes the month over. Every batch
+    writes its own folder, replaced as a whole if the batch is run again, and rejected records and a report with one row per file go
+    beside it (``rejects``, ``reports``). A file with bytes that are not text is reported and left out. Files are read once.
     """
     def each_batch(lines: DataFrame, batch_id: int) -> None:
-        session = lines.sparkSession
-        records = stage(parse_fact_lines(_positioned(lines), shape, na_strings), "records")
-        good, rejects = cast_measures(with_month(records, shape), shape.integers)
-        layout = T.StructType(fact_schema(shape).fields + [T.StructField("load_id", T.StringType())])
-        load_id = _load_id(session, checkpoint, batch_id)
-        parsed, stored = good, _read_or_none(session, f"{dst}/facts", layout)
-        if stored is not None:
-            # By the partition column: counting a stored month opens no column of it.
-            good = guarded_append(good, stored.where(F.col("load_id") != load_id), "month", threshold)
-        append_period(good, f"{dst}/facts/load_id={load_id}", shape, mode="overwrite")
-        rejects.write.mode("overwrite").parquet(f"{dst}/rejects/load_id={load_id}")
-        written = session.read.schema("file string").parquet(f"{dst}/facts/load_id={load_id}")
-        _report(lines, parsed, rejects, written).write.mode("overwrite").parquet(f"{dst}/reports/load_id={load_id}")
+        placed = _positioned(lines).withColumn("issue", file_issue(F.element_at(F.split("file", "/"), -1)))
+        error = F.when(F.max("broken"), f"not {encoding} text")
+        files = stage(placed.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), error.alias("error")), "files")
+        bad = files.where("error IS NOT NULL").select(F.col("file").alias("_bad"))
+        _load(placed.join(bad, F.col("file") == F.col("_bad"), "left_anti").drop("broken"), files, dst, shape,
+              _load_id(lines.sparkSession, checkpoint, batch_id), threshold, na_strings)
 
     _run(_arrivals_of(spark, src, encoding), each_batch, checkpoint)
 
 
+def ingest_archives(spark: SparkSession, src: str, dst: str, checkpoint: str, shapes: dict[str, FactShape] = FACTS, threshold: int = GUARD_ROWS,
+                    encoding: str = "latin-1", na_strings: Sequence[str] = (), opener: Opener = open_path) -> None:
+    """Load what arrived in ``src`` since the last run in zip archives, fact files of every family and control files, then stop.
+
+    The stream brings the names of archives; members are read by tasks of their own (``read_members``). A member belongs to the table
+    whose family its name begins with; tables lie under ``dst`` by name, as ``ingest_available`` and ``ingest_control`` leave them, with the same
+    guard and the same reports by member. Damaged archives and members, and members of no family, are listed under
+    ``dst/archives`` with the reason; all others load.
+    """
+    def each_batch(arrived: DataFrame, batch_id: int) -> None:
+        load_id = _load_id(arrived.sparkSession, checkpoint, batch_id)
+        lines, members = read_members(stage(arrived, "archives"), encoding, opener)
+        family = lambda name: F.col("file").startswith(FILE_FAMILIES[name])
+        for name, shape in shapes.items():
+            counts = lines.where(family(name)).groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("lines"))
+            files = (members.where(family(name)).join(counts, F.col("source") == F.col("_s"), "left").fillna(0, ["lines"])
+                     .select(F.concat_ws("!", "source", "file").alias("file"), "lines", "error"))
+            _load(lines.where(family(name)).select(F.concat_ws("!", "source", "file").alias("file"), "issue", "pos", "line"), files,
+                  f"{dst}/{name}", shape, load_id, threshold, na_strings)
+        control = parse_control_lines(drop_file_ends(lines.where(family("control"))))
+        _merge_control(control, f"{dst}/control", load_id, ["file", "issue", "pos"])
+        known = F.lit(False)
+        for name in (*shapes, "control"):
+            known = known | family(name)
+        problem = F.coalesce("error", F.when(~known, F.lit("no known family")))
+        members.withColumn("error", problem).write.mode("overwrite").parquet(f"{dst}/archives/load_id={load_id}")
+
+    stream = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("pathGlobFilter", "*.{zip,ZIP}").load(src).select("path"))
+    _run(stream, each_batch, checkpoint)
+
+
+def _merge_control(batch: DataFrame, dst: str, load_id: str, order: Sequence[str]) -> None:
+    """A new version of the control table with one batch in it, unless the batch is empty."""
+    spark = batch.sparkSession
+    versions, own, top = read_or_none(spark, dst), None, None
+    if versions is not None:
+        own, top = versions.agg(F.max(F.when(F.col("load_id") == load_id, F.col("version"))), F.max("version")).first()
+    elif batch.isEmpty():
+        return
+    version = own if own is not None else 0 if top is None else top + 1      # a batch that is run again replaces its own
+    stored = read_control_table(spark, dst, before=version)
+    columns = [c for c in batch.columns if c not in ("archive", "source", *order)]
+    current = batch.limit(0).select(columns) if stored is None else stored
+    merged = upsert_table(current, batch.select(*columns, *order), "mk_comcode", ["mk_commodity_alpha_1"], order)
+    merged.write.mode("overwrite").parquet(f"{dst}/version={version}/load_id={load_id}")
+
+
 def ingest_control(spark: SparkSession, src: str, dst: str, checkpoint: str) -> None:
     """Bring the control table up to date with the control files that arrived since the last run.
 
     Each batch writes a full new version; readers take the highest one.
     """
     def each_batch(lines: DataFrame, batch_id: int) -> None:
-        session = lines.sparkSession
-        batch = parse_control_lines(_positioned(lines))
-        load_id = _load_id(session, checkpoint, batch_id)
-        versions, own, top = _read_or_none(session, dst), None, None
-        if versions is not None:
-            own, top = versions.agg(F.max(F.when(F.col("load_id") == load_id, F.col("version"))), F.max("version")).first()
-        version = own if own is not None else 0 if top is None else top + 1      # a batch that is run again replaces its own
-        stored = read_control_table(session, dst, before=version)
-        current = batch.limit(0).drop("file", "pos") if stored is None else stored
-        merged = upsert_table(current, batch, "mk_comcode", ["mk_commodity_alpha_1"], ["file", "pos"])
-        merged.write.mode("overwrite").parquet(f"{dst}/version={version}/load_id={load_id}")
+        batch = parse_control_lines(drop_file_ends(_positioned(lines).drop("broken")))
+        _merge_control(batch, dst, _load_id(lines.sparkSession, checkpoint, batch_id), ["file", "pos"])
 
     _run(_arrivals_of(spark, src), each_batch, checkpoint)
 
 
 def read_control_table(spark: SparkSession, dst: str, before: int | None = None) -> DataFrame | None:
     """Latest version of the control table, or the latest below ``before``."""
-    versions = _read_or_none(spark, dst)
+    versions = read_or_none(spark, dst)
     if versions is None:
         return None
     if before is not None:
