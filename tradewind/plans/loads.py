@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import monitor
 from tradewind.plans.registry import query
-from tradewind.schema import FILE_FAMILIES, IMPORTS
-from tradewind.sources import archives, files, sinks, store
+from tradewind.schema import EXPORTS, FILE_FAMILIES, IMPORTS
+from tradewind.sources import archives, files, sinks, store, tables
 from tradewind.sources.stage import new_folder, stage
+from tradewind.streaming import ingest
 
 _FILE = "'SMKI19' || account_date[6:7] || account_date[1:2]"
 
@@ -31,15 +32,49 @@ def parse_fact_records(v):
 SELECT {_FILE} AS file, 1 + cast(account_date[1:2] IN ('05', '06') AS int) AS issue, comcode, account_date,
   cast(value AS varchar) || CASE WHEN l_linenumber = 3 THEN 'x' ELSE '' END AS value FROM import_rows""")
 def archive_records(v):
-    """The month files in yearly archives, every other year as archives in an archive, some as second issues."""
+    """The month files read from yearly archives, some as second issues."""
+    read, _ = archives.read_members(_yearly_archives(v, new_folder(v.spark, "zips"), issues=True))
+    return files.fact_records(read, IMPORTS, keep=["issue"]).select("file", "issue", "comcode", "account_date", "value")
+
+
+@query("ingested_archives", """
+SELECT account_date[4:7] || '-' || account_date[1:2] AS month, count(*) FILTER (l_linenumber <> 3) AS n,
+  cast(coalesce(sum(value) FILTER (l_linenumber <> 3), 0) AS bigint) AS total, count(*) FILTER (l_linenumber = 3) AS rejects FROM import_rows GROUP BY 1""")
+def ingested_archives(v):
+    """The archives loaded by the stream, twice: what the second run finds has been loaded."""
+    folder, dst = new_folder(v.spark, "arrivals"), new_folder(v.spark, "store")
+    _yearly_archives(v, folder, issues=False)
+    checkpoint = new_folder(v.spark, "checkpoint")
+    for _ in range(2):
+        ingest.ingest_archives(v.spark, folder, dst, checkpoint, {"imports": IMPORTS})
+    stored = store.read_store(v.spark, f"{dst}/imports", IMPORTS).groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    wrong = v.spark.read.parquet(f"{dst}/imports/rejects").groupBy(F.col("month").cast("string").alias("_m")).agg(F.count(F.lit(1)).alias("rejects"))
+    both = stored.join(wrong, F.col("month") == F.col("_m"), "full")
+    return both.select(F.coalesce("month", "_m").alias("month"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total"),
+                       F.coalesce("rejects", F.lit(0)).alias("rejects"))
+
+
+@query("stored_periods", "SELECT account_date AS period, count(*) AS n FROM exports WHERE account_date IN ('02/1996', '03/1996', '07/1998') GROUP BY 1")
+def stored_periods(v):
+    """A table created empty, then filled in two goes; periods are counted as the guard counts them."""
+    path = new_folder(v.spark, "exports")
+    sinks.create_or_replace(v.spark, tables.fact_schema(EXPORTS), f"{path}/month=none")
+    rows = stage(v.exports(), "exports")
+    for part in (rows.where("value % 2 = 0"), rows.where("value % 2 = 1")):
+        sinks.append_period(part, path, EXPORTS)
+    stored = tables.read_facts(v.spark, path, EXPORTS)
+    counted = [(p, sinks.period_count(stored, "account_date", p)) for p in ("02/1996", "03/1996", "07/1998")]
+    return v.spark.createDataFrame([x for x in counted if x[1]], "period string, n long")
+
+
+def _yearly_archives(v, folder: str, issues: bool) -> DataFrame:
+    """The month files packed by year; every other year as archives in an archive."""
     lines, year, mm = v.fact_lines(), F.substring("file", 7, 2), F.substring("file", 9, 2)
-    named = lines.select(F.concat(F.lit("SMKI19_"), year, F.lit("archive.zip")).alias("archive"), year.cast("int").alias("year"),
-                         F.concat(F.lower("file"), F.when(mm.isin("05", "06"), "v2").otherwise(""), F.lit(".txt")).alias("file"), "pos", "line")
-    named, folder = stage(named, "lines"), new_folder(v.spark, "zips")
-    paths = archives.write_archives(named.where("year % 2 = 0"), folder).unionByName(
+    late = F.when(F.lit(issues) & mm.isin("05", "06"), "v2").otherwise("")
+    named = stage(lines.select(F.concat(F.lit("SMKI19_"), year, F.lit("archive.zip")).alias("archive"), year.cast("int").alias("year"),
+                               F.concat(F.lower("file"), late, F.lit(".txt")).alias("file"), "pos", "line"), "lines")
+    return archives.write_archives(named.where("year % 2 = 0"), folder).unionByName(
         archives.write_archives(named.where("year % 2 = 1"), folder, nested=True))
-    read, _ = archives.read_members(paths)
-    return files.fact_records(read, IMPORTS, keep=["issue"]).select("file", "issue", "comcode", "account_date", "value")
 
 
 @query("cast_measures", """

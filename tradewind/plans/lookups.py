@@ -11,7 +11,7 @@ from tradewind.plans import builds
 from tradewind.plans.registry import query
 from tradewind.schema import FACTS
 from tradewind.sources import tables
-from tradewind.sources.stage import stage
+from tradewind.sources.stage import new_folder, stage
 
 # --- nomenclature and hierarchy
 
@@ -195,6 +195,15 @@ def locode_gb(v):
         "portcode", "portname", F.round("lat", 6).alias("lat"), F.round("long", 6).alias("long"))
 
 
+@query("missing_ports", "SELECT portname_x, portcode, CASE WHEN portname_x LIKE 'Port%' THEN 'Seaport' ELSE 'Airport' END AS type, lat, long FROM extra_ports")
+def missing_ports(v):
+    """The hand-made positions, written as the list is published and read back."""
+    folder, kind = new_folder(v.spark, "ports"), F.when(F.col("portname_x").startswith("Port"), "Seaport").otherwise("Airport")
+    (v.extra_ports().select(F.col("portname_x").alias("portname.x"), "portcode", kind.alias("type"), "lat", "long")
+      .write.option("header", True).option("quoteAll", True).option("nullValue", "NA").csv(folder))
+    return tables.read_missing_ports(v.spark, folder)
+
+
 @query("dms_to_decimal", """
 SELECT x11, round((cast(x11[1:2] AS double) + cast(x11[3:4] AS double) / 60) * CASE WHEN contains(x11, 'N') THEN 1 ELSE -1 END, 6) AS lat,
   round((cast(x11[7:9] AS double) + cast(x11[10:11] AS double) / 60) * CASE WHEN contains(x11, 'E') THEN 1 ELSE -1 END + 0.0::double, 6) AS long,

@@ -28,5 +28,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> tuple[dict, dict]:
-    from tradewind.plans import flows, loads, lookups, shapes  # noqa: F401  (register on import)
+    from tradewind.plans import flows, loads, lookups, screens, shapes  # noqa: F401  (register on import)
     return dict(_QUERIES), dict(_SQL)
