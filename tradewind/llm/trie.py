@@ -193,7 +193,7 @@ def burst(rows: DataFrame, limit: int) -> DataFrame:
     return nodes
 
 
-def prefix_trie(convs: DataFrame, turns: DataFrame, limit: int = 1 << 16, slab: int = 1024) -> DataFrame:
+def prefix_trie(convs: DataFrame, turns: DataFrame, limit: int = 1 << 11, slab: int = 1024) -> DataFrame:
     """One row per node: ``conv_id`` (smallest member), ``depth``, ``parent_conv_id``, ``n_convs``, ``n_children``, ``n_leaves``,
     ``saved_tokens``, ``ends_sha256``.
 
