@@ -350,3 +350,75 @@ def test_pipeline(spark):
     assert abs(sum(words[d]["size"] * n for d, n in taken.items()) / (1.5 * sum(r["size"] for r in words.values())) - 1) < 0.02
     last = corpus_pipeline.run(spark, SF).collect()
     assert Counter(r.doc_id for r in last) == taken and all(r.lossless for r in last)
+
+
+def test_edits_of_repeated_lines():
+    line = "the same line of text again and again, word for word\n"
+    for text in (line * 400, "ab, " * 9000, line * 30 + "x" * 500 + line * 300):
+        for at in (10, len(text) // 2, len(text) - 20):
+            one, two = fingerprints.fingerprints(pa.array([text, text[:at] + "EDIT" + text[at:]]))
+            assert fingerprints.likeness([one], [two])[0] > 0.5
+
+
+def test_low_likeness_is_refused(edges):
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(edges, percent=50)
+
+
+def test_changes_are_averaged_over_the_tasks_that_moved_a_number():
+    import pandas as pd
+
+    def row(task, weight, values):
+        change = np.array(values, np.float32)
+        return ("word", 0, task, weight, change.tobytes(), np.packbits(change != 0).tobytes())
+    rows = pd.DataFrame([row(0, 1.0, [2, 0, 0]), row(1, 3.0, [6, 4, 0])], columns=["name", "block", "learner", "weight", "change", "met"])
+    assert np.frombuffer(masked_lm._average(rows)["change"][0], np.float32).tolist() == [5.0, 4.0, 0.0]
+
+
+def test_lm_query_against_a_plain_version(spark):
+    """The registered query against counts, training and scores in one process, without Spark."""
+    lm = masked_lm
+    keys = {r[0]: r[1] for r in spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "xxhash64(doc_id, text)").collect()}
+    docs = sorted(documents(), key=lambda d: keys[d[0]])
+    words = {i: lm.hashes_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for i, t in docs}
+    counts = Counter(h for own in words.values() for h in own.tolist())
+    top = sorted(counts, key=lambda h: (-counts[h], int(np.uint64(h).astype(np.int64))))[:lm.WORDS - lm.BUCKETS]
+    rank = {h: i for i, h in enumerate(top)}
+    place = lambda h: rank.get(h, lm.WORDS - lm.BUCKETS + h % lm.BUCKETS)
+    sizes = Counter()
+    for h, n in counts.items():
+        sizes[place(h)] += n
+    net = lm.fresh_net()
+    for round_ in range(lm.ROUNDS):
+        past, held, waiting = {k: np.zeros_like(v) for k, v in net.items()}, [], 0
+        from tradewind.llm.common import text_chunks
+        chunks = [(a, b) for a, b, *_ in text_chunks(pa.array([t for _, t in docs]))]
+        for n, (a, b) in enumerate(chunks):
+            own = [words[i] for i, _ in docs[a:b]]
+            first, hashes = np.cumsum([0, *map(len, own)]), np.concatenate(own)
+            ids = np.array([place(h) for h in hashes.tolist()])
+            at = lm.masked_places(hashes, first, round_, lm.ROUNDS)
+            held.append((lm.contexts(ids, first)[at], ids[at]))
+            waiting += len(at)
+            if waiting >= lm._BATCH or n == len(chunks) - 1:
+                around, targets = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+                for s in range(0, len(targets), lm._BATCH):
+                    lm.train_step(net, past, around[s:s + lm._BATCH], targets[s:s + lm._BATCH], 0.1)
+                held, waiting = [], 0
+    want = {}
+    for i, own in words.items():
+        ids = np.array([place(h) for h in own.tolist()], np.int64)
+        chances = lm.log_probabilities(net, lm.contexts(ids, np.array([0, len(own)])), ids).astype(float)
+        rare = [np.log(counts[h] / (sizes[p] + 1)) for h, p in zip(own.tolist(), ids.tolist()) if p >= lm.WORDS - lm.BUCKETS]
+        want[i] = (len(own), chances.sum() + sum(rare))
+    got = {r.doc_id: (r.n_words, r.log_likelihood) for r in queries.QUERIES["op2_lm_scoring"](spark, SF).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] == want[i][0] for i in want)
+    assert all(abs(got[i][1] - want[i][1]) <= 2e-3 * abs(want[i][1]) + 1e-3 for i in want)
+
+
+def test_lm_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 5 = 0")
+    scores = [{r.doc_id: r.log_likelihood for r in masked_lm.score_documents(d, masked_lm.train(d, words=1 << 15)).collect()}
+              for d in (docs.repartition(2), docs.repartition(17))]
+    one, two = (np.array([s[i] for i in sorted(scores[0])]) for s in scores)
+    assert np.allclose(one, two, rtol=1e-3, atol=1e-2)

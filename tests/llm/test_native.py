@@ -166,3 +166,16 @@ def test_trigram_queries():
     assert secrets.trigram_query("(foo|barn)x") == {frozenset({"foo", "oox"}), frozenset({"bar", "arn", "rnx"})}
     assert secrets.trigram_query("[0-9a-f]{24,}") == frozenset() == secrets.trigram_query("ab?c|abcd")
     assert secrets.trigram_query("ab[0-9]+cde") == {frozenset({"cde"})}
+
+
+def test_many_sources_of_one_document(spark):
+    docs = spark.range(6_000).selectExpr("id AS doc_id", "concat('host', id) AS source", "'a b c' AS text")
+    rows = mixing.taken_words(docs).collect()
+    assert len(rows) == 6_000 and all(r["size"] == r["source_size"] == 3 and r["taken"] <= 6 for r in rows)
+    assert abs(sum(r["taken"] for r in rows) / 27_000 - 1) < 0.05
+
+
+def test_mix_documents_edges(edges, nothing):
+    mixed = mixing.mix_documents(edges)
+    assert mixed.columns == edges.columns and 0 < mixed.count() <= 2 * edges.count()
+    assert mixing.mix_documents(nothing).count() == 0

@@ -4,13 +4,14 @@ The network sums learned vectors of the words around a place, weighted by positi
 in two steps, its class and the word in the class, so that each probability is normalised over all ids. An
 id is a frequent word or a bucket of all others by hash; a word of a bucket has the share of the bucket's
 probability that it has of the bucket's occurrences. Those are counted for every word, in a Spark table that
-grows with the corpus, and joined on the word's hash. It is trained in numpy where the data are: each task runs over its part of the corpus, the
-changes of all tasks are averaged block by block on the cluster, and the next round starts from there.
+grows with the corpus, and joined on the word's hash. It is trained in numpy on the cluster: each learner runs over its part of the
+corpus, the changes of all learners are averaged block by block, and the next round starts from there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ BUCKETS = 512
 WIDTH, REACH = 32, 2            # size of a vector; words seen on either side
 ROUNDS = 2
 STRIDE = 2                      # a round masks every STRIDE-th word, so that many rounds mask every word
+LEARNER_WORDS = 1 << 22         # words that one learner learns from in a round
 _BATCH = 4096
 _OFFSETS = [k for k in range(-REACH, REACH + 1) if k]
 _SHAPES = {"embed": (WORDS + 1, WIDTH), "place": (len(_OFFSETS), WIDTH), "bias": (WIDTH,), "kind": (CLASSES, WIDTH), "kind_bias": (CLASSES,),
@@ -238,48 +240,59 @@ def bucket_sizes(bucketed: DataFrame) -> np.ndarray:
 
 
 def _train(shared, round_: int, rounds: int, rate: float):
+    """The changes of each learner (rows come learner by learner) from the network that the round starts with."""
+    def changes(start: dict, net: dict, past: dict, learner: int, seen: int) -> Iterator[pa.RecordBatch]:
+        for name, value in net.items():
+            change, met = (value - start[name]).ravel(), (past[name] > 0).ravel()
+            for i, a in enumerate(range(0, len(change), 1 << 14)):
+                yield pa.RecordBatch.from_pydict({
+                    "name": [name], "block": pa.array([i], pa.int32()), "learner": pa.array([learner], pa.int64()),
+                    "weight": [float(seen)], "change": pa.array([change[a:a + (1 << 14)].tobytes()], pa.binary()),
+                    "met": pa.array([np.packbits(met[a:a + (1 << 14)]).tobytes()], pa.binary())})
+
+    def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array]]:
+        for batch in batches:
+            learner = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(learner)) + 1).tolist(), len(learner)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    yield int(learner[a]), batch.column(1).slice(a, b - a)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, known, ids = shared.value
-        net, past = {k: v.copy() for k, v in start.items()}, {k: np.zeros_like(v) for k, v in start.items()}
-        held, seen = [], 0
-
-        def learn(rows):
-            around, targets = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-            for a in range(0, len(targets), _BATCH):
-                train_step(net, past, around[a:a + _BATCH], targets[a:a + _BATCH], rate)
-
-        waiting = 0
-        for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
-                hashes, first = hashes_of(data, offsets)
-                if not len(hashes):
-                    continue
-                own = word_ids(hashes, known, ids)
-                masked = masked_places(hashes, first, round_, rounds)
-                held.append((contexts(own, first)[masked], own[masked]))
-                waiting += len(masked)
-                if waiting >= _BATCH:
-                    learn(held)
-                    seen, held, waiting = seen + waiting, [], 0
-        if waiting:
-            learn(held)
-            seen += waiting
-        if seen:
-            task = TaskContext.get().partitionId()
-            for name, value in net.items():
-                change, met = (value - start[name]).ravel(), (past[name] > 0).ravel()
-                for i, a in enumerate(range(0, len(change), 1 << 14)):
-                    yield pa.RecordBatch.from_pydict({
-                        "name": [name], "block": pa.array([i], pa.int32()), "task": pa.array([task], pa.int32()),
-                        "weight": [float(seen)], "change": pa.array([change[a:a + (1 << 14)].tobytes()], pa.binary()),
-                        "met": pa.array([np.packbits(met[a:a + (1 << 14)]).tobytes()], pa.binary())})
+        for learner, group in groupby(texts_of(batches), key=lambda x: x[0]):
+            net, past = {k: v.copy() for k, v in start.items()}, {k: np.zeros_like(v) for k, v in start.items()}
+            held, waiting, seen = [], 0, 0
+
+            def learn():
+                around, targets = np.concatenate([r[0] for r in held]), np.concatenate([r[1] for r in held])
+                for a in range(0, len(targets), _BATCH):
+                    train_step(net, past, around[a:a + _BATCH], targets[a:a + _BATCH], rate)
+
+            for _, texts in group:
+                for _, _, data, offsets in text_chunks(texts):
+                    hashes, first = hashes_of(data, offsets)
+                    if not len(hashes):
+                        continue
+                    own = word_ids(hashes, known, ids)
+                    masked = masked_places(hashes, first, round_, rounds)
+                    held.append((contexts(own, first)[masked], own[masked]))
+                    waiting += len(masked)
+                    if waiting >= _BATCH:
+                        learn()
+                        seen, held, waiting = seen + waiting, [], 0
+            if waiting:
+                learn()
+                seen += waiting
+            if seen:
+                yield from changes(start, net, past, learner, seen)
     return run
 
 
 def _average(rows: pd.DataFrame) -> pd.DataFrame:
-    """The mean change of one block, by the number of places each task learned from; a number counts the tasks that moved it."""
+    """The mean change of one block, by the number of places each learner learned from; a number counts the learners that moved it."""
     total, mass = 0.0, 0.0
-    for r in rows.sort_values("task").itertuples():
+    for r in rows.sort_values("learner").itertuples():
         change = np.frombuffer(r.change, np.float32).astype(np.float64)
         total = total + r.weight * change
         mass = mass + r.weight * np.unpackbits(np.frombuffer(r.met, np.uint8), count=len(change))
@@ -287,22 +300,37 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": [rows["name"].iloc[0]], "block": [rows["block"].iloc[0]], "change": [mean.astype(np.float32).tobytes()]})
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, DataFrame]:
+def learners(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = LEARNER_WORDS) -> DataFrame:
+    """``learner`` and ``text`` of all documents (staged): about ``words`` words a learner, in an order of its own.
+
+    Which learner a document is dealt to and when it comes follows from the document, not from how the table is partitioned.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    number = max(1, round(total / words))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("id", "text"))
+    dealt = own.select(F.pmod(F.xxhash64("key"), F.lit(number)).alias("learner"), "key", "text")
+    return stage(dealt.repartition(number, "learner").sortWithinPartitions("learner", "key").select("learner", "text"), "learners")
+
+
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1, id_col: str = "doc_id",
+          words: int = LEARNER_WORDS) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, DataFrame]:
     """The model, from all documents: every word is counted and predicted in at least one round.
 
     That is the network, its vocabulary (hashes, ids), the sizes of the buckets, and the table of the words in buckets.
 
-    Two rounds mask half of the words each; more go on with the other half in turn.
+    Two rounds mask half of the words each; more go on with the other half in turn. Learners of ``words`` words each start a
+    round from the same network; how many there are follows from the words of the corpus, so the model does not depend on
+    the table's partitions and a learner learns no less on a larger cluster.
     """
     counts = count_words(docs, text_col)
     known, ids = vocabulary(counts)
     bucketed = bucketed_words(counts, known, ids)
     sizes = bucket_sizes(bucketed)
+    dealt = learners(docs, counts, id_col, text_col, words)
     net, context = fresh_net(), docs.sparkSession.sparkContext
     for r in range(rounds):
         shared = context.broadcast((net, known, ids))
-        changes = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _train(shared, r, rounds, rate), "name string, block int, task int, weight double, change binary, met binary")
+        changes = dealt.mapInArrow(_train(shared, r, rounds, rate), "name string, block int, learner long, weight double, change binary, met binary")
         mean = changes.groupBy("name", "block").applyInPandas(_average, "name string, block int, change binary").collect()   # the model's size
         for name, value in net.items():
             parts = sorted((m["block"], m["change"]) for m in mean if m["name"] == name)
