@@ -1,7 +1,7 @@
 """The corpus pipeline: quality, exact dedup, near dedup, mixing to target weights, SentencePiece ids.
 
-Each stage works on all that the one before kept, written as Parquet and read again. A stage begins by removing the tables that
-the stages before it staged: their results are written by then.
+Each stage works on all that the one before kept, written as Parquet and read again. What a stage staged is
+removed once its result is written.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ _ended: list[str] = []      # staged by the stage that returned last
 
 
 def owner(step):
-    """A stage that removes what the one before staged, unless its documents still rest on that, before it stages its own."""
+    """A stage that first removes what the one before staged, if its documents were written outside and rest on no staged table."""
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if not reads_staged(docs, _ended):
+        if not reads_staged(docs, staged_since(0)):
             remove_staged(spark, _ended)
         mark = staged_so_far()
         out = step(spark, docs, sf_dir)
@@ -70,6 +70,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, step in STAGES[:-1]:
         mark = staged_so_far()
         docs = stage(step(spark, docs, sf_dir), name)
-        remove_staged(spark, before)
-        before = staged_since(mark)[-1:]        # the result, the next one's documents
+        *inner, result = staged_since(mark)
+        remove_staged(spark, before + inner)
+        _ended.clear()
+        before = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
