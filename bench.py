@@ -61,8 +61,9 @@ def main() -> None:
     v = Views(spark, sf_dir)
 
     def load() -> None:
+        base = Views(spark, sf_dir).keep_base()
         for shape in FACTS.values():
-            append_period(v.fact(shape.name), f"{work}/{shape.name}", shape, mode="overwrite")
+            append_period(base.fact(shape.name), f"{work}/{shape.name}", shape, mode="overwrite")
 
     timed("store_load", load, warm=False)
     country, port, codes = stage(v.country(), "country"), stage(v.port(), "port"), parented(v)

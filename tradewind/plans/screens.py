@@ -25,6 +25,8 @@ def run_query(v, name: str, spec: QuerySpec = CHAPTERS_1998) -> FlowResult:
 
 
 def _of_each(v, build) -> DataFrame:
+    """All four flows, from line items joined once."""
+    v.keep_base()
     return reduce(DataFrame.unionByName, [build(run_query(v, name)).select(F.lit(name).alias("flow"), "*") for name in FACTS])
 
 

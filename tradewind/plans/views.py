@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.periods import next_month
 from tradewind.functions.text import pad2
+from tradewind.sources.stage import stage
 
 EUROPE = 3
 NUMERALS = ("I", "II", "III", "IV", "V")
@@ -30,6 +31,12 @@ def _item_code() -> Column:
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._base: DataFrame | None = None
+
+    def keep_base(self) -> "Views":
+        """Joins the line items once for several tables; they are written in between."""
+        self._base = stage(self.flow_base(), "flow-base")
+        return self
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
@@ -43,11 +50,13 @@ class Views:
 
     def flow_base(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """One row per line item with both partners; a month range reaches the scan as a date range."""
-        lines = self.table("lineitem")
+        lines = self.table("lineitem") if self._base is None else self._base
         if start is not None:
             lines = lines.where(F.col("l_shipdate") >= f"{start}-01")
         if end is not None:
             lines = lines.where(F.col("l_shipdate") < f"{next_month(end)}-01")
+        if self._base is not None:
+            return lines
         lines = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus",
                              "l_shipdate", "l_extendedprice", "l_quantity")
         nation = self.table("nation")
