@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import WORD, prefix_sums, text_of
+from tradewind.operators.ordering import ranges_in_order
 from tradewind.sources.stage import stage
 
 _OVERHEAD = 4       # tokens counted for the marks of a turn
@@ -25,7 +26,7 @@ def unescape(text: Column) -> Column:
 
 
 def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                   text_col: str = "text", budget: int = 512, history: int = 128, block_turns: int = 256) -> DataFrame:
+                   text_col: str = "text", budget: int = 512, history: int = 128) -> DataFrame:
     """Training windows: ``conv``, ``window``, ``text``, ``loss`` (spans in code points, end exclusive), ``repeated``, ``tokens``.
 
     A turn's tokens are its words and four for its marks. A sum over the turns before gives each turn the
@@ -42,10 +43,10 @@ def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows = stage(turns.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), text_of(role_col).alias("role"),
         text_of(text_col).alias("body"), F.monotonically_increasing_id().alias("row"))
-        .withColumn("block", F.coalesce(F.floor(F.col("turn") / block_turns).cast("long"), F.lit((1 << 63) - 1)))
         .withColumn("tokens", F.regexp_count("body", F.lit(WORD)).cast("long") + _OVERHEAD), "turns")
-    order = [F.col("turn").asc_nulls_last(), "role", "body", "row"]
-    placed = prefix_sums(rows, ["conv"], "block", order, "tokens", "ahead")
+    # sorted ranges hold their share of turns, also of a conversation with very many or with equal numbers
+    ranges, _ = ranges_in_order(rows, ["conv", F.col("turn").asc_nulls_last(), "role", "body", "row"])
+    placed = prefix_sums(ranges.withColumn("block", F.shiftright("_at", 33)), ["conv"], "block", ["_at"], "tokens", "ahead")
     own = F.floor(F.col("ahead") / step).cast("long")
     system = (F.col("ahead") == 0) & (F.col("role") == "system")
     sizes = rows.groupBy(F.col("conv").alias("_c")).agg(F.floor((F.sum("tokens") - 1) / step).cast("long").alias("last"))
