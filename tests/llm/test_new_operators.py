@@ -100,7 +100,7 @@ def test_phrases(edges, nothing, spark, share, bucket_words, monkeypatch):
     real = phrases.gram_counts
     monkeypatch.setattr(phrases, "gram_counts", lambda *a: real(*a, bucket_words=bucket_words, share=share))
     for least, top in ((2, 2000), (10, 4)):
-        got = phrases.collocations(docs, least=least, top=top, salts=3)
+        got = phrases.collocations(docs, least=least, top=top)
         assert sorted(map(tuple, got.collect())) == plain_phrases(rows, least, 50, top)
     assert phrases.collocations(nothing).count() == 0
 

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import lowered, mixed, short_batches, span_hashes, text_chunks, text_of
+from tradewind.operators.ordering import global_rank
 from tradewind.sources.stage import stage
 
 _FLUSH = 3 << 18            # words that a task holds before it hands its stripes on
@@ -276,14 +277,14 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", big(a) * big(a) * F.lit(1_000_000).cast("decimal(7,0)"), big(left) * big(right))
 
 
-def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 10, percent: int = 50, top: int = 2000, salts: int = 64) -> DataFrame:
+def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 10, percent: int = 50, top: int = 2000) -> DataFrame:
     """The best phrases of two or three words of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
     Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line ends and those into words at spaces and tabs. A null language is
     ``und``, a null text empty. A phrase that occurs ``a >= least`` times scores by its weakest cut, floor(10^6 a^2 / (l r)) of the frequencies of its
     two sides, ties to the first cut. Pairs of which ``percent`` % of occurrences or more lie in one triple are left out. Ties of
     the score go to the larger ``a``, then the smaller phrase. Rows that repeat count each; other columns are left out; an
-    empty table gives an empty one. The best of a language are chosen among the best of each of ``salts`` parts.
+    empty table gives an empty one.
     """
     grams = gram_counts(docs, lang_col, text_col, least)
     of = lambda k: grams.where(F.col("words") == k)
@@ -302,9 +303,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     first = F.col("s1") <= F.col("s2")
     triples = triples.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("f").alias("a"), F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                              F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(salts))
-    some = (pairs.unionByName(triples).withColumn("_part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
-            .where(F.col("rank") <= top))
-    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    # ranked over sorted ranges, so a language with most of the phrases is spread over tasks
+    placed = global_rank(pairs.unionByName(triples), ["lang", F.col("score").desc(), F.col("a").desc(), "phrase"], "at")
+    firsts = placed.groupBy(F.col("lang").alias("_lang")).agg(F.min("at").alias("_first"))
+    best = placed.join(firsts, F.col("lang") == F.col("_lang")).withColumn("rank", F.col("at") - F.col("_first") + 1).where(F.col("rank") <= top)
     return best.join(side(0, "n"), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
