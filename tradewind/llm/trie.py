@@ -167,11 +167,14 @@ def _child(head: Column, turn: Column) -> Column:
 def burst(rows: DataFrame, limit: int) -> DataFrame:
     """The nodes of containers (by ``head``) of any size."""
     chains: list[DataFrame] = []
+    settled: list[DataFrame] = []       # containers that are small enough, by the pass that found them so
+    rows = stage(rows, "containers")
     while True:
         large = stage(rows.groupBy(F.col("head").alias("_h")).agg(
             F.sum(F.size("ids")).alias("_turns"), F.count(F.lit(1)).alias("_rows"), F.min(F.struct("ids", "chars")).alias("_lo"), F.max("ids").alias("_hi"),
             F.sum("n").alias("_n"), F.min("least").alias("_least")).where(f"_turns > {limit} AND _rows > 1"), "large")
         if large.isEmpty():
+            settled.append(rows)
             break
         same = F.zip_with(F.col("_lo")["ids"], "_hi", lambda a, b: a.eqNullSafe(b))
         large = large.withColumn("_skip", F.array_position(same, False).cast("int") - 1)     # lowest and highest differ: turns shared by all
@@ -184,8 +187,9 @@ def burst(rows: DataFrame, limit: int) -> DataFrame:
         dealt = hit.where(F.size("ids") > F.col("_skip")).select(
             F.col("head").alias("top"), _child(F.col("head"), F.get("ids", F.col("_skip"))).alias("head"), (F.col("base") + F.col("_skip")).alias("base"),
             F.col("_least").alias("root_least"), rest("ids").alias("ids"), rest("chars").alias("chars"), "n", "least", "ends", "kids", "leaves", "saved")
-        rows = stage(rows.join(large, F.col("head") == F.col("_h"), "left_anti").unionByName(dealt), "containers")
-    nodes = _swept(rows)
+        settled.append(rows.join(large, F.col("head") == F.col("_h"), "left_anti"))
+        rows = stage(dealt, "containers")       # only what burst is looked at again
+    nodes = _swept(reduce(DataFrame.unionByName, settled))
     for chain in reversed(chains):
         above = chain.join(_totals(nodes), F.col("head") == F.col("_top")).withColumns(
             {"kids": F.col("_kids"), "leaves": F.col("_leaves"), "saved": F.col("_saved")})
