@@ -422,3 +422,11 @@ def test_lm_does_not_depend_on_partitions(spark):
               for d in (docs.repartition(2), docs.repartition(17))]
     one, two = (np.array([s[i] for i in sorted(scores[0])]) for s in scores)
     assert np.allclose(one, two, rtol=1e-3, atol=1e-2)
+
+
+def test_words_met_again_after_the_memo_was_renewed(monkeypatch):
+    monkeypatch.setattr(token_files, "_KNOWN", 40)
+    tokenizer, made = Tokenizer.from_file(BYTES), random.Random(5)
+    for _ in range(30):
+        texts = [" ".join(made.choice(["the", "of", f"w{made.randrange(60)}x", "é" * made.randrange(1, 40), "y" * 80, "z" * made.randrange(60, 70)]) for _ in range(40)) for _ in range(3)]
+        assert token_files.encode_batch(pa.array(texts, pa.large_string()), BYTES).to_pylist() == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]

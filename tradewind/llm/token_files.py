@@ -20,10 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import short_batches, worker_memo
+from tradewind.llm.common import mixed, short_batches, span_hashes, worker_memo
 from tradewind.sources.stage import shared_folder, stage
 
-_KNOWN = 300_000        # pieces of text after which a worker starts a new memo; it keeps the one before it, too
+_KNOWN = 1_000_000      # words after which a worker starts a new memo; it keeps the one before it, too
+_PIECES = 100_000       # the same for pieces that are not words
 _PLACE = re.compile(r"(?= \S)")
 _RUN = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"    # a space that white space or the end follows
 _LONG = 64              # characters from which a piece is not remembered
@@ -43,14 +44,95 @@ def _tokenizer(path: str):
     return worker_memo(f"tokenizer {path}", make)
 
 
-def _learn(tokenizer, lengths: np.ndarray, words: list[str]) -> Iterable[bytes]:
-    """The ids of each word with a space before it: 256 words are one text, told apart by their bytes."""
+def _learn(tokenizer, lengths: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words with a space before each, and how many each has: 256 words are one text, told apart by their bytes."""
     texts = [" " + " ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
-    ids = np.fromiter(chain.from_iterable(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
+    ids = np.fromiter(chain.from_iterable(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<i4")
     sizes = [1 + (len(p) if p.isascii() else len(p.encode())) for p in words]
     ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1
-    flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-    return map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:]))
+    return ids, np.diff(np.concatenate(([0], ends)))
+
+
+class _Known:
+    """Ids of words, found by 128 bits that are made of a word's bytes."""
+
+    def __init__(self):
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The place of each word, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
+
+    def append(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keeps ids, and returns where those of each word begin."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(len(self.flat), np.int32)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        return starts
+
+    def remember(self, keys: np.ndarray, checks: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        keys, first = np.unique(keys, return_index=True)
+        at = np.searchsorted(self.keys, keys)
+        fresh = at == np.searchsorted(self.keys, keys, "right")      # of two words with one key the first is remembered
+        at, first = at[fresh], first[fresh]
+        self.keys, self.checks = np.insert(self.keys, at, keys[fresh]), np.insert(self.checks, at, checks[first])
+        self.starts, self.sizes = np.insert(self.starts, at, starts[first]), np.insert(self.sizes, at, sizes[first])
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces of ``flat``, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+def _numbers(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two 64-bit numbers of each word, and its bytes: a hash of all bytes, and one of the first and last eight."""
+    words = words.cast(pa.large_string())
+    _, ends, data = words.buffers()
+    places = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[places[0]:places[-1]] if data is not None else np.zeros(0, np.uint8)
+    starts, stops = places[:-1] - places[0], places[1:] - places[0]
+    size, padded = stops - starts, np.concatenate((data, np.zeros(8, np.uint8)))
+    head, tail = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+    for k in range(8):
+        inside = size > k
+        head |= np.where(inside, padded[np.minimum(starts + k, len(data))], 0).astype(np.uint64) << np.uint64(8 * k)
+        tail |= np.where(inside, padded[np.maximum(stops - 1 - k, 0)], 0).astype(np.uint64) << np.uint64(8 * k)
+    return span_hashes(data, starts, stops), mixed(head + mixed(tail + size.astype(np.uint64))), size
+
+
+def _word_ids(parts: list[_Known], words: pa.Array, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after the other, and how many each has. Long words are not remembered.
+
+    Words that are met again move from the old part to the young one, so frequent ones stay.
+    """
+    if len(parts[0].keys) > _KNOWN or parts[0].used > 8 * _KNOWN:
+        parts[:] = _Known(), parts[0]
+    young, old = parts
+    keys, checks, size = _numbers(words)
+    place = young.find(keys, checks)
+    known = place >= 0
+    starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    starts[known], sizes[known] = young.starts[place[known]], young.sizes[place[known]]
+    rest = np.flatnonzero(~known)
+    place = old.find(keys[rest], checks[rest])
+    again, new = rest[place >= 0], rest[place < 0]
+    place = place[place >= 0]
+    sizes[again] = old.sizes[place]
+    starts[again] = young.append(_gathered(old.flat, old.starts[place], sizes[again]), sizes[again])
+    if len(new):
+        ids, sizes[new] = learn(words.take(pa.array(new)).to_pylist())
+        starts[new] = young.append(ids, sizes[new])
+    kept = np.concatenate((again, new[size[new] < _LONG]))
+    young.remember(keys[kept], checks[kept], starts[kept], sizes[kept])
+    return _gathered(young.flat, starts, sizes), sizes
 
 
 def _recall(memos: list[dict[str, bytes]], pieces: list[str], learn: Callable[[list[str]], Iterable[bytes]]) -> list[bytes]:
@@ -58,7 +140,7 @@ def _recall(memos: list[dict[str, bytes]], pieces: list[str], learn: Callable[[l
 
     Pieces move from the old memo to the young one when they are met again, so frequent ones stay.
     """
-    if len(memos[0]) > _KNOWN:
+    if len(memos[0]) > _PIECES:
         memos[:] = {}, memos[0]
     young, old = memos
     missing = [p for p in pieces if p not in young]
@@ -91,7 +173,7 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.Li
         hidden = np.zeros(len(texts), bool)
         hidden[whole] = True
         texts = pc.if_else(pa.array(hidden), "", texts)
-    plain, spaced = worker_memo(f"known {path}", lambda: ([{}, {}], [{}, {}]))
+    plain, spaced = worker_memo(f"known {path}", lambda: ([{}, {}], [_Known(), _Known()]))
 
     def learn_plain(new: list[str]) -> Iterable[bytes]:
         return (np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))
@@ -100,24 +182,24 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = None) -> pa.Li
     cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
     offsets = cut.offsets.to_numpy()
     coded = cut.values.dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    ids = _recall(spaced, words, lambda new: _learn(tokenizer, lengths, new))
+    words = coded.dictionary
+    flat, sizes = _word_ids(spaced, words, lambda new: _learn(tokenizer, lengths, new))
 
     heads = cut.values.take(pa.array(offsets[:-1])).to_pylist()         # what comes before a text's first space
     pieces = [_PLACE.split(t) if rare else [h] for h, t, rare in zip(
         heads, pc.if_else(odd, texts, "").to_pylist(), odd.to_pylist())]
     first = iter(_recall(plain, list(chain.from_iterable(pieces)), learn_plain))
-    ids += [b"".join(islice(first, len(p))) for p in pieces]
+    ids = [b"".join(islice(first, len(p))) for p in pieces]
     for row, own in zip(whole, of_whole if len(whole) else ()):
-        ids[len(words) + row] = own
+        ids[row] = own
     ids.append(b"" if end_id is None else np.int32(end_id).tobytes())
 
     codes = coded.indices.to_numpy().copy()
     codes[offsets[:-1]] = len(words) + np.arange(len(texts))
-    codes = np.insert(codes, offsets[1:], len(ids) - 1)
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    codes = np.insert(codes, offsets[1:], len(words) + len(texts))
+    sizes = np.concatenate((sizes, np.fromiter(map(len, ids), np.int64, len(ids)) // 4))
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    table = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+    table = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate((flat, np.frombuffer(b"".join(ids), "<i4")))))
     ends = np.concatenate(([0], np.cumsum(sizes[codes])))[offsets + np.arange(len(offsets))]
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), table.take(pa.array(codes)).values)
 
