@@ -251,3 +251,14 @@ def test_load_from_archives(spark, tmp_path):
     assert sorted((r.file.rsplit("!", 1)[-1], r.status, r.stored) for r in report.collect()) == [
         ("SMKI199801", "loaded", 8), ("SMKI199801", "loaded", 60), ("SMKI199802", "loaded", 3), ("SMKI199803", "loaded", 2), ("SMKI199803", "loaded", 4)]
     assert spark.read.parquet(f"{dst}/exports/reports").count() == 0
+
+
+def test_loads_without_a_manifest_are_adopted(spark, tmp_path):
+    dst = str(tmp_path / "old")
+    for load_id, month, n in (("a", "01/2015", 60), ("b", "02/2015", 5)):
+        sinks.append_period(facts(spark, month, n), f"{dst}/facts/load_id={load_id}", IMPORTS)
+    assert totals(spark, dst) == []
+    store.adopt(spark, dst, IMPORTS)
+    store.write_load(month_of(facts(spark, "01/2015", 3).unionByName(facts(spark, "02/2015", 3)), 1), dst, IMPORTS, "c")
+    store.adopt(spark, dst, IMPORTS)
+    assert totals(spark, dst) == [("2015-01", 60, 60), ("2015-02", 8, 8)]

@@ -122,3 +122,14 @@ def dead_folders(spark: SparkSession, dst: str, shape: FactShape) -> DataFrame:
     live = live_months(spark, dst).select(F.col("month").alias("_m"), F.col("load_id").alias("_l"))
     found = _stored(spark, dst, shape).select("month", "load_id").distinct()
     return found.join(live, F.col("month").eqNullSafe(F.col("_m")) & (F.col("load_id") == F.col("_l")), "left_anti")
+
+
+def adopt(spark: SparkSession, dst: str, shape: FactShape) -> None:
+    """Manifest lines, as first issues, for loads that were stored without a manifest. Running it again changes nothing."""
+    lines = read_or_none(spark, f"{dst}/manifest", MANIFEST)
+    found = _stored(spark, dst, shape).groupBy("load_id", "month").agg(F.count(F.lit(1)).alias("rows"))
+    if lines is not None:
+        found = found.join(lines.select("load_id").distinct(), "load_id", "left_anti")
+    new = stage(found.select("month", F.lit(1).alias("issue"), "rows", F.array().cast("array<string>").alias("replaces"), "load_id"), "adopted")
+    if not new.isEmpty():
+        new.repartition("load_id").write.mode("append").partitionBy("load_id").parquet(f"{dst}/manifest")
