@@ -25,21 +25,22 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
     return kept.select(*[F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
-def ranges_in_order(df: DataFrame, order: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
+def ranges_in_order(df: DataFrame, order: Sequence[str | Column], by: Sequence[str | Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows sorted by ranges of ``order`` (staged, with ``_at``), and each range's ``_range``, ``_start`` and ``_n``.
 
     ``order`` must be unique per row: then every range holds about the same number of rows, whatever the keys. Only one row
-    per range is looked at as a whole.
+    per range is looked at as a whole. The bounds of ranges are taken from a sample of keys, which goes to the driver: where
+    keys may be long texts, ``by`` gives shorter ones that follow the order; rows equal in them share a range.
     """
-    rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    rows = stage(df.repartitionByRange(*(by or order)).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
     return rows, sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
 
 
-def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "id", by: Sequence[str | Column] | None = None) -> DataFrame:
     """Consecutive numbers from 0 in ``order`` (unique per row), from two small steps: sorted ranges and their sizes."""
-    rows, sizes = ranges_in_order(df, order)
+    rows, sizes = ranges_in_order(df, order, by)
     at = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return rows.join(sizes, F.shiftright("_at", 33) == F.col("_range")).withColumn(name, at).select(*df.columns, name)
 
