@@ -44,8 +44,9 @@ def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), text_of(role_col).alias("role"),
         text_of(text_col).alias("body"), F.monotonically_increasing_id().alias("row"))
         .withColumn("tokens", F.regexp_count("body", F.lit(WORD)).cast("long") + _OVERHEAD), "turns")
-    # sorted ranges hold their share of turns, also of a conversation with very many or with equal numbers
-    ranges, _ = ranges_in_order(rows, ["conv", F.col("turn").asc_nulls_last(), "role", "body", "row"])
+    # sorted ranges hold their share of turns, also of a conversation with very many; only turns of one number that begin alike stay together
+    turn = F.col("turn").asc_nulls_last()
+    ranges, _ = ranges_in_order(rows, ["conv", turn, "role", "body", "row"], by=["conv", turn, F.substring("role", 1, 50), F.substring("body", 1, 100)])
     placed = prefix_sums(ranges.withColumn("block", F.shiftright("_at", 33)), ["conv"], "block", ["_at"], "tokens", "ahead")
     own = F.floor(F.col("ahead") / step).cast("long")
     system = (F.col("ahead") == 0) & (F.col("role") == "system")

@@ -304,7 +304,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     triples = triples.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("f").alias("a"), F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                              F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
     # ranked over sorted ranges, so a language with most of the phrases is spread over tasks
-    placed = global_rank(pairs.unionByName(triples), ["lang", F.col("score").desc(), F.col("a").desc(), "phrase"], "at")
+    best_first = ["lang", F.col("score").desc(), F.col("a").desc()]
+    placed = global_rank(pairs.unionByName(triples), [*best_first, "phrase"], "at", by=[*best_first, F.substring("phrase", 1, 100)])
     firsts = placed.groupBy(F.col("lang").alias("_lang")).agg(F.min("at").alias("_first"))
     best = placed.join(firsts, F.col("lang") == F.col("_lang")).withColumn("rank", F.col("at") - F.col("_first") + 1).where(F.col("rank") <= top)
     return best.join(side(0, "n"), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
