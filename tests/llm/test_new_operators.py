@@ -96,7 +96,8 @@ def test_phrases(edges, nothing, spark, share, bucket_words, monkeypatch):
     monkeypatch.setattr(phrases, "_FLUSH", 300)
     monkeypatch.setattr(phrases, "_MERGE", 50)
     rows = [(r[2], r[1]) for r in edge_rows()] + [(lang, "Of the Sea; of the sea of the\nland. A a a a à la à la") for lang in ("fr", None, "")] * 6
-    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    rows += [(None, None), ("en", "y" * 300_000 + " of the sea")] * 3
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "lang string, text string, w1 string, f int, bucket int").repartition(5)
     real = phrases.gram_counts
     monkeypatch.setattr(phrases, "gram_counts", lambda *a: real(*a, bucket_words=bucket_words, share=share))
     for least, top in ((2, 2000), (10, 4)):
@@ -139,6 +140,7 @@ def conversations():
     rows = [(c, t, "user" if t % 2 else "assistant", f"turn {t} {'x' * (t % 4)}" if t < 5 else f"own {c % 7} {t}") for c in range(90, 230, 3) for t in range(9)]
     rows += [(c, t, "user", f"same {t}") for c in (100, 200, 300, 301, 302, 303) for t in range(40, 60)]
     rows += [(5, None, None, None), (5, 1, "user", ""), (5, 1, "user", ""), (5, 1, "tool", "ü"), (None, 1, "user", "nobody"), (7, 0, "user", "short"), (8, 0, "", "")]
+    rows += [(c, None, "user", "z" * 400_000) for c in (11, 12, 12)]
     rows += [(1000 + c, t, "user", f"{t if t < 30 or c % 4 else (c, t)}") for c in range(12) for t in range(30 + c)]
     return rows
 
