@@ -306,6 +306,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     # ranked over sorted ranges, so a language with most of the phrases is spread over tasks
     best_first = ["lang", F.col("score").desc(), F.col("a").desc()]
     placed = global_rank(pairs.unionByName(triples), [*best_first, "phrase"], "at", by=[*best_first, F.substring("phrase", 1, 100)])
-    firsts = placed.groupBy(F.col("lang").alias("_lang")).agg(F.min("at").alias("_first"))
-    best = placed.join(firsts, F.col("lang") == F.col("_lang")).withColumn("rank", F.col("at") - F.col("_first") + 1).where(F.col("rank") <= top)
-    return best.join(side(0, "n"), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    firsts = placed.groupBy("lang").agg(F.min("at").alias("_first")).join(side(0, "n"), "lang")
+    firsts = stage(firsts.withColumnRenamed("lang", "_lang"), "languages")      # a row each, of known size
+    ranked = placed.join(firsts, F.col("lang") == F.col("_lang")).withColumn("rank", F.col("at") - F.col("_first") + 1)
+    return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
