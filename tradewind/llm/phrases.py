@@ -90,7 +90,13 @@ def _hashes(words: pa.Array) -> np.ndarray:
     _, ends, data = words.buffers()
     places = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return span_hashes(data[places[0]:places[-1]], places[:-1] - places[0], places[1:] - places[0])
+    out, row = np.zeros(len(words), np.uint64), 0
+    while row < len(words):         # a megabyte at a time, as the running sums take many times its room
+        end = max(row + 1, int(np.searchsorted(places, places[row] + (1 << 20), "right")) - 1)
+        cut = places[row:end + 1]
+        out[row:end] = span_hashes(data[cut[0]:cut[-1]], cut[:-1] - cut[0], cut[1:] - cut[0])
+        row = end
+    return out
 
 
 def _first_key(lang: str, h: np.ndarray) -> np.ndarray:
