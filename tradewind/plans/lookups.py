@@ -176,9 +176,9 @@ def code_labels(v):
                             code_from_label(F.lit("All")).alias("everything"))
 
 
-@query("late_page", "SELECT commoditycode, description FROM codes ORDER BY commoditycode DESC LIMIT 10 OFFSET 1000")
+@query("late_page", "SELECT commoditycode, description FROM codes ORDER BY commoditycode DESC LIMIT 10 OFFSET 300")
 def late_page(v):
-    return ordering.page(v.codes(), [F.col("commoditycode").desc()], 10, 101)
+    return ordering.page(v.codes(), [F.col("commoditycode").desc()], 10, 31)
 
 
 @query("lookup_page", "SELECT commoditycode, description FROM codes ORDER BY commoditycode LIMIT 25 OFFSET 50")
