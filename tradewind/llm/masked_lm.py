@@ -309,7 +309,7 @@ def learners(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_co
     number = max(1, round(total / words))
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("id", "text"))
     dealt = own.select(F.pmod(F.xxhash64("key"), F.lit(number)).alias("learner"), "key", "text")
-    return stage(dealt.repartition(number, "learner").sortWithinPartitions("learner", "key").select("learner", "text"), "learners")
+    return stage(dealt.repartitionByRange(number, "learner").sortWithinPartitions("learner", "key").select("learner", "text"), "learners")
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1, id_col: str = "doc_id",
