@@ -107,7 +107,8 @@ def _index(opener: Opener):
                         out += [(path, *x) for x in entries(blob, [], "")]
                     except damage as e:
                         out.append((path, [], None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["archive", "chain", "member", "size", "error"])
+            if out:
+                yield pd.DataFrame(out, columns=["archive", "chain", "member", "size", "error"])
     return run
 
 
@@ -226,7 +227,8 @@ def write_archives(lines: DataFrame, folder: str, nested: bool = False) -> DataF
             end_file()
             archive.close()
             out.close()
-        yield pd.DataFrame({"path": paths})
+        if paths:
+            yield pd.DataFrame({"path": paths})
 
     class _Inner:
         """The one file of an archive in an archive."""
