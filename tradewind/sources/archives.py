@@ -8,8 +8,10 @@ the lines of all that can.
 
 from __future__ import annotations
 
+import codecs
 import io
 import lzma
+import struct
 import sys
 import zipfile
 import zlib
@@ -30,6 +32,9 @@ Opener = Callable[[str], BinaryIO]
 _INDEX = "archive string, chain array<int>, member string, size long, error string"
 _LINES = "archive string, source string, member string, pos long, line string, error string"
 _MOST_TASKS = 10_000
+_READ = 1 << 22            # bytes of a member read at once
+_PIECE_LINES = 500_000
+_CHUNK = 1 << 18           # bytes of a row of compressed ones
 
 
 def _located(path: str):
@@ -124,37 +129,50 @@ def archive_index(archives: DataFrame, opener: Opener = open_path) -> DataFrame:
 def _unpack(opener: Opener, encoding: str, batch: int):
     damage = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, RuntimeError, UnicodeDecodeError)
 
-    def lines(blob: BinaryIO, chain: Sequence[int]) -> Iterator[str]:
+    def texts(blob: BinaryIO, chain: Sequence[int]) -> Iterator[str]:
+        """The member in stretches of whole lines."""
         with zipfile.ZipFile(blob) as archive, archive.open(archive.infolist()[chain[0]]) as member:
             if len(chain) > 1:
-                yield from lines(member, chain[1:])
+                yield from texts(member, chain[1:])
                 return
-            for line in io.TextIOWrapper(member, encoding=encoding, newline="\n"):
-                yield line.rstrip("\r\n")
-
-    def member_lines(row) -> Iterator[tuple]:
-        source = f"{row.archive}!{'.'.join(map(str, row.chain))}"
-        try:
-            with opener(row.archive) as blob:
-                for n, line in enumerate(lines(blob, row.chain)):
-                    yield row.archive, source, row.member, n, line, None
-        except damage as e:
-            yield row.archive, source, row.member, -1, None, f"{type(e).__name__}: {e}"
+            decoder, held = codecs.getincrementaldecoder(encoding)(), []
+            while data := member.read(_READ):
+                text = decoder.decode(data)
+                end = text.rfind("\n") + 1
+                if end:
+                    yield "".join(held) + text[:end]
+                    held = []
+                held.append(text[end:])
+            yield "".join(held) + decoder.decode(b"", True)
+
+    def frame_of(row, source: str, pos: int, lines: list, error: str | None):
+        import pandas as pd
+        import pyarrow as pa
+        n = len(lines)
+        same = {"archive": row.archive, "source": source, "member": row.member, "error": error}
+        made = {k: pa.nulls(n, pa.string()) if v is None else pa.repeat(pa.scalar(v, pa.string()), n) for k, v in same.items()}
+        made |= {"pos": pa.array(range(pos, pos + n), pa.int64()), "line": pa.array(lines, pa.string())}
+        return pd.DataFrame({k: pd.arrays.ArrowExtensionArray(made[k]) for k in columns})
+
+    columns = [x.split()[0] for x in _LINES.split(", ")]
 
     def run(frames):
-        import pandas as pd
-        columns = [x.split()[0] for x in _LINES.split(", ")]
         for frame in frames:
             for row in frame.itertuples():
-                held, size = [], 0
-                for x in member_lines(row):
-                    held.append(x)
-                    size += len(x[4] or "") + 50
-                    if len(held) >= batch or size > 1 << 24:
-                        yield pd.DataFrame(held, columns=columns)
-                        held, size = [], 0
-                if held:
-                    yield pd.DataFrame(held, columns=columns)
+                source, pos = f"{row.archive}!{'.'.join(map(str, row.chain))}", 0
+                try:
+                    with opener(row.archive) as blob:
+                        for text in texts(blob, row.chain):
+                            lines = text.split("\n")
+                            if not lines[-1]:
+                                lines.pop()
+                            if "\r" in text:
+                                lines = [x.rstrip("\r") for x in lines]
+                            for a in range(0, len(lines), batch):
+                                yield frame_of(row, source, pos + a, lines[a:a + batch], None)
+                            pos += len(lines)
+                except damage as e:
+                    yield frame_of(row, source, -1, [None], f"{type(e).__name__}: {e}")
     return run
 
 
@@ -170,13 +188,16 @@ def read_members(archives: DataFrame, encoding: str = "latin-1", opener: Opener
     tasks = max(1, min(_MOST_TASKS, fine.count()))
     dealt = fine.repartitionByRange(tasks, "archive", "chain")
     read = stage(dealt.mapInPandas(_unpack(opener, encoding, batch), _LINES), "unpacked")
+    failed = stage(read.where("error IS NOT NULL").select(F.col("source").alias("_source"), F.col("error").alias("_error")), "failed")
     name = F.element_at(F.split(F.regexp_replace("member", r"\\", "/"), "/"), -1)
-    failed = read.where("error IS NOT NULL").select(F.col("source").alias("_source"), F.col("error").alias("_error"))
-    lines = read.where("error IS NULL").join(failed, F.col("source") == F.col("_source"), "left_anti").select(
-        "archive", "source", normalise_file_name(name).alias("file"), file_issue(name).alias("issue"), "pos", "line")
-    members = index.withColumn("source", F.concat_ws("!", "archive", F.array_join("chain", "."))).join(
+    members = stage(index.withColumn("source", F.concat_ws("!", "archive", F.array_join("chain", "."))).join(
         failed, F.col("source") == F.col("_source"), "left").select(
-        "archive", "source", normalise_file_name(name).alias("file"), file_issue(name).alias("issue"), "size", F.coalesce("error", "_error").alias("error"))
+        "archive", "source", normalise_file_name(name).alias("file"), file_issue(name).alias("issue"), "size",
+        F.coalesce("error", "_error").alias("error")), "members")
+    # Names are made once a member: the table of whole members is small, and goes to every task by its known size.
+    whole = stage(members.where("error IS NULL").select(F.col("source").alias("_source"), "file", "issue").dropDuplicates(["_source"]), "members")
+    lines = read.select("archive", "source", "pos", "line").join(whole, F.col("source") == F.col("_source")).select(
+        "archive", "source", "file", "issue", "pos", "line")
     return lines, members
 
 
@@ -185,64 +206,204 @@ def expand_archives(spark: SparkSession, paths: str | Sequence[str], batch: int
     return read_members(spark.read.format("binaryFile").load(paths).select("path"), encoding, opener, batch)[0]
 
 
-def write_archives(lines: DataFrame, folder: str, nested: bool = False) -> DataFrame:
-    """Writes ``archive, file, pos, line`` as zip archives of text files into ``folder``; returns the ``path`` of each (staged).
+def _crc_product(a: int, b: int) -> int:
+    """Product of two polynomials modulo that of CRC-32, lowest power in the highest bit."""
+    product = 0
+    for i in range(31, -1, -1):
+        if a >> i & 1:
+            product ^= b
+        b = (b >> 1) ^ 0xEDB88320 if b & 1 else b >> 1
+    return product
 
-    With ``nested`` every file is an archive of its own in the archive, without its ``.txt``. An archive is written by one task, as a
-    stream; a task that is run again writes the same file again.
-    """
-    def run(frames):
-        import pandas as pd
+
+def crc_joined(first: int, second: int, size: int) -> int:
+    """CRC-32 of two byte strings on end, from theirs and the size of the second."""
+    shift, power = 1 << 31, 1 << 23     # 1, and x^8: a byte
+    while size:
+        if size & 1:
+            shift = _crc_product(power, shift)
+        power, size = _crc_product(power, power), size >> 1
+    return _crc_product(shift, first) ^ second
+
+
+class _Deflated:
+    """Bytes deflated as a piece that others can follow, with the size and checksum that they have before."""
+
+    def __init__(self):
+        self.made, self.size, self.crc = zlib.compressobj(-1, zlib.DEFLATED, -zlib.MAX_WBITS), 0, 0
+
+    def write(self, data) -> bytes:
+        self.size, self.crc = self.size + len(data), zlib.crc32(data, self.crc)
+        return self.made.compress(data)
+
+    def end(self) -> bytes:
+        return self.made.flush(zlib.Z_FULL_FLUSH)
+
+
+class _Entry:
+    """A member of an archive that is being written, from pieces deflated before."""
+
+    def __init__(self, archive: zipfile.ZipFile, name: str):
+        self.archive, self.info = archive, zipfile.ZipInfo(name)
+        self.info.compress_type, self.info.flag_bits, self.info.external_attr = zipfile.ZIP_DEFLATED, 8, 0o600 << 16
+        self.info.CRC, self.info.header_offset = 0, archive.fp.tell()
+        archive.fp.write(self.info.FileHeader(zip64=True))
+
+    def count(self, size: int, crc: int, packed: int) -> None:
+        self.info.CRC = crc_joined(self.info.CRC, crc, size)
+        self.info.file_size += size
+        self.info.compress_size += packed
+
+    def add(self, size: int, crc: int, data: bytes) -> None:
+        self.count(size, crc, len(data))
+        self.archive.fp.write(data)
+
+    def write(self, data: bytes) -> None:
+        """What an archive inside this one writes between its pieces."""
+        piece = _Deflated()
+        packed = piece.write(data) + piece.end()
+        self.add(piece.size, piece.crc, packed)
+
+    def tell(self) -> int:
+        return self.info.file_size
+
+    def flush(self) -> None:
+        pass
+
+    def close(self) -> None:
+        self.add(0, 0, b"\x03\x00")     # the empty block that ends a deflated stream
+        self.archive.fp.write(struct.pack("<LLQQ", 0x08074B50, self.info.CRC, self.info.compress_size, self.info.file_size))
+        self.archive.filelist.append(self.info)
+        self.archive.NameToInfo[self.info.filename] = self.info
+        self.archive.start_dir = self.archive.fp.tell()
+
+
+def _deflate(nested: bool):
+    """Pieces of the files that a task has lines of, in rows of little more than ``_CHUNK`` bytes; rows come by archive, file and place."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        class Piece:
+            def __init__(self, archive, file, pos):
+                self.key, self.pos, self.chunk, self.held, self.waiting = (archive, file), pos, 0, [], 0
+                self.text, self.packed = _Deflated(), _Deflated()
+
+            def take(self, data) -> Iterator[pa.RecordBatch]:
+                for a in range(0, len(data), _CHUNK):
+                    self.keep(self.text.write(data[a:a + _CHUNK]))
+                    if self.waiting >= _CHUNK:
+                        yield self.row()
+
+            def keep(self, data):
+                data = self.packed.write(data) if nested else data
+                self.held.append(data)
+                self.waiting += len(data)
+
+            def end(self) -> Iterator[pa.RecordBatch]:
+                self.keep(self.text.end())
+                if nested:
+                    self.held.append(self.packed.end())
+                yield self.row()
+
+            def row(self) -> pa.RecordBatch:
+                made = pa.RecordBatch.from_arrays([
+                    pa.array([self.key[0]], pa.string()), pa.array([self.key[1]], pa.string()), self.pos, pa.array([self.chunk], pa.int32()),
+                    *[pa.array([x], pa.int64()) for x in (self.text.size, self.text.crc, self.packed.size, self.packed.crc)],
+                    pa.array([b"".join(self.held)], pa.binary())], ["archive", "file", "pos", "chunk", "size", "crc", "packed", "packed_crc", "data"])
+                self.chunk, self.held, self.waiting = self.chunk + 1, [], 0
+                for x in (self.text, self.packed):
+                    x.size, x.crc = 0, 0
+                return made
+
+        piece = None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            if any(batch.column(i).null_count for i in (0, 1, 3)):
+                raise ValueError("archive, file and line must not be null")
+            names = [batch.column(i) for i in (0, 1)]
+            other = [pc.not_equal(x.slice(1), x.slice(0, n - 1)) for x in names]
+            starts = np.flatnonzero(pc.or_(*other).to_numpy(zero_copy_only=False)) + 1
+            text = batch.column(3).cast(pa.large_string())
+            _, ends, data = text.buffers()
+            ends = np.frombuffer(ends, np.int64)[text.offset:text.offset + n + 1]
+            for a, b in zip([0, *starts.tolist()], [*starts.tolist(), n]):
+                key = names[0][a].as_py(), names[1][a].as_py()
+                if piece is None or piece.key != key:
+                    if piece is not None:
+                        yield from piece.end()
+                    piece = Piece(*key, batch.column(2).slice(a, 1))
+                yield from piece.take(memoryview(data)[ends[a]:ends[b]])
+        if piece is not None:
+            yield from piece.end()
+    return run
+
+
+def _assemble(folder: str, nested: bool):
+    """Archives from their pieces, a stream each; rows come by archive, file, place and chunk."""
+    def run(batches):
+        import pyarrow as pa
         store, top = _located(folder)
-        out, archive, member, inner, now = None, None, None, None, (None, None)
+        out, archive, entry, inner, inside, now = None, None, None, None, None, (None, None)
 
         def end_file():
-            for x in (member, inner):
-                if x is not None:
-                    x.close()
+            if inside is not None:
+                inside.close()
+                inner.close()
+            if entry is not None:
+                entry.close()
+
+        def end_archive():
+            if archive is not None:
+                archive.close()
+                out.close()
 
         paths = []
-        for frame in frames:
-            for row in frame.itertuples():
-                if (row.archive, row.file) != now:
-                    if now[0] is not None:
-                        end_file()
-                    if row.archive != now[0]:
-                        if archive is not None:
-                            archive.close()
-                            out.close()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                name, file, _, _, size, crc, packed, packed_crc, data = [c[i].as_py() for c in batch.columns]
+                if (name, file) != now:
+                    end_file()
+                    entry = inner = inside = None
+                    if name != now[0]:
+                        end_archive()
                         store.create_dir(top, recursive=True)
-                        out = store.open_output_stream(f"{top}/{row.archive}")
+                        out = store.open_output_stream(f"{top}/{name}")
                         archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
-                        paths.append(f"{folder}/{row.archive}")
-                    now = (row.archive, row.file)
-                    member, inner = None, None
+                        paths.append(f"{folder}/{name}")
+                    now = (name, file)
+                    entry = _Entry(archive, file.rsplit(".", 1)[0] + ".zip" if nested else file)
                     if nested:
-                        inner = archive.open(row.file.rsplit(".", 1)[0] + ".zip", "w", force_zip64=True)
-                        member = _Inner(inner, row.file)
-                    else:
-                        member = archive.open(row.file, "w", force_zip64=True)
-                member.write((row.line + "\n").encode())
-        if archive is not None:
-            end_file()
-            archive.close()
-            out.close()
+                        inner = zipfile.ZipFile(entry, "w", zipfile.ZIP_DEFLATED)
+                        inside = _Entry(inner, file)
+                if nested:
+                    inside.count(size, crc, packed)
+                    entry.add(packed, packed_crc, data)
+                else:
+                    entry.add(size, crc, data)
+        end_file()
+        end_archive()
         if paths:
-            yield pd.DataFrame({"path": paths})
-
-    class _Inner:
-        """The one file of an archive in an archive."""
-
-        def __init__(self, stream, name):
-            self.zip = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
-            self.file = self.zip.open(name, "w", force_zip64=True)
+            yield pa.RecordBatch.from_pydict({"path": paths})
+    return run
 
-        def write(self, data):
-            self.file.write(data)
 
-        def close(self):
-            self.file.close()
-            self.zip.close()
+def write_archives(lines: DataFrame, folder: str, nested: bool = False, piece_lines: int = _PIECE_LINES) -> DataFrame:
+    """Writes ``archive, file, pos, line`` as zip archives of text files into ``folder``; returns the ``path`` of each (staged).
 
-    dealt = lines.select("archive", "file", "pos", "line").repartition("archive").sortWithinPartitions("archive", "file", "pos")
-    return stage(dealt.mapInPandas(run, "path string"), "archives")
+    With ``nested`` every file is an archive of its own in the archive, without its ``.txt``. Lines are dealt by ranges of
+    archive, file and place, about ``piece_lines`` to a task, which deflates its part of each file, for a nested one twice; one
+    task an archive then only strings the pieces together, as a stream. A task that is run again writes the same file again.
+    ``lines`` is read three times (counted, sampled, dealt), so stage what is costly to make.
+    """
+    wanted = lines.select("archive", "file", "pos", F.concat("line", F.lit("\n")).alias("line"))
+    tasks = max(1, min(_MOST_TASKS, -(-lines.count() // piece_lines)))
+    keys, pos = ("archive", "file", "pos"), wanted.schema["pos"].dataType.simpleString()
+    dealt = wanted.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    pieces = stage(dealt.mapInArrow(_deflate(nested), f"archive string, file string, pos {pos}, chunk int, size long, crc long, "
+                                                      "packed long, packed_crc long, data binary"), "pieces")
+    ordered = pieces.repartition("archive").sortWithinPartitions(*keys, "chunk")
+    return stage(ordered.mapInArrow(_assemble(folder, nested), "path string"), "archives")
