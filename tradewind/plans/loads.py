@@ -71,8 +71,8 @@ def _yearly_archives(v, folder: str, issues: bool) -> DataFrame:
     """The month files packed by year; every other year as archives in an archive."""
     lines, year, mm = v.fact_lines(), F.substring("file", 7, 2), F.substring("file", 9, 2)
     late = F.when(F.lit(issues) & mm.isin("05", "06"), "v2").otherwise("")
-    named = stage(lines.select(F.concat(F.lit("SMKI19_"), year, F.lit("archive.zip")).alias("archive"), year.cast("int").alias("year"),
-                               F.concat(F.lower("file"), late, F.lit(".txt")).alias("file"), "pos", "line"), "lines")
+    named = lines.select(F.concat(F.lit("SMKI19_"), year, F.lit("archive.zip")).alias("archive"), year.cast("int").alias("year"),
+                         F.concat(F.lower("file"), late, F.lit(".txt")).alias("file"), "pos", "line")
     return archives.write_archives(named.where("year % 2 = 0"), folder).unionByName(
         archives.write_archives(named.where("year % 2 = 1"), folder, nested=True))
 

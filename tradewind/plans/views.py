@@ -224,7 +224,7 @@ class Views:
     # raw inputs of the loads
 
     def fact_lines(self) -> DataFrame:
-        """Imports as monthly text files with header and trailer; some records stop short."""
+        """Imports as monthly text files with header and trailer; some records stop short. Line items are joined once: lines are staged."""
         rows = self.import_rows()
         date = F.col("account_date")
         file = F.concat(F.lit("SMKI19"), F.substring(date, 6, 2), F.substring(date, 1, 2))
@@ -235,8 +235,8 @@ class Views:
                   24: F.col("quantity_1").cast("string")}
         full = F.concat_ws("|", *[filled.get(i, blank) for i in range(26)])
         short = F.concat_ws("|", *[filled.get(i, blank) for i in range(24)])
-        body = rows.select(file.alias("file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"),
-                           F.when(F.col("l_linenumber") == 2, short).otherwise(full).alias("line"))
+        body = stage(rows.select(file.alias("file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"),
+                                 F.when(F.col("l_linenumber") == 2, short).otherwise(full).alias("line")), "lines")
         ends = F.array(
             F.struct(F.lit(-1).cast("bigint").alias("pos"), F.concat(F.lit("000000000|HEADER|"), "file").alias("line")),
             F.struct(F.lit(2**62).alias("pos"), F.concat(F.lit("999999999|TRAILER|"), "file").alias("line")))
