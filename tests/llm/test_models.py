@@ -430,3 +430,67 @@ def test_words_met_again_after_the_memo_was_renewed(monkeypatch):
     for _ in range(30):
         texts = [" ".join(made.choice(["the", "of", f"w{made.randrange(60)}x", "é" * made.randrange(1, 40), "y" * 80, "z" * made.randrange(60, 70)]) for _ in range(40)) for _ in range(3)]
         assert token_files.encode_batch(pa.array(texts, pa.large_string()), BYTES).to_pylist() == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_lm_learners_hold_word_ids(spark):
+    """Words are looked up once: a round reads ids, and masks and cuts the documents as it would from their texts."""
+    from tradewind.llm.common import text_chunks
+    lm = masked_lm
+    texts = ["a b a c", None, "", "B c " * 300_000, "d", " é a\x0bb ", "c c d a b"]
+    docs = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    counts = lm.count_words(docs)
+    known, ids = lm.vocabulary(counts)
+    dealt = lm.learners(docs, counts, known, ids, words=100_000)
+    assert dealt.columns == ["learner", "size", "sum", "ids"]
+    wanted, got, lengths = Counter(), Counter(), []
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        hashes, first = lm.hashes_of(data, np.array([0, len(data)]))
+        wanted[(lm.word_ids(hashes, known, ids).tobytes(), lm.masked_places(hashes, first, 0, 2).tobytes())] += 1
+        lengths.append(len(data))
+    table = dealt.toArrow().combine_chunks().to_batches()[0]
+    for own, first, sums in lm.id_chunks(table):
+        masked = lm.places_of_round(sums, first, 0, 2)
+        for a, b in zip(first, first[1:]):
+            got[(own[a:b].tobytes(), (masked[(masked >= a) & (masked < b)] - a).tobytes())] += 1
+    assert got == wanted and sorted(table.column(1).to_pylist()) == sorted(lengths)
+    cuts = [(a, b) for a, b, *_ in text_chunks(pa.array(["x" * n for n in table.column(1).to_pylist()]))]
+    assert [b - a for a, b in cuts] == [len(sums) for _, _, sums in lm.id_chunks(table)]
+    first = next(lm.id_chunks(table.slice(2, 3)))[0]
+    assert np.array_equal(first[:5], np.frombuffer(table.column(3)[2].as_py(), "<u2")[:5])
+
+
+@pytest.mark.parametrize("most", [1, 8, 9, 10, 200, 3000])
+def test_rows_are_summed_as_reduceat_does(most):
+    made = np.random.default_rng(most)
+    ids = made.permutation(np.repeat(made.permutation(300)[:40], made.integers(1, most + 1, 40)))
+    rows = made.standard_normal((len(ids), 32)).astype(np.float32)
+    order = np.argsort(ids, kind="stable")
+    at, starts = np.unique(ids[order], return_index=True)
+    found, sums = masked_lm._sums_by(ids, rows)
+    assert np.array_equal(found, at) and np.array_equal(sums, np.add.reduceat(rows[order], starts, axis=0))
+    again = masked_lm._sums_by(np.concatenate((ids, ids + 300)), rows, np.tile(np.arange(len(ids)), 2))
+    assert np.array_equal(again[0], np.concatenate((at, at + 300))) and np.array_equal(again[1], np.concatenate((sums, sums)))
+
+
+def test_words_are_found_by_the_beginnings_of_hashes():
+    made = np.random.default_rng(2)
+    known = np.unique(np.concatenate((made.integers(0, 1 << 63, 500), made.integers(0, 30, 20), (1 << 62) + made.integers(0, 30, 20), [2**63 - 1])).astype(np.uint64) * np.uint64(2))
+    ids = made.permutation(len(known))
+    hashes = np.concatenate((known, known + np.uint64(1), known - np.uint64(1), np.array([0, 2**64 - 1], np.uint64)))
+    rank = dict(zip(known.tolist(), ids.tolist()))
+    bucket = masked_lm.WORDS - masked_lm.BUCKETS
+    for n in (len(known), 1, 0):
+        wanted = [rank[h] if h in known[:n].tolist() else bucket + h % masked_lm.BUCKETS for h in hashes.tolist()]
+        assert masked_lm.word_ids(hashes, known[:n], ids[:n]).tolist() == wanted
+
+
+def test_large_scores_stay_finite():
+    net = masked_lm.fresh_net()
+    net["kind"] *= 3000
+    net["word"] *= 3000
+    made = np.random.default_rng(1)
+    around, targets = made.integers(0, masked_lm.WORDS + 1, (9000, 4)), made.integers(0, masked_lm.WORDS, 9000)
+    scores = masked_lm.log_probabilities(net, around, targets)
+    assert np.isfinite(scores).all() and (scores <= 0).all()
+    assert all(np.isfinite(g).all() for g in masked_lm.gradients(net, around, targets).values())

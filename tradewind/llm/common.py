@@ -73,6 +73,15 @@ def worker_memo(name: str, make: Callable[[], object]) -> object:
     return memo.__dict__[name]
 
 
+def row_cuts(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """First row and end row of slices with about ``most`` bytes; a longer row is a slice of its own."""
+    row = 0
+    while row < len(offsets) - 1:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
+        yield row, end
+        row = end
+
+
 def text_chunks(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a column of texts with about ``most`` bytes: first row, end row, bytes, row offsets.
 
@@ -86,11 +95,8 @@ def text_chunks(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int
     _, ends, data = texts.buffers()
     offsets = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    row = 0
-    while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
+    for row, end in row_cuts(offsets, most):
         yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
-        row = end
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import lowered, mixed, short_batches, span_hashes, text_chunks, words_of
+from tradewind.llm.common import lowered, mixed, row_cuts, short_batches, span_hashes, text_chunks, words_of
 from tradewind.sources.stage import stage
 
 CLASSES, PER_CLASS = 64, 64
@@ -38,9 +38,14 @@ _SHAPES = {"embed": (WORDS + 1, WIDTH), "place": (len(_OFFSETS), WIDTH), "bias":
 
 def hashes_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word in lower case, and how many words come before each row."""
-    data = lowered(data)
-    starts, ends, first = words_of(data, offsets)
-    return (span_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)), first
+    hashes, first = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in row_cuts(offsets, 1 << 17):         # as much as a core's cache holds
+        part = lowered(data[offsets[a]:offsets[b]])
+        starts, ends, before = words_of(part, offsets[a:b + 1] - offsets[a])
+        if len(starts):
+            hashes.append(span_hashes(part, starts, ends))
+        first.append(first[-1][-1] + before[1:])
+    return np.concatenate(hashes), np.concatenate(first)
 
 
 def word_ids(hashes: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -48,59 +53,109 @@ def word_ids(hashes: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarr
     bucket = WORDS - BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
     if not len(known):
         return bucket
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    top = np.uint64(48)         # hashes are spread evenly: few known words share their first 16 bits, so a few steps from there replace a binary search
+    alike = np.bincount((known >> top).astype(np.int64), minlength=1 << 16)
+    at = np.minimum(np.cumsum(alike) - alike, len(known) - 1)[(hashes >> top).astype(np.int64)]
+    for _ in range(alike.max() - 1):
+        at = np.minimum(at + (known[at] < hashes), len(known) - 1)
     return np.where(known[at] == hashes, ids[at], bucket)
 
 
-def contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The ids around each word; beyond the ends of its document, WORDS."""
+def contexts(ids: np.ndarray, first: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The ids around each word, or around those ``at`` some places; beyond the ends of its document, WORDS."""
     rows = len(first) - 1
     place = np.arange(len(ids)) + REACH * (np.repeat(np.arange(rows), np.diff(first)) + 1)
     padded = np.full(len(ids) + REACH * (rows + 1), WORDS, np.int64)
     padded[place] = ids
+    place = place[at]
     return np.stack([padded[place + k] for k in _OFFSETS], axis=1)
 
 
+def sums_of_rows(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of the hashes of each document's words, modulo 2^64."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)))[first]
+    return sums[1:] - sums[:-1]
+
+
+def places_of_round(sums: np.ndarray, first: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The words that a round predicts, from the sum of each document's hashes."""
+    stride = min(STRIDE, rounds)
+    offset = (mixed(sums) % np.uint64(stride)).astype(np.int64)
+    place = np.arange(first[-1]) + np.repeat(offset - first[:-1], np.diff(first))
+    return np.flatnonzero(place % stride == round_ % stride)
+
+
 def masked_places(hashes: np.ndarray, first: np.ndarray, round_: int, rounds: int) -> np.ndarray:
     """The words that a round predicts: every word is one of them in at least one of ``rounds`` rounds.
 
     A hash of its words says where a document begins, so that short ones do not all fall into the same round.
     """
-    stride = min(STRIDE, rounds)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)))[first]
-    offset = (mixed(sums[1:] - sums[:-1]) % np.uint64(stride)).astype(np.int64)
-    place = np.arange(len(hashes)) + np.repeat(offset - first[:-1], np.diff(first))
-    return np.flatnonzero(place % stride == round_ % stride)
+    return places_of_round(sums_of_rows(hashes, first), first, round_, rounds)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+def _less_top(x: np.ndarray) -> np.ndarray:
+    """Takes the largest value of each row from the row, in place; found by argmax, which numpy runs faster than max along short rows."""
+    x -= x.reshape(-1)[x.argmax(axis=1) + np.arange(0, x.size, x.shape[1])][:, None]
+    return x
+
+
+def _softmax(x: np.ndarray, parts: list[slice]) -> np.ndarray:
+    """Softmax of each row, in place; rows are summed part by part."""
+    np.exp(_less_top(x), out=x)
+    sums, ones = np.empty(len(x), x.dtype), np.ones(x.shape[1], x.dtype)
+    for at in parts:
+        sums[at] = x[at] @ ones
+    x /= sums[:, None]
     return x
 
 
 def _log_chance(x: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at one column; ``x`` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    wanted = x[np.arange(len(x)), own]
+    wanted = _less_top(x)[np.arange(len(x)), own]
     return wanted - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
-def _sums_by(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different ids, sorted, and the sum of the rows of each."""
+def _sums_by(ids: np.ndarray, rows: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids (below 2^16), sorted, and the sum of the rows of each: row i has id i, or with ``of`` row of[i].
+
+    Most ids have few rows: up to 8 are added place by place, for all such ids at once, in reduceat's own order of adding.
+    """
     order = np.argsort(ids.astype(np.uint16), kind="stable")
     ids = ids[order]
+    if of is not None:
+        order = of[order]
     starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-    return ids[starts], np.add.reduceat(rows[order], starts, axis=0)
+    times = np.concatenate((starts[1:], [len(ids)])) - starts
+    few = (9 - np.minimum(times, 9)).astype(np.uint8)
+    found, by = ids[starts], np.argsort(few, kind="stable")         # those of most rows first
+    starts, times = starts[by], times[by]
+    more = np.searchsorted(few[by], np.arange(9, 0, -1).astype(np.uint8)).tolist()     # ids before it have more than k rows
+    many = more[8]
+    sums = np.take(rows, order[starts], axis=0)
+    rest = np.take(rows, order[starts[many:more[1]] + 1], axis=0)
+    for k in range(2, 8):
+        rest[:more[k] - many] += np.take(rows, order[starts[many:more[k]] + k], axis=0)
+    sums[many:more[1]] += rest
+    if many:
+        n = times[:many]
+        at = np.cumsum(n) - n
+        own = np.repeat(starts[:many] - at, n) + np.arange(n.sum())
+        sums[:many] = np.add.reduceat(np.take(rows, order[own], axis=0), at, axis=0)
+    place = np.empty_like(by)
+    place[by] = np.arange(len(by))
+    return found, np.take(sums, place, axis=0)
 
 
 def _hidden(net: dict, around: np.ndarray) -> np.ndarray:
-    total = np.repeat(net["bias"][None, :], len(around), axis=0)
-    for j in range(around.shape[1]):
-        total += net["embed"][around[:, j]] * net["place"][j]
-    return np.tanh(total)
+    h = np.repeat(net["bias"][None, :], len(around), axis=0)
+    for a in range(0, len(around), _BATCH):         # as much as a core's cache holds
+        total = h[a:a + _BATCH]
+        for j in range(around.shape[1]):
+            part = np.take(net["embed"], around[a:a + _BATCH, j], axis=0)
+            part *= net["place"][j]
+            total += part
+        np.tanh(total, out=total)
+    return h
 
 
 def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -111,6 +166,12 @@ def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]
     return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
 
 
+def _cuts(n: int) -> list[slice]:
+    """Parts of at least _BATCH rows, of fewer only if there are no more."""
+    starts = list(range(0, max(n - _BATCH, 0) + 1, _BATCH))
+    return [slice(a, b) for a, b in zip(starts, [*starts[1:], n])]
+
+
 def _of_classes(rows: np.ndarray) -> np.ndarray:
     """Rows by word as rows by class and word in it."""
     return np.ascontiguousarray(rows.reshape(PER_CLASS, CLASSES, -1).swapaxes(0, 1))
@@ -124,9 +185,16 @@ def log_probabilities(net: dict, around: np.ndarray, targets: np.ndarray) -> np.
         own = targets[a:a + (1 << 15)]
         order, classes = _by_class(own)
         own, h = own[order], _hidden(net, around[a:a + (1 << 15)][order])
-        part = _log_chance(h @ net["kind"].T + net["kind_bias"], own % CLASSES)
+        kinds, places = own % CLASSES, own // CLASSES
+        part = np.empty(len(own), h.dtype)
+        for b in _cuts(len(own)):
+            x = h[b] @ net["kind"].T
+            x += net["kind_bias"]
+            part[b] = _log_chance(x, kinds[b])
         for c, at in classes:
-            part[at] += _log_chance(h[at] @ words[c].T + biases[c], own[at] // CLASSES)
+            x = h[at] @ words[c].T
+            x += biases[c]
+            part[at] += _log_chance(x, places[at])
         out[a + order] = part
     return out
 
@@ -135,35 +203,56 @@ def gradients(net: dict, around: np.ndarray, targets: np.ndarray) -> dict[str, n
     """Gradients of the summed log-loss."""
     n = len(targets)
     order, classes = _by_class(targets)
-    around, targets = around[order], targets[order]
+    around, targets = np.ascontiguousarray(around.T)[:, order].T, targets[order]
     h = _hidden(net, around)
-    kinds = _softmax(h @ net["kind"].T + net["kind_bias"])
+    kinds = h @ net["kind"].T
+    kinds += net["kind_bias"]
+    _softmax(kinds, [slice(None)])
     kinds[np.arange(n), targets % CLASSES] -= 1
     back = kinds @ net["kind"]
     found = {k: np.zeros_like(net[k]) for k in ("embed", "place")}
     found["kind"], found["kind_bias"] = kinds.T @ h, kinds.sum(axis=0)
     words, biases = _of_classes(net["word"]), _of_classes(net["word_bias"])[:, :, 0]
     word, word_bias = np.zeros_like(words), np.zeros_like(biases)
-    for c, at in classes:
-        chances = _softmax(h[at] @ words[c].T + biases[c])
-        chances[np.arange(len(chances)), targets[at] // CLASSES] -= 1
-        back[at] += chances @ words[c]
-        word[c], word_bias[c] = chances.T @ h[at], chances.sum(axis=0)
+    chances, part = kinds, np.empty_like(back)      # kinds are used up
+    rows = [(c, chances[at], h[at], part[at]) for c, at in classes]
+    for c, x, own, _ in rows:
+        np.matmul(own, words[c].T, out=x)
+        x += biases[c]
+    _softmax(chances, [at for _, at in classes])
+    chances[np.arange(n), targets // CLASSES] -= 1
+    for c, x, own, to in rows:
+        np.matmul(x, words[c], out=to)
+        np.matmul(x.T, own, out=word[c])
+        np.add.reduce(x, axis=0, out=word_bias[c])
+    back += part
     found["word"], found["word_bias"] = word.swapaxes(0, 1).reshape(WORDS, WIDTH), word_bias.T.reshape(WORDS)
-    back *= 1 - h * h
+    h *= h
+    back *= np.subtract(1, h, out=h)
     found["bias"] = back.sum(axis=0)
-    for j in range(around.shape[1]):
-        at, sums = _sums_by(around[:, j], back)
-        found["embed"][at] += sums * net["place"][j]
-        found["place"][j] = (sums * net["embed"][at]).sum(axis=0)
+    seen = around.shape[1]
+    keys = (around.T + np.arange(0, seen * (WORDS + 1), WORDS + 1)[:, None]).reshape(-1)     # all places at once
+    at, sums = _sums_by(keys, back, np.tile(np.arange(n), seen))
+    cuts = np.searchsorted(at, np.arange(0, (seen + 1) * (WORDS + 1), WORDS + 1))
+    for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        own, part = at[a:b] - j * (WORDS + 1), sums[a:b]
+        found["embed"][own] += part * net["place"][j]
+        part *= np.take(net["embed"], own, axis=0)
+        found["place"][j] = part.sum(axis=0)
     return found
 
 
 def train_step(net: dict, past: dict, around: np.ndarray, targets: np.ndarray, rate: float) -> None:
     """One step of adaptive gradient descent; ``past`` sums the squared gradients of the task so far."""
     for name, g in gradients(net, around, targets).items():
-        past[name] += g * g
-        net[name] -= np.float32(rate) * g / (np.sqrt(past[name]) + np.float32(1e-6))
+        for a in range(0, len(g), 1 << 10):         # rows that a core's cache holds
+            at = slice(a, a + (1 << 10))
+            past[name][at] += g[at] * g[at]
+            size = np.sqrt(past[name][at])
+            size += np.float32(1e-6)
+            g[at] *= np.float32(rate)
+            g[at] /= size
+            net[name][at] -= g[at]
 
 
 def fresh_net() -> dict[str, np.ndarray]:
@@ -250,17 +339,17 @@ def _train(shared, round_: int, rounds: int, rate: float):
                     "weight": [float(seen)], "change": pa.array([change[a:a + (1 << 14)].tobytes()], pa.binary()),
                     "met": pa.array([np.packbits(met[a:a + (1 << 14)]).tobytes()], pa.binary())})
 
-    def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array]]:
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
         for batch in batches:
             learner = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(learner)) + 1).tolist(), len(learner)]
             for a, b in zip(cuts, cuts[1:]):
                 if a < b:
-                    yield int(learner[a]), batch.column(1).slice(a, b - a)
+                    yield int(learner[a]), batch.slice(a, b - a)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, known, ids = shared.value
-        for learner, group in groupby(texts_of(batches), key=lambda x: x[0]):
+        start = shared.value
+        for learner, group in groupby(rows_of(batches), key=lambda x: x[0]):
             net, past = {k: v.copy() for k, v in start.items()}, {k: np.zeros_like(v) for k, v in start.items()}
             held, waiting, seen = [], 0, 0
 
@@ -269,14 +358,12 @@ def _train(shared, round_: int, rounds: int, rate: float):
                 for a in range(0, len(targets), _BATCH):
                     train_step(net, past, around[a:a + _BATCH], targets[a:a + _BATCH], rate)
 
-            for _, texts in group:
-                for _, _, data, offsets in text_chunks(texts):
-                    hashes, first = hashes_of(data, offsets)
-                    if not len(hashes):
+            for _, rows in group:
+                for own, first, sums in id_chunks(rows):
+                    if not len(own):
                         continue
-                    own = word_ids(hashes, known, ids)
-                    masked = masked_places(hashes, first, round_, rounds)
-                    held.append((contexts(own, first)[masked], own[masked]))
+                    masked = places_of_round(sums, first, round_, rounds)
+                    held.append((contexts(own, first, masked), own[masked]))
                     waiting += len(masked)
                     if waiting >= _BATCH:
                         learn()
@@ -300,16 +387,47 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": [rows["name"].iloc[0]], "block": [rows["block"].iloc[0]], "change": [mean.astype(np.float32).tobytes()]})
 
 
-def learners(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = LEARNER_WORDS) -> DataFrame:
-    """``learner`` and ``text`` of all documents (staged): about ``words`` words a learner, in an order of its own.
+def _ids(shared):
+    """A row per text: its words' ids, the sum of their hashes, and its length in bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ids = shared.value
+        for batch in batches:
+            for a, b, data, offsets in text_chunks(batch.column(1)):
+                hashes, first = hashes_of(data, offsets)
+                held = word_ids(hashes, known, ids).astype("<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), pa.array(sums_of_rows(hashes, first).view(np.int64)),
+                     pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(2 * first.astype(np.int64)), pa.py_buffer(held)]).cast(pa.binary())],
+                    ["learner", "size", "sum", "ids"])
+    return run
+
+
+def id_chunks(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of rows of ``learners``, those of about a megabyte of text at a time: ids, how many come before each row, sums of hashes."""
+    sums = rows.column(2).to_numpy().view(np.uint64)
+    texts, held = np.concatenate(([0], np.cumsum(rows.column(1).to_numpy()))), rows.column(3).cast(pa.large_binary())
+    _, ends, data = held.buffers()
+    first = np.frombuffer(ends, np.int64)[held.offset:held.offset + len(held) + 1] // 2
+    ids = np.frombuffer(data, "<u2") if data is not None else np.zeros(0, "<u2")
+    for a, b in row_cuts(texts):
+        yield ids[first[a]:first[b]].astype(np.int64), first[a:b + 1] - first[a], sums[a:b]
+
+
+def learners(docs: DataFrame, counts: DataFrame, known: np.ndarray, ids: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+             words: int = LEARNER_WORDS) -> DataFrame:
+    """``learner`` and word ids of all documents (staged): about ``words`` words a learner, in an order of its own.
 
     Which learner a document is dealt to and when it comes follows from the document, not from how the table is partitioned.
+    Words are hashed and looked up here once, not in every round; ``sum`` (of their hashes) and ``size`` (bytes of the text) say how a
+    round masks and cuts the documents.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
     number = max(1, round(total / words))
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("id", "text"))
     dealt = own.select(F.pmod(F.xxhash64("key"), F.lit(number)).alias("learner"), "key", "text")
-    return stage(dealt.repartitionByRange(number, "learner").sortWithinPartitions("learner", "key").select("learner", "text"), "learners")
+    ordered = dealt.repartitionByRange(number, "learner").sortWithinPartitions("learner", "key").select("learner", "text")
+    shared = docs.sparkSession.sparkContext.broadcast((known, ids))
+    return stage(ordered.mapInArrow(_ids(shared), "learner long, size long, sum long, ids binary"), "learners")
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 0.1, id_col: str = "doc_id",
@@ -326,10 +444,10 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: f
     known, ids = vocabulary(counts)
     bucketed = bucketed_words(counts, known, ids)
     sizes = bucket_sizes(bucketed)
-    dealt = learners(docs, counts, id_col, text_col, words)
+    dealt = learners(docs, counts, known, ids, id_col, text_col, words)
     net, context = fresh_net(), docs.sparkSession.sparkContext
     for r in range(rounds):
-        shared = context.broadcast((net, known, ids))
+        shared = context.broadcast(net)
         changes = dealt.mapInArrow(_train(shared, r, rounds, rate), "name string, block int, learner long, weight double, change binary, met binary")
         mean = changes.groupBy("name", "block").applyInPandas(_average, "name string, block int, change binary").collect()   # the model's size
         for name, value in net.items():
