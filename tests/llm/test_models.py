@@ -494,3 +494,30 @@ def test_large_scores_stay_finite():
     scores = masked_lm.log_probabilities(net, around, targets)
     assert np.isfinite(scores).all() and (scores <= 0).all()
     assert all(np.isfinite(g).all() for g in masked_lm.gradients(net, around, targets).values())
+
+
+def test_common_words_of_buckets_are_not_joined(spark, monkeypatch):
+    """Scores are the same whether a bucket's words are broadcast with their counts, joined, or some of each."""
+    lm = masked_lm
+    monkeypatch.setattr(lm, "vocabulary", lambda counts: (np.zeros(0, np.uint64), np.zeros(0, np.int64)))   # all words are in buckets
+    made = random.Random(8)
+    texts = [" ".join(f"w{int(made.expovariate(0.02))}" for _ in range(100)) for _ in range(30)] + [None, ""]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model = lm.train(docs, rounds=1)
+    most = sorted(Counter(w for t in texts for w in (t or "").split()).values())
+    assert most[0] == 1 and most[-1] > 20
+    got, stage, joined = [], lm.stage, []
+
+    def staged(df, label):
+        df = stage(df, label)
+        joined.append(df.selectExpr("sum(size(rare))").first()[0])
+        return df
+    monkeypatch.setattr(lm, "stage", staged)
+    for most in (1 << 20, 200, 0.5):
+        monkeypatch.setattr(lm, "COMMON", most)
+        got.append(sorted((r.doc_id, r.n_words, r.log_likelihood) for r in lm.score_documents(docs, model).collect()))
+    for other in got[1:]:
+        assert [r[:2] for r in got[0]] == [r[:2] for r in other]
+        assert np.allclose([r[2] for r in got[0]], [r[2] for r in other], rtol=1e-12)
+    once = sum(n == 1 for n in Counter(w for t in texts for w in (t or "").split()).values())
+    assert joined[0] == once < joined[1] < joined[2] == 3000

@@ -26,6 +26,7 @@ from tradewind.sources.stage import stage
 CLASSES, PER_CLASS = 64, 64
 WORDS = CLASSES * PER_CLASS     # ids: the most frequent words, then buckets for all others
 BUCKETS = 512
+COMMON = 1 << 20                # a word of a bucket that has this part of all words of buckets is looked up without a join
 WIDTH, REACH = 32, 2            # size of a vector; words seen on either side
 ROUNDS = 2
 STRIDE = 2                      # a round masks every STRIDE-th word, so that many rounds mask every word
@@ -48,17 +49,25 @@ def hashes_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(hashes), np.concatenate(first)
 
 
-def word_ids(hashes: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Ids of words: their rank if known (``known`` sorted), else a bucket by hash."""
-    bucket = WORDS - BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
+def find_hashes(hashes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are in ``known`` (sorted), and the place there of each that is."""
     if not len(known):
-        return bucket
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
     top = np.uint64(48)         # hashes are spread evenly: few known words share their first 16 bits, so a few steps from there replace a binary search
     alike = np.bincount((known >> top).astype(np.int64), minlength=1 << 16)
     at = np.minimum(np.cumsum(alike) - alike, len(known) - 1)[(hashes >> top).astype(np.int64)]
     for _ in range(alike.max() - 1):
         at = np.minimum(at + (known[at] < hashes), len(known) - 1)
-    return np.where(known[at] == hashes, ids[at], bucket)
+    return known[at] == hashes, at
+
+
+def word_ids(hashes: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Ids of words: their rank if known (``known`` sorted), else a bucket by hash."""
+    bucket = WORDS - BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    if not len(known):
+        return bucket
+    found, at = find_hashes(hashes, known)
+    return np.where(found, ids[at], bucket)
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -459,7 +468,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: f
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known, ids, sizes = shared.value
+        net, known, ids, sizes, common, logs = shared.value
         once = -np.log(sizes + 1.0)     # of a word that its bucket holds once, or of all that it does not hold
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
@@ -471,7 +480,10 @@ def _score(shared):
                     own, doc = word_ids(hashes, known, ids), np.repeat(np.arange(len(n)), n)
                     chances = log_probabilities(net, contexts(own, first), own).astype(np.float64)
                     at = np.flatnonzero(own >= WORDS - BUCKETS)
+                    found, place = find_hashes(hashes[at], common)
                     chances[at] += once[own[at] - (WORDS - BUCKETS)]
+                    chances[at[found]] += logs[place[found]]
+                    at = at[~found]
                     total = np.bincount(doc, weights=chances, minlength=len(n))
                     rare, cuts = hashes[at].view(np.int64), np.searchsorted(at, first).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -487,15 +499,20 @@ def score_documents(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_
     Words are in lower case (A-Z). A word in a bucket of N counted words has n / (N + 1) of the bucket's probability if it was
     counted n times, and all words never counted share 1 / (N + 1). A null text is empty: no words, sum 0, null mean.
     Null and repeated ids stay, a row each; an empty table gives an empty one; other columns are left out. Only words in
-    buckets are shuffled.
+    buckets are shuffled; of these, the at most COMMON ones that have a COMMON-th of their occurrences each are broadcast with
+    their counts instead.
     """
     short_batches(docs.sparkSession)
     net, known, ids, sizes, bucketed = model
-    shared = docs.sparkSession.sparkContext.broadcast((net, known, ids, sizes))
+    least = max(2, -(-int(sizes.sum()) // COMMON))
+    often = bucketed.where(F.col("n") >= least).select("word", "n").toArrow()
+    common, times = (often.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(common.view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast((net, known, ids, sizes, common.view(np.uint64)[order], np.log(times[order])))
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     made = stage(wanted.mapInArrow(_score(shared), f"row long, id {wanted.schema['id'].dataType.simpleString()}, n_words long, total double, rare array<long>"),
                  "scored")
-    again = bucketed.where("n > 1").select("word", F.log("n").alias("more"))     # of a word counted once the logarithm is 0
+    again = bucketed.where((F.col("n") > 1) & (F.col("n") < least)).select("word", F.log("n").alias("more"))     # of a word counted once the logarithm is 0
     more = (made.select("row", F.explode("rare").alias("word")).join(again, "word")
                 .groupBy("row").agg(F.sum("more").alias("more")))
     whole = made.select("row", "id", "n_words", "total").join(more, "row", "left").withColumn("log_likelihood", F.col("total") + F.coalesce("more", F.lit(0.0)))
